@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gatherline.llm import bpe, langid, packing, quality, toxicity
+from gatherline.llm import ann, bpe, embdedup, langid, minhash, packing, quality, secrets, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,6 +19,10 @@ def _tokenizer(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.group(_table(spark, sf_dir, "documents"), width=2)
+
+
 def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(_table(spark, sf_dir, "documents"), _tokenizer("word_bpe_49k.json"))
 
@@ -27,20 +31,32 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.classify(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.report(_table(spark, sf_dir, "documents"))
+
+
 def op6_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(_table(spark, sf_dir, "documents"))
 
 
+def op7_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.search(_table(spark, sf_dir, "embeddings"))
+
+
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op9_embdedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embdedup.link(_table(spark, sf_dir, "embeddings"))
+
+
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents"), _tokenizer("byte_bpe_50k.json"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_bpe, op4_toxicity, op6_langid, op8_quality, op10_packing)}
+    return {f.__name__: f for f in (op1_minhash, op2_bpe, op4_toxicity, op5_secrets, op6_langid, op7_ann, op8_quality, op9_embdedup, op10_packing)}
 
 
 def oracle_sql() -> dict[str, str]:
