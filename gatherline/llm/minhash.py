@@ -56,7 +56,7 @@ def shingles(data: np.ndarray, offsets: np.ndarray, width: int) -> tuple[np.ndar
     for i in np.flatnonzero((n > 0) & (n < width)):
         part = U64(0x5851F42D4C957F2D)
         for w in word[firsts[i] : firsts[i + 1]]:
-            part = mix(np.array([part * U64(0x9E3779B97F4A7C15) + w]))[0]
+            part = mix(np.array([part]) * U64(0x9E3779B97F4A7C15) + w)[0]
         found, owner = np.append(found, part), np.append(owner, i)
     order = np.lexsort((found, owner))
     found, owner = found[order], owner[order]
@@ -77,7 +77,7 @@ def sketch(found: np.ndarray, firsts: np.ndarray, bins: int = BINS) -> np.ndarra
             break
         some = open_docs[doc]
         x, owner = found[some], doc[some]
-        h = mix(x + U64(turn + 1) * U64(0xA0761D6478BD642F))
+        h = mix(x + U64((turn + 1) * 0xA0761D6478BD642F & 0xFFFFFFFFFFFFFFFF))
         value = (U64(turn) << U64(40)) | (h & U64((1 << 40) - 1))
         place = ((h >> U64(40)) % U64(bins)).astype(np.int64) if turn < bins else np.full(len(x), turn - bins)
         np.minimum.at(out, owner * bins + place, value)

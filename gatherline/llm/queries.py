@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gatherline.llm import ann, bpe, embdedup, langid, minhash, packing, quality, secrets, toxicity
+from gatherline.llm import ann, bpe, embdedup, langid, lm, minhash, packing, quality, secrets, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -27,6 +27,10 @@ def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(_table(spark, sf_dir, "documents"), _tokenizer("word_bpe_49k.json"))
 
 
+def op3_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score(_table(spark, sf_dir, "documents"))
+
+
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.classify(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
@@ -56,7 +60,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_minhash, op2_bpe, op4_toxicity, op5_secrets, op6_langid, op7_ann, op8_quality, op9_embdedup, op10_packing)}
+    return {f.__name__: f for f in (op1_minhash, op2_bpe, op3_lm, op4_toxicity, op5_secrets, op6_langid, op7_ann, op8_quality, op9_embdedup, op10_packing)}
 
 
 def oracle_sql() -> dict[str, str]:
