@@ -38,10 +38,10 @@ class Scratch:
         except Exception:  # noqa: BLE001 - the session may already be gone at exit; files are then left to the cluster
             pass
 
-    def table(self, df: DataFrame, name: str) -> DataFrame:
+    def table(self, df: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
         """Write ``df`` as Parquet and read it back."""
         path = f"{self.root}/{name}"
-        df.write.mode("overwrite").parquet(path)
+        df.write.mode("overwrite").option("compression", compression).parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
     def drop(self, name: str) -> None:
