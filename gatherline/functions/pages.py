@@ -36,9 +36,10 @@ def page_lines(html: Column) -> Column:
 
 
 def links(html: Column) -> Column:
-    """array<struct<href, label>> of a page's anchors in order."""
+    """array<struct<href, label>> of a page's anchors in order; scripts and comments do not count."""
+    html = F.regexp_replace(text(html), r"(?is)<(script|style)\b[^>]*>.*?</(script|style)\s*>|<!--.*?-->", " ")
     pattern = r"(?is)<a\b[^>]*?href\s*=\s*[\"']([^\"']*)[\"'][^>]*>(.*?)</a>"
-    href, label = (F.regexp_extract_all(text(html), F.lit(pattern), F.lit(g)) for g in (1, 2))
+    href, label = (F.regexp_extract_all(html, F.lit(pattern), F.lit(g)) for g in (1, 2))
     return F.transform(F.arrays_zip(href.alias("h"), label.alias("l")), lambda r: F.struct(unescape(r["h"]).alias("href"), squeeze(unescape(F.regexp_replace(r["l"], r"(?s)<[^>]*>", " "))).alias("label")))
 
 

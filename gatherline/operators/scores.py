@@ -142,7 +142,7 @@ def game_length(games: DataFrame, by: list[str]) -> DataFrame:
     gaps = day.select(*by, F.explode_outer(F.filter(F.zip_with(F.slice("m", 2, F.greatest(F.size("m") - 1, F.lit(0))), F.slice("m", 1, F.greatest(F.size("m") - 1, F.lit(0))), lambda a, b: a - b), lambda g: g.between(20, 180))).alias("gap"))
     counted = gaps.groupBy(*by, "gap").agg(F.count("gap").alias("n"))  # at most 161 gaps a group
     middle = F.percentile("gap", F.lit(0.5), F.col("n"))
-    return counted.groupBy(*by).agg(F.coalesce(F.greatest(F.lit(40), F.least(F.lit(90), middle.cast("int"))), F.lit(60)).alias("game_length"))
+    return counted.groupBy(*by).agg(F.when(middle.isNull(), 60).otherwise(F.greatest(F.lit(40), F.least(F.lit(90), middle.cast("int")))).alias("game_length"))
 
 
 def schedule_quality(days: DataFrame, by: list[str]) -> DataFrame:

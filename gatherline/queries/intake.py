@@ -74,7 +74,7 @@ def src_23(spark, sf_dir):
     return landed.ranked_links(table(spark, sf_dir, "pages"))
 
 
-@query("src_23_link_counts", "SELECT page_id, len(regexp_extract_all(html, '(?is)<a\\b[^>]*?href\\s*=\\s*[\"'']([^\"'']*)[\"''][^>]*>(.*?)</a>')) AS links FROM pages")
+@query("src_23_link_counts", "SELECT page_id, len(regexp_extract_all(regexp_replace(html, '(?is)<(script|style)\\b[^>]*>.*?</(script|style)\\s*>|<!--.*?-->', ' ', 'g'), '(?is)<a\\b[^>]*?href\\s*=\\s*[\"'']([^\"'']*)[\"''][^>]*>(.*?)</a>')) AS links FROM pages")
 def src_23_counts(spark, sf_dir):
     from gatherline.functions.pages import links
 

@@ -292,7 +292,7 @@ def agg_02(spark, sf_dir):
     return rollups.site_counts(g, ["event_id"])
 
 
-_length = ", st AS (SELECT DISTINCT event_id, date, field, minute FROM ga), gp AS (SELECT event_id, minute - lag(minute) OVER (PARTITION BY event_id, date, field ORDER BY minute) AS gap FROM st), gl AS (SELECT event_id, coalesce(greatest(40, least(90, CAST(trunc(median(gap) FILTER (WHERE gap BETWEEN 20 AND 180)) AS INT))), 60) AS game_length FROM gp GROUP BY event_id)"
+_length = ", st AS (SELECT DISTINCT event_id, date, field, minute FROM ga), gp AS (SELECT event_id, minute - lag(minute) OVER (PARTITION BY event_id, date, field ORDER BY minute) AS gap FROM st), gl AS (SELECT event_id, CASE WHEN median(gap) FILTER (WHERE gap BETWEEN 20 AND 180) IS NULL THEN 60 ELSE greatest(40, least(90, CAST(trunc(median(gap) FILTER (WHERE gap BETWEEN 20 AND 180)) AS INT))) END AS game_length FROM gp GROUP BY event_id)"
 _prof = GA + _length + ", pr AS (SELECT event_id, date, site, count(*) AS games, count(DISTINCT field) AS fields_active, count(DISTINCT field) FILTER (WHERE minute >= 720) AS pm, count(DISTINCT field) FILTER (WHERE minute >= 870) AS late, min(minute) AS f, max(minute) AS l FROM ga GROUP BY GROUPING SETS ((event_id, date), (event_id, date, site)))"
 
 
