@@ -131,18 +131,21 @@ def battery(runs: Column) -> Column:
     return F.transform(counted, tested)
 
 
-def scan(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
-    """The id, the columns in ``keep``, and the spans of each row: base and found, both array<struct<start, rank, end>> in order.
+def scan(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", whole: bool = False) -> DataFrame:
+    """id and the spans of each row: base and found, both array<struct<start, rank, end>> in order; with ``whole`` also
+    row, a struct of all its columns, so that their names cannot clash with these.
 
     Null and empty texts have no spans. Rows are kept one for one. Ties in start go by kind as listed in ORDER.
     """
     scratch = Scratch(documents.sparkSession, "secrets")
+    row = [F.struct(*documents.columns).alias("row")] if whole else []
+    kept = ["id", "row"] if whole else ["id"]
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     none = F.array().cast("array<struct<start:int,rank:int,end:int,value:string>>")
     base = F.concat(*[F.when(text.rlike(LOOK[kind]), spans(text, pattern, kind, least)).otherwise(none) for kind, (pattern, least) in SEARCH.items()])
     bare = lambda a: F.transform(a, lambda s: F.struct(s["start"].alias("start"), s["rank"].alias("rank"), s["end"].alias("end")))
     runs = F.when(text.rlike(RUN), battery(spans(text, RUN, "random", 20))).otherwise(F.array().cast("array<struct<start:int,end:int,k:int,size:int,p:double>>"))
-    rows = scratch.table(documents.select(F.col(id_col), *(keep or []), F.array_sort(bare(base)).alias("base"), runs.alias("runs")), "rows")
+    rows = scratch.table(documents.select(F.col(id_col).alias("id"), *row, F.array_sort(bare(base)).alias("base"), runs.alias("runs")), "rows")
     # Rejections of randomness at the wanted false discovery rate, in each class, from counts of p-values by step.
     step = F.least(F.floor(-F.log10(F.greatest(F.col("r.p"), F.lit(1e-300))) * STEPS), F.lit(STEPS * DECADES)).cast("int")
     counts = rows.select(F.explode("runs").alias("r")).groupBy("r.k", "r.size", step.alias("step")).count()
@@ -153,7 +156,7 @@ def scan(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", k
     of = lambda x: [F.when((x["k"] == r.k) & (x["size"] == r["size"]), F.lit(float(r["limit"]))) for r in limits]
     random = F.filter("runs", lambda x: x["p"] > F.coalesce(*of(x), F.lit(0.0)))
     added = F.transform(random, lambda x: F.struct(x["start"].alias("start"), F.lit(ORDER.index("random")).alias("rank"), x["end"].alias("end")))
-    return rows.select(id_col, *(keep or []), "base", F.array_sort(F.concat("base", added)).alias("found"))
+    return rows.select(*kept, "base", F.array_sort(F.concat("base", added)).alias("found"))
 
 
 def written(spans: Column) -> Column:
@@ -166,23 +169,24 @@ def report(documents: DataFrame) -> DataFrame:
     """doc_id, n_assign, n_access, n_hex, base_sha256, spans for every row."""
     found = scan(documents)
     count = lambda k: F.size(F.filter("base", lambda s: s["rank"] == k)).cast("long")
-    return found.select("doc_id", *[count(ORDER.index(k)).alias(f"n_{k}") for k in ORDER[:3]], F.sha2(written(F.col("base")), 256).alias("base_sha256"), written(F.col("found")).alias("spans"))
+    return found.select(F.col("id").alias("doc_id"), *[count(ORDER.index(k)).alias(f"n_{k}") for k in ORDER[:3]], F.sha2(written(F.col("base")), 256).alias("base_sha256"), written(F.col("found")).alias("spans"))
 
 
 def redact(documents: DataFrame) -> DataFrame:
     """All columns of ``documents`` with every span of the text replaced by REDACTED and n_chars set anew."""
-    names = documents.columns
-    found = scan(documents, keep=[n for n in names if n != "doc_id"])
+    found = scan(documents, whole=True)
+    text = F.col("row.text")
     cut = F.aggregate(
         "found",
         F.struct(F.lit(0).alias("at"), F.lit("").alias("out")),
         lambda s, x: F.struct(
             F.greatest(s["at"], x["end"]).alias("at"),
-            F.when(x["start"] >= s["at"], F.concat(s["out"], F.substring("text", s["at"] + 1, x["start"] - s["at"]), F.lit(REDACTED))).otherwise(s["out"]).alias("out"),
+            F.when(x["start"] >= s["at"], F.concat(s["out"], F.substring(text, s["at"] + 1, x["start"] - s["at"]), F.lit(REDACTED))).otherwise(s["out"]).alias("out"),
         ),
     )
-    clean = F.when(F.size("found") == 0, F.col("text")).otherwise(F.concat(cut["out"], F.substring("text", cut["at"] + 1, F.length("text"))))
-    out = found.withColumn("text", clean)
-    if "n_chars" in names:
-        out = out.withColumn("n_chars", F.coalesce(F.length("text").cast("long"), F.lit(0)).cast(documents.schema["n_chars"].dataType))
-    return out.select(*names)
+    clean = F.when(F.size("found") == 0, text).otherwise(F.concat(cut["out"], F.substring(text, cut["at"] + 1, F.length(text))))
+    marked = found.select("row", clean.alias("clean"))
+    new = {"text": F.col("clean")}
+    if "n_chars" in documents.columns:
+        new["n_chars"] = F.coalesce(F.length("clean").cast("long"), F.lit(0)).cast(documents.schema["n_chars"].dataType)
+    return marked.select(*[new.get(c, F.col("row")[c]).alias(c) for c in documents.columns])
