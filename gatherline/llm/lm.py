@@ -36,13 +36,30 @@ ROUNDS = 60
 FLOOR = 1e-7
 
 
-def planes(values: np.ndarray) -> bytes:
-    """Bytes of 32-bit values, most alike together, so that they compress well."""
-    return np.ascontiguousarray(values.astype("<u4").view(np.uint8).reshape(-1, 4).T).tobytes()
+_ZSTD = pa.Codec("zstd", 3)
 
 
-def unplanes(data: bytes) -> np.ndarray:
-    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(4, -1).T).view("<u4").ravel().astype(np.int64)
+def planes(values: np.ndarray, width: int = 4) -> bytes:
+    """Bytes of unsigned integers of ``width`` bytes, most alike together, compressed."""
+    raw = np.ascontiguousarray(values.astype(f"<u{width}").view(np.uint8).reshape(-1, width).T).tobytes()
+    return len(raw).to_bytes(8, "little") + _ZSTD.compress(raw, asbytes=True) if raw else b""
+
+
+def unplanes(data: bytes, width: int = 4) -> np.ndarray:
+    if not data:
+        return np.zeros(0, np.int64 if width == 4 else U64)
+    raw = _ZSTD.decompress(data[8:], int.from_bytes(data[:8], "little"), asbytes=True)
+    out = np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(width, -1).T).view(f"<u{width}").ravel()
+    return out.astype(np.int64) if width == 4 else out
+
+
+def steps(keys: np.ndarray) -> bytes:
+    """Sorted 64-bit keys as the steps between them."""
+    return planes(np.diff(keys, prepend=U64(0)), 8)
+
+
+def unsteps(data: bytes) -> np.ndarray:
+    return np.cumsum(unplanes(data, 8), dtype=U64)
 
 
 def bigrams(hashes: np.ndarray, lengths: np.ndarray) -> np.ndarray:
@@ -121,20 +138,24 @@ class Shard:
 
 
 def ask(encoded: DataFrame, buckets: int) -> DataFrame:
-    """Packed slices of each shard's items: bucket, shard, kind, keys (48 bits each), counts."""
+    """Packed slices of each shard's items: bucket, shard, kind, keys, counts.
+
+    Keys lose as many low bits as a large number of buckets would give back, eight at most.
+    """
+    short = U64(max(0, min(8, 14 - buckets.bit_length())))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
                 for kind, (unique, _, times) in enumerate(Shard(row).items()):
                     at = cut(unique, buckets)
-                    low = np.ascontiguousarray(unique.view(np.uint8).reshape(-1, 8)[:, :6])
+                    kept = unique >> short
                     yield pa.record_batch(
                         [
                             pa.array(np.arange(buckets), pa.int32()),
                             pa.array(np.full(buckets, row["shard"]), pa.int64()),
                             pa.array(np.full(buckets, kind), pa.int32()),
-                            pa.array([low[a:b].tobytes() for a, b in zip(at[:-1], at[1:], strict=True)], pa.binary()),
+                            pa.array([steps(kept[a:b]) for a, b in zip(at[:-1], at[1:], strict=True)], pa.binary()),
                             pa.array([planes(times[a:b]) for a, b in zip(at[:-1], at[1:], strict=True)], pa.binary()),
                         ],
                         ["bucket", "shard", "kind", "keys", "counts"],
@@ -147,11 +168,7 @@ def answer(rows: pd.DataFrame) -> pd.DataFrame:
     """A bucket's total counts in the order each shard asked, with its sum and number of known items."""
     out = []
     for kind, part in rows.groupby("kind"):
-        keys = []
-        for k in part["keys"]:
-            wide = np.zeros((len(k) // 6, 8), np.uint8)
-            wide[:, :6] = np.frombuffer(k, np.uint8).reshape(-1, 6)
-            keys.append(wide.view(U64).ravel())
+        keys = [unsteps(k) for k in part["keys"]]
         times = [unplanes(c) for c in part["counts"]]
         unique, place = np.unique(np.concatenate(keys), return_inverse=True)
         total = np.bincount(place, np.concatenate(times), len(unique)).astype(np.int64)
