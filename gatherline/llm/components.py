@@ -1,8 +1,9 @@
-"""Connected components of an edge table, by least labels and pointer jumping.
+"""Connected components of an edge table, by contraction.
 
-Each round lowers every node's label to the least of its neighbours' and then to its label's label. Labels and edges
-are tables read from files, so both sides of every join are dealt anew and a node with very many edges is split
-between tasks; least labels are aggregated before they are shuffled. Nothing is collected but one sum a round.
+In each round every node hooks onto its neighbour (or itself) that comes first in a hashed order, labels jump once, and
+edges are rewritten between labels; loops and repeats go. A share of the nodes vanishes each round whatever the graph's
+shape, so the edges that are joined shrink geometrically and rounds grow with the logarithm of the nodes. Then the
+rounds' labels are composed, and each component is named by its least node. Nothing is collected.
 """
 
 from __future__ import annotations
@@ -16,26 +17,32 @@ from gatherline.plans.scratch import Scratch
 def components(edges: DataFrame, scratch: Scratch, name: str = "components") -> DataFrame:
     """(node, component) of every node in ``edges`` (columns a, b); component is the least node it reaches.
 
-    Rounds grow with the logarithm of the longest path in practice; no edges give no rows.
+    Loops and repeated edges do no harm; no edges give no rows.
     """
-    both = edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).where("a <> b").distinct()
-    both = scratch.table(both, f"{name}-edges")
-    labels = scratch.table(both.groupBy("a").agg(F.min(F.least("a", "b")).alias("label")).withColumnRenamed("a", "node"), f"{name}-0")
-    total, turn = labels.agg(F.sum(F.col("label").cast("decimal(38,0)"))).first()[0], 0
-    while total is not None:
-        turn += 1
-        near = both.join(labels, both.a == labels.node).select(F.col("b").alias("node"), "label")
-        lower = scratch.table(near.unionByName(labels).groupBy("node").agg(F.min("label").alias("label")), f"{name}-{turn}-near")
-        up = lower.select(F.col("node").alias("label"), F.col("label").alias("up"))
-        after = scratch.table(lower.join(up, "label").select("node", F.least("label", "up").alias("label")), f"{name}-{turn}")
-        now = after.agg(F.sum(F.col("label").cast("decimal(38,0)"))).first()[0]
-        scratch.drop(f"{name}-{turn}-near")
-        scratch.drop(f"{name}-{turn - 1}")
-        labels = after
-        if now == total:
-            break
-        total = now
-    return labels.select("node", F.col("label").alias("component"))
+    pair = lambda x, y: [F.greatest(x, y).alias("a"), F.least(x, y).alias("b")]
+    left = scratch.table(edges.where("a <> b").select(*pair("a", "b")).distinct(), f"{name}-edges-0")
+    rounds: list[DataFrame] = []
+    while not left.isEmpty():
+        turn = len(rounds)
+        order = lambda c, t=turn: F.struct(F.xxhash64(F.lit(t), c).alias("h"), F.col(c).alias("v"))
+        ends = left.select(F.col("a").alias("node"), order("b").alias("to")).unionByName(left.select(F.col("b").alias("node"), order("a").alias("to")))
+        best = ends.groupBy("node").agg(F.min("to").alias("to"))
+        parent = scratch.table(best.select("node", F.least("to", order("node"))["v"].alias("label")), f"{name}-parent-{turn}")
+        up = parent.select(F.col("node").alias("label"), F.col("label").alias("top"))
+        label = scratch.table(parent.join(up, "label").select("node", F.col("top").alias("label")), f"{name}-label-{turn}")
+        rounds.append(label)
+        one = left.join(label.select(F.col("node").alias("a"), F.col("label").alias("x")), "a")
+        two = one.join(label.select(F.col("node").alias("b"), F.col("label").alias("y")), "b")
+        left = scratch.table(two.where("x <> y").select(*pair("x", "y")).distinct(), f"{name}-edges-{turn + 1}")
+    if not rounds:
+        return left.select(F.col("a").alias("node"), F.col("b").alias("component"))
+    root = rounds.pop()
+    while rounds:
+        above = root.select(F.col("node").alias("label"), F.col("label").alias("root"))
+        root = rounds.pop().join(above, "label", "left").select("node", F.coalesce("root", "label").alias("label"))
+    root = scratch.table(root, f"{name}-root")
+    named = root.groupBy("label").agg(F.min("node").alias("component"))
+    return scratch.table(root.join(named, "label").select("node", "component"), f"{name}-named")
 
 
 class Forest:

@@ -199,16 +199,17 @@ def group(documents: DataFrame, width: int = 5, percent: int = PERCENT, id_col:
     star = scratch.table(two.select("leader", "rep", "x", "y").mapInArrow(confirm, "a long, b long"), "star")
     first = components(star, scratch, "first")
     rest = _settle(member, first, sets, scratch, percent)
-    last = components(star.unionByName(rest), scratch, "last")
-    named = classes.select("digest", "rep").join(last.withColumnRenamed("node", "rep"), "rep", "left")
-    named = scratch.table(named.select("digest", F.coalesce("component", "rep").alias("component")), "named")
+    # What was settled joins whole components: only their names are linked.
+    last = components(rest, scratch, "last").select(F.col("node").alias("component"), F.col("component").alias("further"))
+    named = classes.select("digest", "rep").join(first.withColumnRenamed("node", "rep"), "rep", "left").select("digest", F.coalesce("component", "rep").alias("component"))
+    named = scratch.table(named.join(last, "component", "left").select("digest", F.coalesce("further", "component").alias("component")), "named")
     joined = seen.select("doc_id", "n_shingles", "digest").join(named, "digest", "left")
     out = joined.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id")).alias("component_id"))
     return out.withColumn("kept", F.coalesce(F.col("component_id") == F.col("doc_id"), F.lit(False)))
 
 
 def _settle(member: DataFrame, first: DataFrame, sets: DataFrame, scratch: Scratch, percent: int) -> DataFrame:
-    """Links that the leaders missed: exact comparison among the members of keys that are not yet one component."""
+    """Components linked by pairs that the leaders missed: exact comparison among the members of keys that are not yet one component."""
     grouped = member.where("n > 2").join(first.withColumnRenamed("node", "rep"), "rep", "left").select("key", "leader", "rep", F.coalesce("component", "rep").alias("component"))
     grouped = scratch.table(grouped, "grouped")
     split = scratch.table(grouped.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("key"), "split")
@@ -227,9 +228,9 @@ def _settle(member: DataFrame, first: DataFrame, sets: DataFrame, scratch: Scrat
         rows = rows.sort_values("rep", ignore_index=True)
         block = rows["block"].to_numpy()
         side = np.where(block == key[1], 1, 0) | np.where(block == key[2], 2, 0)
-        ids = rows["rep"].to_numpy()
-        found = block_links([np.frombuffer(s, U64) for s in rows["shingles"]], rows["component"].to_numpy(), side, percent)
-        return pd.DataFrame([(ids[i], ids[j]) for i, j in found], columns=["a", "b"])
+        group = rows["component"].to_numpy()
+        found = block_links([np.frombuffer(s, U64) for s in rows["shingles"]], group, side, percent)
+        return pd.DataFrame([(group[i], group[j]) for i, j in found], columns=["a", "b"])
 
     return scratch.table(tiles.groupBy("lump", "low", "high").applyInPandas(compare, "a long, b long"), "rest")
 
