@@ -1,6 +1,7 @@
 """Toxicity: a logistic classifier on word presence, regularised by counterfactuals.
 
-Words that tell the classes apart in a bounded labelled sample are features, and every identity term is one. Training
+Words and beginnings of words that tell the classes apart in a bounded labelled sample are features (abuse is inflected
+and compounded, so a stem says more than the words seen), and every identity term is one. Training
 adds to the loss, for each labelled text that names a group, the squared change of the score when the term is swapped
 for another of its set; a neutral mention then weighs like any other and does not raise the score.
 """
@@ -24,6 +25,11 @@ SAMPLE_PER_CLASS = 2500
 #: A word is a feature if at least MIN_DOCUMENTS have it and its log-odds reach ODDS_LEAST and Z_LEAST standard errors.
 MIN_DOCUMENTS, ODDS_LEAST, Z_LEAST, MOST_FEATURES = 5, 2.5, 3.2, 4096
 THRESHOLD = 0.3
+#: Bytes of the beginnings that longer words also count by, and how much more a toxic text weighs in training.
+STEMS = range(6, 11)
+TOXIC_WEIGHT = 2.0
+#: The highest bit of a feature's hash tells beginnings from whole words.
+STEM = np.uint64(1 << 63)
 #: Terms that name groups, in sets whose members may stand for each other.
 IDENTITY = [
     ["women", "men"],
@@ -44,14 +50,20 @@ def _hash_words(texts: list[str]) -> np.ndarray:
     joined = "\n".join(texts).encode()
     data = np.frombuffer(joined, np.uint8)
     starts, ends, _ = letter_words(data, np.array([0, len(data)]))
-    return span_hashes(data, starts, ends)
+    return span_hashes(data, starts, ends) & ~STEM
 
 
 def presence(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of all words of a block, lower-cased, and each one's document."""
+    """Hashes of all words of a block and of their beginnings, lower-cased, and each one's document."""
     data = LOWER[data]
     starts, ends, firsts = letter_words(data, offsets)
-    return span_hashes(data, starts, ends), np.repeat(np.arange(len(offsets) - 1), np.diff(firsts))
+    doc = np.repeat(np.arange(len(offsets) - 1), np.diff(firsts))
+    hashes, docs = [span_hashes(data, starts, ends) & ~STEM], [doc]
+    for size in STEMS:
+        long = ends - starts > size
+        hashes.append(span_hashes(data, starts[long], starts[long] + size) | STEM)
+        docs.append(doc[long])
+    return np.concatenate(hashes), np.concatenate(docs)
 
 
 class Model:
@@ -118,7 +130,8 @@ def train(texts: list[str], labels: np.ndarray, identity: list[list[str]] = IDEN
             swaps[f, at[(k + 1) % len(at)]] += seen.get(f, 0) + 1
     left, right = (np.array([p[k] for p in swaps], np.int64) for k in (0, 1))
     times = np.array([*swaps.values()], float) / len(texts)
-    balance = np.full(len(texts), 1 / len(texts))
+    balance = np.where(labels == 1, TOXIC_WEIGHT, 1.0)
+    balance /= balance.sum()
 
     def gradient(w: np.ndarray) -> np.ndarray:
         error = (sigmoid(w[-1] + np.bincount(doc, w[feature], len(texts))) - labels) * balance
