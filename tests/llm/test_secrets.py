@@ -1,0 +1,76 @@
+from __future__ import annotations
+
+import hashlib
+import random
+import re
+
+from gatherline.llm import secrets
+
+ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
+KINDS = ("assign", "access", "hex")
+
+
+def brute(text: str | None):
+    """Base spans by plain regular expressions; letters of the keyword in either case, ASCII only."""
+    text = text or ""
+    keyword = re.compile("((?:" + "|".join("".join(f"[{c}{c.upper()}]" if c.isalpha() else c for c in w) for w in ("password", "passwd", "secret", "token")) + r"|[aA][pP][iI]_?[kK][eE][yY]))" + r"""["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
+    out = [(m.start(), 0, m.end()) for m in keyword.finditer(text) if len(m[2]) >= 12]
+    out += [(m.start(), 1, m.end()) for m in re.finditer("AKIA[A-Z0-9]+", text) if len(m[0]) >= 18]
+    out += [(m.start(), 2, m.end()) for m in re.finditer("[0-9a-f]+", text) if len(m[0]) >= 16]
+    return sorted(out)
+
+
+def written(spans):
+    return ",".join(f"{KINDS[k]}:{a}:{b}" for a, k, b in spans)
+
+
+def check(df):
+    rows = {(r.doc_id): r for r in secrets.report(df).collect()}
+    for r in df.select("doc_id", "text").collect():
+        got, want = rows[r.doc_id], brute(r.text)
+        assert (got.n_assign, got.n_access, got.n_hex) == tuple(sum(k == x for _, x, _ in want) for k in range(3)), (r.text or "")[:300]
+        assert got.base_sha256 == hashlib.sha256(written(want).encode()).hexdigest()
+        spans = got.spans.split(",") if got.spans else []
+        assert [s for s in spans if not s.startswith("random:")] == ([*written(want).split(",")] if want else [])
+    return rows
+
+
+def test_base_spans_match_brute_force(spark, documents, odd):
+    check(documents)
+    check(odd.where("doc_id is not null").dropDuplicates(["doc_id"]))
+
+
+def test_strange_texts(spark):
+    rng = random.Random(4)
+    parts = ["password", "PassWd", "api_key", "APIKEY", "apikey", "secret", "Token", "=", ":", " ", '"', "'", "AKIA", "abcdef0123456789", "ABCDEFGH12345678", "+/_.=-", "é", "😀", "ſecret", "toKen", "\n", "x", "0f" * 40, "AKIAAKIA", ".", "Z9" * 8]
+    rows = [(i, "".join(rng.choice(parts) for _ in range(rng.randrange(0, 30)))) for i in range(600)]
+    check(spark.createDataFrame(rows, "doc_id long, text string"))
+
+
+def test_random_strings_are_found_and_prose_is_not(spark):
+    rng = random.Random(9)
+    base64 = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
+    rows = [(i, "value " + "".join(rng.choice(base64) for _ in range(40)) + " end") for i in range(200)]
+    rows += [(1000 + i, f"see antidisestablishmentarianism/and-other_long_words/in-a-row{'-of-text' * (i % 5)} here aaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaa") for i in range(200)]
+    out = {r.doc_id: r.spans for r in secrets.report(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert sum("random:6:46" in out[i] for i in range(200)) >= 180
+    assert sum("random" in out[1000 + i] for i in range(200)) <= 10
+
+
+def test_redaction_removes_every_span(spark, documents, odd, none):
+    df = documents.limit(200)
+    found = {r.doc_id: r for r in secrets.report(df).collect()}
+    for r, o in zip(sorted(secrets.redact(df).collect(), key=lambda r: r.doc_id), sorted(df.collect(), key=lambda r: r.doc_id), strict=True):
+        if found[r.doc_id].spans:
+            assert secrets.REDACTED in r.text and not brute(r.text)
+        else:
+            assert r.text == o.text
+        assert r.n_chars == len(r.text or "")
+    out = secrets.redact(odd)
+    assert out.columns == odd.columns and out.count() == odd.count()
+    assert secrets.redact(none).count() == 0 and secrets.report(none).count() == 0
+
+
+def test_plan_has_no_python(documents):
+    plan = secrets.report(documents)._jdf.queryExecution().toString()
+    assert not re.search("Python|Pandas|Arrow", plan)
