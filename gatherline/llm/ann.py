@@ -3,7 +3,9 @@
 Vectors are projected at random to a few dimensions, shifted, and put in the order of a Hilbert curve; several such
 orderings are made. Each ordering is dealt by key range into blocks of like size; a query meets the blocks within its
 window on every curve, and what the windows find is merged and reranked by exact inner products on the vectors as they
-came. The window is a share of the table, so recall does not fall as the table grows.
+came. How wide the windows must be depends on the data: a bounded number of queries is first answered exactly, and the
+window is the least that holds the wanted share of their true neighbours on some curve. Clustered vectors need a narrow
+one at any size; vectors without structure need most of the table, as with any index.
 """
 
 from __future__ import annotations
@@ -11,16 +13,17 @@ from __future__ import annotations
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from gatherline.llm.embdedup import usable
 from gatherline.plans.scratch import Scratch
 
 CURVES = 10
-DIMENSIONS, BITS = 4, 6
-#: Blocks of a curve that a query meets to each side of its own, as a share of the curve; and rows of a block at most.
-WINDOW = 1 / 12
+DIMENSIONS, BITS = 8, 4
+#: Queries that are answered exactly to set the window, and the share of their neighbours that it must hold.
+PROBES, RECALL = 128, 0.95
+#: Rows of a block at most.
 BLOCK = 4096
 LEAST_BLOCKS = 24
 #: Tables of up to so many vectors are one block on one curve.
@@ -70,6 +73,46 @@ def best(ids: np.ndarray, data: np.ndarray, query_id: int, query: np.ndarray, pr
     return ids[other][order], exact[order]
 
 
+def _reach(keyed: DataFrame, borders: list[np.ndarray], every: int, k: int) -> int:
+    """Blocks to each side of a query's own that hold RECALL of the true neighbours of PROBES queries on some curve.
+
+    Every task keeps its k best rows for each probe, and of those the k best of all remain; only these reach the driver.
+    """
+    probes = keyed.where(F.col("vec_id") % every == 0).orderBy(F.xxhash64("vec_id"), "vec_id").limit(PROBES).collect()
+    if not probes:
+        return 0
+    asked = np.array([r.vec_id for r in probes], np.int64)
+    queries = np.array([r.embedding for r in probes], float)
+    homes = lambda together: np.stack([np.searchsorted(b, together[:, c], "right") for c, b in enumerate(borders)], axis=1)
+
+    def nearest(batches):
+        ids, scores, home = np.zeros((len(asked), 0), np.int64), np.zeros((len(asked), 0)), np.zeros((len(asked), 0, len(borders)), np.int64)
+        for batch in batches:
+            if not len(batch):
+                continue
+            own = batch.column(0).to_numpy()
+            products = queries @ np.stack(batch.column(1).to_numpy(zero_copy_only=False)).astype(float).T
+            products[asked[:, None] == own[None, :]] = -np.inf
+            at = homes(np.stack(batch.column(2).to_numpy(zero_copy_only=False)))
+            ids = np.concatenate([ids, np.broadcast_to(own, products.shape)], axis=1)
+            scores = np.concatenate([scores, products], axis=1)
+            home = np.concatenate([home, np.broadcast_to(at, (len(asked), *at.shape))], axis=1)
+            best = np.argsort(-scores, axis=1, kind="stable")[:, :k]
+            ids, scores, home = (np.take_along_axis(x, best if x.ndim == 2 else best[:, :, None], axis=1) for x in (ids, scores, home))
+        for i in range(len(asked)):
+            fine = np.flatnonzero(np.isfinite(scores[i]))
+            yield pa.record_batch([pa.array(np.full(len(fine), i, np.int32)), pa.array(ids[i][fine]), pa.array(scores[i][fine]), pa.array(home[i][fine].tolist(), pa.list_(pa.int64()))], ["probe", "vec_id", "score", "home"])
+
+    found = keyed.mapInArrow(nearest, "probe int, vec_id long, score double, home array<long>")
+    order = Window.partitionBy("probe").orderBy(F.desc("score"), "vec_id")
+    rows = found.withColumn("n", F.row_number().over(order)).where(F.col("n") <= k).select("probe", "home").collect()  # PROBES * k at most
+    if not rows:
+        return 0
+    mine = homes(np.array([r["keys"] for r in probes], np.int64))
+    away = np.abs(np.array([r.home for r in rows]) - mine[[r.probe for r in rows]]).min(axis=1)
+    return int(np.quantile(away, RECALL, method="inverted_cdf"))
+
+
 def search(embeddings: DataFrame, every: int = 20, k: int = 20) -> DataFrame:
     """The k nearest of each row whose vec_id is divisible by ``every``, among all other rows.
 
@@ -108,10 +151,10 @@ def search(embeddings: DataFrame, every: int = 20, k: int = 20) -> DataFrame:
     salt = F.pmod(F.xxhash64("vec_id"), F.lit(1 << SALT_BITS))
     keyed = scratch.table(keyed.withColumn("keys", F.transform("keys", lambda x: F.shiftleft(x, SALT_BITS) + salt)), "keyed")
     blocks = 1 if n <= WHOLE else max(LEAST_BLOCKS, -(-n // BLOCK))
-    reach = 0 if blocks == 1 else max(2, round(blocks * WINDOW))
     shares = [i / blocks for i in range(1, blocks)] or [0.5]
     cuts = keyed.select(*[F.percentile_approx(F.col("keys")[c], shares, F.lit(max(10_000, 20 * blocks))) for c in range(curves)]).first()
     borders = [np.unique(q) if blocks > 1 else np.zeros(0, np.int64) for q in cuts]
+    reach = _reach(keyed, borders, every, k) if blocks > 1 else 0
 
     def dealt(batches):
         for batch in batches:
@@ -134,7 +177,7 @@ def search(embeddings: DataFrame, every: int = 20, k: int = 20) -> DataFrame:
         asks = group["asks"].to_numpy() == 1
         found, all_ids = [], group["vec_id"].to_numpy()
         if asks.all() or not asks.any():
-            return pd.DataFrame({"query_id": [], "ids": [], "scores": []})
+            return pd.DataFrame([], columns=["query_id", "ids", "scores"])
         data = np.stack(group["embedding"].to_numpy()).astype(float)
         ids, queries, base = all_ids[~asks], np.flatnonzero(asks), data[~asks]
         for low in range(0, len(queries), 256):
