@@ -100,22 +100,25 @@ def matching_pairs(classes: DataFrame, across_months: bool = False) -> DataFrame
     return judged.groupBy(F.least("x.ord", "y.ord").alias("a"), F.greatest("x.ord", "y.ord").alias("b")).agg(F.min("reason").alias("reason"))
 
 
-def leaders(nodes: DataFrame, pairs: DataFrame, scratch: Scratch, rounds: int = 500) -> DataFrame:
+def leaders(nodes: DataFrame, pairs: DataFrame, scratch: Scratch, few: int = 100_000) -> DataFrame:
     """(ord, leader): greedy leader clustering in arrival order, in rounds over all clusters at once.
 
     A row joins the first leader before it that it matches, else it leads. In a round, a row whose earliest remaining
     match leads follows it; matches that follow others are struck out; a row without matches left leads. At least the
-    first open row is settled in each round, and in practice all chains advance together. Open pairs are written to the
-    shared folder, which cuts the lineage. pairs: a < b, both in ``nodes`` (column ord). No group is collected.
+    first open row is settled in each round, and in practice all chains advance together; rounds follow until none is
+    open. At most ``few`` open pairs are settled by the plain pass on the driver, so that a long chain does not cost a
+    round a link. Open pairs are written to the shared folder, which cuts the lineage. pairs: a < b, both in ``nodes``
+    (column ord). No group is collected.
     """
+    spark = nodes.sparkSession
     edges = scratch.table(pairs.select("a", "b").distinct(), "pairs")
     blocked = edges.select(F.col("b").alias("ord")).distinct()
     done = scratch.table(nodes.select("ord").join(blocked, "ord", "left_anti").withColumn("leader", F.col("ord")), "led-0")
     mark = done.select(F.col("ord").alias("a"), F.lit(True).alias("_led"))
     left = scratch.table(edges.join(mark, "a", "left").select("a", "b", F.coalesce("_led", F.lit(False)).alias("chief")), "open-0")
-    for turn in range(1, rounds + 1):
-        if left.isEmpty():
-            return done
+    turn = 0
+    while left.count() > few:
+        turn += 1
         front = left.groupBy("b").agg(F.min(F.struct("a", "chief")).alias("f"))
         follow = scratch.table(front.where("f.chief").select(F.col("b").alias("ord"), F.col("f.a").alias("leader")), f"follow-{turn}")
         waiting = left.join(follow.select(F.col("ord").alias("b")), "b", "left_anti")
@@ -123,11 +126,22 @@ def leaders(nodes: DataFrame, pairs: DataFrame, scratch: Scratch, rounds: int =
         freed = waiting.select("b").distinct().join(rest.select("b").distinct(), "b", "left_anti").select(F.col("b").alias("ord"), F.col("b").alias("leader"))
         freed = scratch.table(freed, f"freed-{turn}")
         done = done.unionByName(follow).unionByName(freed)
+        if turn % 16 == 0:  # the plan of the result stays short, however many rounds there are
+            done = scratch.table(done, f"led-{turn}")
         mark = freed.select(F.col("ord").alias("a"), F.lit(True).alias("_led"))
         left = scratch.table(rest.join(mark, "a", "left").select("a", "b", (F.col("chief") | F.col("_led").isNotNull()).alias("chief")), f"open-{turn}")
         scratch.drop(f"rest-{turn}")
         scratch.drop(f"open-{turn - 1}")
-    raise RuntimeError(f"clustering still open after {rounds} rounds")
+    open_rows = left.orderBy("b", "a").toArrow().to_pylist()
+    # Open rows have a pair as b; an a that is not open leads or has been struck out with its pairs.
+    chiefs = {r["a"] for r in open_rows if r["chief"]}
+    last = {}
+    for r in open_rows:
+        if r["b"] not in last:
+            last[r["b"]] = r["b"]
+        if last[r["b"]] == r["b"] and (r["a"] in chiefs or last.get(r["a"]) == r["a"]):
+            last[r["b"]] = r["a"]
+    return done.unionByName(spark.createDataFrame([*last.items()], done.schema)) if last else done
 
 
 def cluster(rows: DataFrame, across_months: bool = False) -> DataFrame:

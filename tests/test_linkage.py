@@ -168,6 +168,52 @@ def test_assignment_equals_a_greedy_pass(spark, seed):
     assert got == want
 
 
+def taken_in_order(rows):
+    want, left, right = set(), set(), set()
+    for a, b, _, _ in sorted(rows, key=lambda r: (-r[2], r[3])):
+        if a not in left and b not in right:
+            want.add((a, b))
+            left.add(a)
+            right.add(b)
+    return want
+
+
+PAIRS = "a long, b long, score double, n long"
+
+
+def test_assignment_settles_a_block_of_equal_scores_whole(spark):
+    # 1,200 x 1,100 pairs of one score: one mutual pair a round, so over 1,000 rounds without the queues.
+    one, other = spark.range(1200).withColumnRenamed("id", "a"), spark.range(1100).withColumnRenamed("id", "b")
+    rows = one.crossJoin(other).selectExpr("a", "b", "7D AS score", "a * 1000000000 + b AS n")
+    got = {(r.a, r.b) for r in editions.assign(rows, "a", "b", "score", "n", few=0).collect()}
+    assert got == {(i, i) for i in range(1100)}
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_assignment_of_tied_blocks_in_rounds_equals_a_greedy_pass(spark, seed):
+    # Blocks that share sides, three scores; no pair is settled on the driver.
+    rng = random.Random(seed)
+    score = {(x, y): float(rng.randrange(3)) for x in range(4) for y in range(4) if rng.random() < 0.8}
+    rows = [(a, b, score[a % 4, b % 4], a * 1000 + b) for a in range(60) for b in range(50) if (a % 4, b % 4) in score]
+    got = {(r.a, r.b) for r in editions.assign(spark.createDataFrame(rows, PAIRS), "a", "b", "score", "n", few=0).collect()}
+    assert got == taken_in_order(rows)
+
+
+def test_assignment_of_a_long_chain(spark):
+    # Each pair waits for the one before it: 450 rounds.
+    rows = [(i // 2, (i + 1) // 2, 1.0, i) for i in range(900)]
+    got = {(r.a, r.b) for r in editions.assign(spark.createDataFrame(rows, PAIRS), "a", "b", "score", "n").collect()}
+    assert got == taken_in_order(rows) and len(got) == 450
+
+
+@pytest.mark.parametrize("n, few", [(1500, 100_000), (40, 0)])
+def test_leaders_of_a_long_chain(spark, n, few):
+    # A path needs a round for every second row; the short one is left to the rounds alone.
+    pairs = spark.range(n - 1).selectExpr("id AS a", "id + 1 AS b")
+    got = linkage.leaders(spark.range(n).withColumnRenamed("id", "ord"), pairs, Scratch(spark, "test"), few=few)
+    assert {r.ord: r.leader for r in got.collect()} == {i: i - i % 2 for i in range(n)} and got.count() == n
+
+
 def test_assignment_of_nothing(spark):
     assert editions.assign(spark.createDataFrame([], "a long, b long, score double, n long"), "a", "b", "score", "n").count() == 0
 
