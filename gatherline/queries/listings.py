@@ -35,9 +35,9 @@ def src_03(spark, sf_dir):
     path = f"{Scratch(spark, 'seed').root}/seed"
     c = table(spark, sf_dir, "customer").where("c_custkey < 20")
     key = F.when(F.col("c_custkey") % 3 == 0, F.concat(F.lit("_"), "c_name")).otherwise(F.col("c_name"))
-    entry = F.struct(key.alias("k"), F.concat(F.lit("https://"), F.col("c_custkey").cast("string"), F.lit(".test")).alias("v"))
-    c.agg(F.to_json(F.map_from_entries(F.collect_list(entry))).alias("value")).coalesce(1).write.text(path)  # 20 entries
-    return landed.seed_sites(spark, path).select("name", "website")
+    site = F.concat(F.lit("https://"), F.col("c_custkey").cast("string"), F.lit(".test"))
+    c.select(F.to_json(F.create_map(key, site)).alias("value")).write.text(path)
+    return landed.seed_sites(spark, path, lines=True).select("name", "website")
 
 
 @query("src_04_report_csv", EV + " SELECT ord, coalesce(name, '') AS name, coalesce(organizer, '') AS organizer FROM ev WHERE name <> ''")

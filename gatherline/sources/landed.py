@@ -20,9 +20,12 @@ def json_lines(spark: SparkSession, path: str, schema: str) -> tuple[DataFrame,
     return good, made.where(f"r.{BAD} IS NOT NULL").select("value", "file")
 
 
-def seed_sites(spark: SparkSession, path: str) -> DataFrame:
-    """(name, website, pages) of a JSON object whose values are a website or {website, pages}; '_' keys and others go."""
-    one = spark.read.text(path, wholetext=True)
+def seed_sites(spark: SparkSession, path: str, lines: bool = False) -> DataFrame:
+    """(name, website, pages) of a JSON object whose values are a website or {website, pages}; '_' keys and others go.
+
+    Each file is one object or, with ``lines``, each line is, so that a large seed is read by many tasks.
+    """
+    one = spark.read.text(path, wholetext=not lines)
     whole = F.from_json("value", "map<string,string>")
     entry = one.select(F.explode(whole).alias("name", "v"))
     site = F.when(F.col("v").startswith("{"), F.get_json_object("v", "$.website")).otherwise(F.col("v"))
@@ -66,6 +69,12 @@ def missing_ids(spark: SparkSession, start: int, end: int, landed: DataFrame, id
     return spark.range(start, end).withColumnRenamed("id", id_col).join(landed.select(id_col).distinct(), id_col, "left_anti")
 
 
+def gaps(landed: DataFrame, id_col: str, overhang: int = 0) -> DataFrame:
+    """Ids from the least landed one to the greatest, and ``overhang`` beyond, that have not landed."""
+    low, high = landed.agg(F.min(id_col), F.max(id_col)).first()
+    return missing_ids(landed.sparkSession, 0 if low is None else low, 0 if low is None else high + 1 + overhang, landed, id_col)
+
+
 # --- pages
 
 

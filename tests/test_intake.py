@@ -107,3 +107,16 @@ def test_ranked_links(spark):
     html = '<a href="/about">About</a><a href="/events/fall">Fall</a><a href="/events/fall">again</a><a href="?p=2">more</a><a href="mailto:x@mail.test">m</a>'
     got = [(r.rank, r.href, r.kind) for r in landed.ranked_links(spark.createDataFrame([(1, html)], "page_id long, html string")).orderBy("rank").collect()]
     assert got == [(1, "/events/fall", "event"), (2, "/about", "page"), (3, "?p=2", "query")]
+
+
+def test_gaps_of_all_landed_ids(spark):
+    ids = spark.range(5, 60_000).where("id NOT IN (7, 45000, 59998)")
+    assert sorted(r.id for r in landed.gaps(ids, "id", 2).collect()) == [7, 45_000, 59_998, 60_000, 60_001]
+    assert landed.gaps(ids.limit(0), "id", 2).count() == 0
+
+
+def test_seed_of_many_lines(spark, tmp_path):
+    rows = spark.range(1000).selectExpr("""to_json(map(concat(CASE WHEN id % 3 = 0 THEN '_' ELSE '' END, 'c', id), concat('https://', id, '.test'))) AS value""")
+    rows.repartition(3).write.text(f"{tmp_path}/seed")
+    got = {(r.name, r.website) for r in landed.seed_sites(spark, f"{tmp_path}/seed", lines=True).collect()}
+    assert got == {(f"c{i}", f"https://{i}.test") for i in range(1000) if i % 3}
