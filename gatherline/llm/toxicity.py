@@ -2,14 +2,17 @@
 
 Words and beginnings of words that tell the classes apart in a bounded labelled sample are features (abuse is inflected
 and compounded, so a stem says more than the words seen), and every identity term is one. Training
-adds to the loss, for each labelled text that names a group, the squared change of the score when the term is swapped
-for another of its set; a neutral mention then weighs like any other and does not raise the score.
+adds to the loss, for each labelled text that names a group, the squared change of the whole score when the term is
+swapped for the next of its set and when it is left out; the changed texts are read as any text is, so the beginnings of
+a term count too. A neutral mention then weighs like any other and does not raise the score.
 """
 
 from __future__ import annotations
 
+import re
 from collections import Counter
 from collections.abc import Iterator
+from itertools import batched
 
 import numpy as np
 import pyarrow as pa
@@ -66,6 +69,16 @@ def presence(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndar
     return np.concatenate(hashes), np.concatenate(docs)
 
 
+def counterfactuals(texts: list[str], identity: list[list[str]]) -> Iterator[tuple[str, str]]:
+    """(text, changed text) for each text and each identity term in it, and for each term alone: swapped, and left out."""
+    after = {a.encode(): b.encode() for g in identity for a, b in zip(g, g[1:] + g[:1], strict=True)}
+    for t in [*texts, *(term for g in identity for term in g)]:
+        parts = re.split(rb"([a-z\x80-\xff]+)", t.encode().translate(LOWER.tobytes()))
+        for term in sorted(after.keys() & set(parts[1::2])):
+            for new in (after[term], b""):
+                yield t, b"".join(new if p == term else p for p in parts).decode()
+
+
 class Model:
     """Sorted word hashes, their weights, and the bias."""
 
@@ -89,6 +102,26 @@ class Model:
         return sigmoid(self.bias + np.bincount(doc, self.weights[feature], len(offsets) - 1))
 
 
+def changes(shape: Model, pairs: Iterator[tuple[str, str]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(pair, feature, 1 or -1) where just the first, or just the second, text of a pair has the feature."""
+    found, low = [], 0
+    for some in batched(pairs, 256):
+        sets = []
+        for k in (0, 1):
+            keys = []
+            for at, _, data, offsets in blocks(pa.array([p[k] for p in some])):
+                doc, feature = shape.found(*presence(data, offsets))
+                keys.append((doc + (low + at)) * len(shape.hashes) + feature)
+            sets.append(np.concatenate(keys))
+        for one, other, s in ((*sets, 1.0), (*sets[::-1], -1.0)):
+            only = np.setdiff1d(one, other, assume_unique=True)
+            found.append((only, np.full(len(only), s)))
+        low += len(some)
+    keys, sign = (np.concatenate([f[k] for f in found]) if found else np.zeros(0, np.int64) for k in (0, 1))
+    order = np.argsort(keys, kind="stable")
+    return keys[order] // len(shape.hashes), keys[order] % len(shape.hashes), sign[order].astype(float)
+
+
 def train(texts: list[str], labels: np.ndarray, identity: list[list[str]] = IDENTITY, penalty: float = 4.0) -> Model:
     """Learns the weights; labels are 0 or 1. Without both classes the score is that class's for every text."""
     if len(texts) == 0 or len(set(labels.tolist())) < 2:
@@ -121,15 +154,9 @@ def train(texts: list[str], labels: np.ndarray, identity: list[list[str]] = IDEN
         docs.append(doc + low)
         features.append(feature)
     doc, feature = np.concatenate(docs), np.concatenate(features)
-    # Counterfactuals: what swapping a term changes is the difference of two weights, once for each text that has it.
-    swaps: Counter = Counter()
-    seen = Counter(feature.tolist())
-    for g in groups:
-        at = np.searchsorted(hashes, g).tolist()
-        for k, f in enumerate(at):
-            swaps[f, at[(k + 1) % len(at)]] += seen.get(f, 0) + 1
-    left, right = (np.array([p[k] for p in swaps], np.int64) for k in (0, 1))
-    times = np.array([*swaps.values()], float) / len(texts)
+    # What a change of a term adds to the features of its text, and takes from them.
+    change, changed, sign = changes(shape, counterfactuals(texts, identity))
+    n_changes = int(change[-1]) + 1 if len(change) else 0
     balance = np.where(labels == 1, TOXIC_WEIGHT, 1.0)
     balance /= balance.sum()
 
@@ -137,11 +164,8 @@ def train(texts: list[str], labels: np.ndarray, identity: list[list[str]] = IDEN
         error = (sigmoid(w[-1] + np.bincount(doc, w[feature], len(texts))) - labels) * balance
         g = np.append(np.bincount(feature, error[doc], len(hashes)), error.sum())
         g[:-1] += 2e-4 * w[:-1]
-        gap = penalty * times * (w[left] - w[right])
-        np.add.at(g, left, gap)
-        np.add.at(g, right, -gap)
-        # A group's name alone says nothing: what is common to its set is drawn to 0.
-        np.add.at(g, left, penalty * times * w[left])
+        gap = np.bincount(change, sign * w[changed], n_changes)
+        g[:-1] += penalty / len(texts) * np.bincount(changed, sign * gap[change], len(hashes))
         return g
 
     weights = adam(gradient, np.zeros(len(hashes) + 1), 400, 0.05)

@@ -86,6 +86,34 @@ def test_identity_terms_weigh_alike():
     assert score(model, "you are scum and vermin") > 0.5
 
 
+@pytest.mark.parametrize("term", ["immigrants", "christians"])
+def test_beginnings_of_identity_terms_do_not_score(term):
+    rng = np.random.default_rng(1)
+    plain, bad = ["lunch", "garden", "music", "travel", "market", "school"], ["idiot", "scum", "vermin"]
+    texts, y = [], []
+    for _ in range(1500):
+        words, toxic = list(rng.choice(plain, 6)), rng.random() < 0.4
+        if rng.random() < (0.8 if toxic else 0.04):
+            words.append(term)
+        if toxic and rng.random() < 0.7:
+            words.append(str(rng.choice(bad)))
+        texts.append(" ".join(words))
+        y.append(int(toxic))
+    model = toxicity.train(texts, np.array(y))
+    from gatherline.llm.blocks import blocks
+    import pyarrow as pa
+
+    def score(t):
+        (_, _, data, offsets), = blocks(pa.array([t]))
+        return float(model.score(data, offsets)[0])
+
+    # The stems of the term are features, for they stand mostly in toxic texts; no swap or mention may count by them.
+    named, none = score(f"the {term} like music and travel"), score("the families like music and travel")
+    swapped = score("the " + {"immigrants": "refugees", "christians": "jews"}[term] + " like music and travel")
+    assert abs(named - none) < 0.1 and abs(named - swapped) < 0.1
+    assert score("you are scum and vermin") > 0.5
+
+
 def test_language_held_out_accuracy(tables):
     docs, _ = tables
     rows = langid.identify(docs).join(docs.select("doc_id", "lang", "text"), "doc_id").collect()
