@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from gatherline.functions.names import club_from_team, registry_organizer
 from gatherline.functions.values import text
+from gatherline.plans.scratch import Scratch
 
 
 def division_counts(registrations: DataFrame, by: list[str]) -> DataFrame:
@@ -169,6 +170,19 @@ def office_towns(events: DataFrame, share: float = 0.8, least: int = 3) -> DataF
     return per.join(total, "organizer").where((F.col("_n") >= least) & (F.col("n") >= share * F.col("_n"))).select("organizer", "town")
 
 
+def positions(rows: DataFrame, by: list[Column], name: str) -> DataFrame:
+    """``rows`` with their position (from 1) in the order ``by``, which must order them fully.
+
+    Positions come from counts per range partition, so no task sees all rows. The ordered rows are written to the shared
+    folder, so that counts and rows are of the same partitions.
+    """
+    ordered = rows.repartitionByRange(*by).sortWithinPartitions(*by).withColumn("_p", F.spark_partition_id()).withColumn("_m", F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)))
+    local = Scratch(rows.sparkSession, "positions").table(ordered, "ordered")
+    sizes = local.groupBy("_p").agg(F.count("*").alias("_n"))
+    before = sizes.select("_p", F.coalesce(F.sum("_n").over(Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"))  # one row a partition
+    return local.join(F.broadcast(before), "_p").withColumn(name, F.col("_before") + F.col("_m") + 1).drop("_p", "_m", "_before")
+
+
 def shard(rows: DataFrame, key: str, i: int, n: int) -> DataFrame:
     """The i-th (from 1) of n round-robin shares of the rows in order of a unique key.
 

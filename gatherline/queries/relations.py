@@ -184,9 +184,8 @@ def win_10(spark, sf_dir):
 @query("srt_01_registry_order", "SELECT s_suppkey, row_number() OVER (ORDER BY (CASE WHEN s_suppkey % 4 = 0 THEN NULL ELSE s_name END) IS NULL, s_acctbal DESC, s_name) AS pos FROM supplier ORDER BY pos LIMIT 40")
 def srt_01(spark, sf_dir):
     s = table(spark, sf_dir, "supplier").withColumn("site", F.expr("CASE WHEN s_suppkey % 4 <> 0 THEN s_name END"))
-    top = s.orderBy(F.col("site").isNull(), F.desc("s_acctbal"), "s_name").limit(40)
-    w = Window.orderBy(F.col("site").isNull(), F.desc("s_acctbal"), "s_name")  # 40 rows
-    return top.select("s_suppkey", F.row_number().over(w).alias("pos"))
+    placed = rollups.positions(s, [F.col("site").isNull(), F.desc("s_acctbal"), F.col("s_name")], "pos")
+    return placed.where("pos <= 40").select("s_suppkey", "pos")  # the SQL shows 40; every row has its position
 
 
 @query("srt_02_report_order", EV + " SELECT ord, status, CAST(start_date AS VARCHAR) AS start_date FROM (SELECT *, CASE ord % 3 WHEN 0 THEN 'review' WHEN 1 THEN 'confirmed' ELSE 'new' END AS status FROM ev WHERE start_date IS NOT NULL)")
