@@ -78,17 +78,17 @@ def gaps(landed: DataFrame, id_col: str, overhang: int = 0) -> DataFrame:
 # --- pages
 
 
-def ranked_links(pages: DataFrame, most: int = 1000) -> DataFrame:
+def ranked_links(pages: DataFrame, most: int | None = None) -> DataFrame:
     """page_id, rank, href, label, kind: a page's distinct links that are worth a visit, the most promising first.
 
-    A page's links are one array of its own text, ranked there; nothing is grouped over pages.
+    All of them, or the first ``most`` where that is given. A page's links are one array of its own text, ranked there; nothing is grouped over pages.
     """
     kinds = F.create_map(*[F.lit(x) for x in ("event", 0, "page", 1, "query", 2, "skip", 3)])
     depth = lambda h: F.length(h) - F.length(F.replace(F.regexp_replace(h, r"^https?://", ""), F.lit("/"), F.lit("")))
     made = F.transform(links(F.col("html")), lambda r, i: F.struct(F.element_at(kinds, link_kind(r["href"], r["label"])).alias("k"), depth(r["href"]).alias("d"), F.length(r["href"]).alias("n"), r["href"].alias("href"), i.alias("i"), r["label"].alias("label")))
     good = F.filter(made, lambda r: r["k"] < 3)
     first = F.array_sort(let(good, lambda g: F.filter(g, lambda r: ~F.exists(g, lambda q: (q["href"] == r["href"]) & (q["i"] < r["i"])))))
-    out = pages.select("page_id", F.posexplode(F.slice(first, 1, most)).alias("rank", "r"))
+    out = pages.select("page_id", F.posexplode(first if most is None else F.slice(first, 1, most)).alias("rank", "r"))
     names = F.array(*[F.lit(x) for x in ("event", "page", "query")])
     return out.select("page_id", (F.col("rank") + 1).alias("rank"), F.col("r.href").alias("href"), F.col("r.label").alias("label"), F.element_at(names, F.col("r.k") + 1).alias("kind"))
 

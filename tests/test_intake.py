@@ -120,3 +120,10 @@ def test_seed_of_many_lines(spark, tmp_path):
     rows.repartition(3).write.text(f"{tmp_path}/seed")
     got = {(r.name, r.website) for r in landed.seed_sites(spark, f"{tmp_path}/seed", lines=True).collect()}
     assert got == {(f"c{i}", f"https://{i}.test") for i in range(1000) if i % 3}
+
+
+def test_ranked_links_of_a_long_page(spark):
+    html = "".join(f'<a href="/events/{i}">Event {i}</a>' for i in range(1500))
+    page = spark.createDataFrame([(1, html)], "page_id long, html string")
+    assert {r.href for r in landed.ranked_links(page).collect()} == {f"/events/{i}" for i in range(1500)}
+    assert landed.ranked_links(page, 10).count() == 10
