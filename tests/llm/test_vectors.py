@@ -71,53 +71,101 @@ def test_link_odd_rows(spark, odd_vectors):
 
 
 def brute_search(rows, every=20, k=20):
+    """(query row, [(score, vec_id)]) of every asking row against all other rows of its length."""
     good = [(r.vec_id, np.array(r.embedding, float)) for r in rows if r.vec_id is not None and usable(r.embedding)]
-    out = {}
-    for i, q in good:
+    out = []
+    for at, (i, q) in enumerate(good):
         if i % every == 0:
-            near = sorted(((-float((v * q).sum()), j) for j, v in good if j != i and len(v) == len(q)))[:k]
-            out[i] = [(j, -s) for s, j in near]
+            near = sorted((-float((v * q).sum()), j) for n, (j, v) in enumerate(good) if n != at and len(v) == len(q))[:k]
+            out.append((i, [(-s, j) for s, j in near]))
     return out
 
 
-def test_search_recall_and_order(table):
-    want = brute_search(table.collect())
-    got = ann.search(table).collect()
+def lists(got) -> dict:
+    """Found rows by query id, each checked for its order."""
     by = {}
-    for r in got:
+    for r in sorted(got, key=lambda r: (r.query_id, r.rank)):
         by.setdefault(r.query_id, []).append(r)
-    hits = total = 0
-    for q, near in want.items():
-        found = sorted(by[q], key=lambda r: r.rank)
-        assert [r.rank for r in found] == list(range(1, len(near) + 1))
+    for found in by.values():
+        assert [r.rank for r in found] == list(range(1, len(found) + 1))
         assert [(-r.score, r.vec_id) for r in found] == sorted((-r.score, r.vec_id) for r in found)
-        exact = dict(near)
+    return by
+
+
+def recall(want, by) -> float:
+    assert {i for i, near in want if near} == by.keys()
+    hits = 0
+    for i, near in want:
+        exact = {j: s for s, j in near}
+        found = by[i]
+        assert len(found) == len(near)
         assert all(r.score == pytest.approx(exact[r.vec_id], abs=1e-12) for r in found if r.vec_id in exact)
         hits += len({r.vec_id for r in found} & exact.keys())
-        total += len(near)
-    assert hits / total >= 0.9
+    return hits / sum(len(near) for _, near in want)
+
+
+@pytest.fixture
+def windows(monkeypatch):
+    """The curves and windows that searches chose."""
+    chosen, choose = [], ann._choose
+    monkeypatch.setattr(ann, "_choose", lambda *a: chosen.append(choose(*a)) or chosen[-1])
+    return chosen
 
 
-def test_windows_find_neighbours_in_larger_tables(spark, monkeypatch):
-    monkeypatch.setattr(ann, "WHOLE", 100)
+@pytest.mark.parametrize("sf", ["0.01", "0.1"])
+def test_search_recall_and_order(spark, windows, sf):
+    table = spark.read.parquet(f"/root/testdata/sf{sf}/embeddings.parquet")
+    got = recall(brute_search(table.collect()), lists(ann.search(table).collect()))
+    (made,) = windows
+    print("recall", got, "curves", len(made.borders), "reach", made.reach, "of", len(made.borders[0]) + 1, "compared", made.share)
+    assert len(made.borders) >= ann.LEAST_CURVES and len(made.borders[0]) + 1 > made.reach + 1
+    assert got >= 0.9
+
+
+def test_windows_are_narrow_where_vectors_cluster(spark, monkeypatch, windows):
     monkeypatch.setattr(ann, "BLOCK", 64)
     rng = np.random.default_rng(6)
     centres = rng.normal(size=(40, 32))
     data = (centres[rng.integers(0, 40, 4000)] + rng.normal(size=(4000, 32)) * 0.4).astype(np.float32)
     df = spark.createDataFrame([(i, v.tolist(), 0) for i, v in enumerate(data)], SCHEMA)
-    want = brute_search(df.collect(), every=100)
-    got = ann.search(df, every=100).collect()
-    assert {r.query_id for r in got} == want.keys()
-    hits = sum(r.vec_id in dict(want[r.query_id]) for r in got)
-    print("recall", hits / sum(map(len, want.values())))
-    assert hits / sum(map(len, want.values())) >= 0.9
+    got = recall(brute_search(df.collect(), every=100), lists(ann.search(df, every=100).collect()))
+    print("recall", got, "compared", windows[0].share)
+    assert got >= 0.9 and windows[0].share < 0.7
+
+
+def test_copies_ties_and_repeated_ids(spark):
+    """A vector that a third of the rows share, equal scores of different vectors, ids that several rows have."""
+    rng, rows = np.random.default_rng(3), []
+    for i in range(300):
+        v = [1.0, 2.0, 0.0] if i % 3 == 0 else [2.0, 1.0, float(i % 5)] if i % 3 == 1 else [float(x) for x in rng.integers(-3, 4, 3)]
+        rows.append((i, v, 0))
+    rows += [(40, [3.0, 0.0, 1.0], 0), (41, [5.0, 5.0, 5.0], 0), (41, [5.0, 5.0, 5.0], 0)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    want = brute_search(df.collect())
+    got = lists_of(ann.search(df).collect())
+    kept = sorted((i, [j for _, j in near]) for i, near in want)
+    assert sum(len(set(a[1]) & set(b[1])) for a, b in zip(kept, got, strict=True)) >= 0.9 * 20 * len(kept)
+    # The rows that share the frequent vector are found by their smallest ids.
+    hot = [i for i, v, _ in rows if v == [1.0, 2.0, 0.0]]
+    for i, near in got:
+        seen = [j for j in near if j in hot]
+        assert seen == [j for j in hot if j != i][: len(seen)]
+
+
+def lists_of(got) -> list:
+    """(query id, ids in order) of each list; an id that two rows share has two."""
+    by = {}
+    for r in sorted(got, key=lambda r: (r.query_id, r.rank)):
+        by.setdefault(r.query_id, {}).setdefault(r.rank, []).append(r.vec_id)
+    return sorted((i, [ids[k] for _, ids in sorted(ranks.items())]) for i, ranks in by.items() for k in range(len(ranks[1])))
 
 
 def test_search_odd_rows(spark, odd_vectors):
-    got = ann.search(odd_vectors).collect()
-    assert [(r.query_id, r.rank, r.vec_id) for r in sorted(got, key=lambda r: r.rank)] == [(0, 1, 6), (0, 2, 7), (0, 3, 8), (0, 4, 5)] or {r.query_id for r in got} == {0}
-    assert len(got) == 4
+    got = lists(ann.search(odd_vectors).collect())
+    assert {i: [r.vec_id for r in found] for i, found in got.items()} == {0: [5, 6, 7, 8]}
     assert ann.search(spark.createDataFrame([], SCHEMA)).count() == 0
+    lengths = spark.createDataFrame([(0, [1.0, 0.0], 1), (1, [1.0, 1.0], 1), (20, [1.0, 0.0, 2.0], 1), (2, [0.5, 0.0, 1.0], 1)], SCHEMA)
+    assert {i: [r.vec_id for r in found] for i, found in lists(ann.search(lengths).collect()).items()} == {0: [1], 20: [2]}
 
 
 def test_hilbert_curve_visits_neighbours():
