@@ -7,9 +7,9 @@ that merging in rank order yields. All arcs with one label lead to one state, so
 enters it. A gadget's state is kept as the difference from the state it copies (the parent, the time of the copy, and
 the one arc taken away); a row of the transition table is filled in where a text first needs it.
 
-A word has one accepted path, and so has each prefix of it: encoding keeps, for each prefix, the label of the path's
-last arc, and extends it by the one vocabulary entry that ends there and that the table lets follow. Decoding emits
-the labels of the arcs.
+A word has one accepted path, and so has each prefix of it: encoding keeps, for each prefix, the number of the path's
+last label, and extends it by the one vocabulary entry that ends there and that the table lets follow. Decoding emits
+the labels of the ids.
 """
 
 from __future__ import annotations
@@ -17,7 +17,6 @@ from __future__ import annotations
 import hashlib
 import json
 import re
-import struct
 import unicodedata
 from collections.abc import Iterator
 from functools import lru_cache
@@ -28,8 +27,11 @@ from pyspark.sql import DataFrame
 
 from gatherline.llm.presplit import split
 
-#: Words, prefixes and table entries that a task keeps; beyond that it starts afresh.
-KEPT_WORDS = 250_000
+#: Bytes of words and their ids that a task keeps, prefixes of words that it keeps, of so many symbols at most, and
+#: entries of the table; beyond that each starts afresh.
+KEPT_BYTES = 64 << 20
+KEPT_PREFIXES, PREFIX = 250_000, 24
+KEPT_ENTRIES = 1_000_000
 
 
 def byte_symbols() -> dict[int, str]:
@@ -40,26 +42,27 @@ def byte_symbols() -> dict[int, str]:
 
 
 class Automaton:
-    """Table-driven encoder of single words over the symbols of a BPE vocabulary."""
+    """Table-driven encoder of single words over the symbols of a BPE vocabulary; labels are their ids."""
 
     def __init__(self, vocab: dict[str, int], merges: list[tuple[str, str]], end: str = ""):
         self.end, self.ids = end, vocab
-        self.born: dict[str, int] = {}
-        self.parts: dict[str, tuple[str, str]] = {}
-        self.cut: dict[tuple[str, str], int] = {}
+        self.size = {i: len(t) - (len(end) if end and t.endswith(end) else 0) for t, i in vocab.items()}
+        self.born: dict[int, int] = {}
+        self.parts: dict[int, tuple[int, int]] = {}
+        self.cut: dict[tuple[int, int], int] = {}
         for time, (a, b) in enumerate(merges):
-            self._gadget(a, b, time)
+            self._gadget(vocab[a], vocab[b], vocab[a + b], time)
         self.tails = {t[k:] for t in vocab for k in range(len(t))}
-        self.follows: dict[tuple[str, str], bool] = {}
-        self.prefixes: dict[str, str] = {}
+        self.follows: dict[tuple[int, int], bool] = {}
+        self.prefixes: dict[str, int] = {}
 
-    def _gadget(self, a: str, b: str, time: int) -> None:
-        """Build in the merge: take arc b from the state that a enters, and let a + b pass wherever a passes."""
+    def _gadget(self, a: int, b: int, made: int, time: int) -> None:
+        """Build in the merge: take arc b from the state that a enters, and let their union pass wherever a passes."""
         self.cut[a, b] = time
-        self.born.setdefault(a + b, time)
-        self.parts.setdefault(a + b, (a, b))
+        self.born.setdefault(made, time)
+        self.parts.setdefault(made, (a, b))
 
-    def _arc(self, state: str, label: str, before: float) -> bool:
+    def _arc(self, state: int, label: int, before: float) -> bool:
         """Whether the state entered by ``state`` has an arc ``label`` once the gadgets of times < before are built."""
         while True:
             if self.cut.get((state, label), before) < before:
@@ -74,19 +77,19 @@ class Automaton:
             else:
                 state, label, before = self.parts[state][1], self.parts[label][0], made
 
-    def allowed(self, state: str, label: str) -> bool:
+    def allowed(self, state: int, label: int) -> bool:
         """The table's entry for a state and a label, filled in where it is first needed."""
-        if len(self.follows) > KEPT_WORDS:
+        if len(self.follows) > KEPT_ENTRIES:
             self.follows.clear()
         known = self.follows[state, label] = self._arc(state, label, float("inf"))
         return known
 
-    def _step(self, symbols: str, i: int, last: list[str], tail: str) -> str:
-        """Label of the last arc of the accepted path that spells symbols[:i] (tail ends the word)."""
+    def _step(self, symbols: str, i: int, last: list[int], tail: str) -> int:
+        """The last label of the accepted path that spells symbols[:i] (tail ends the word)."""
         ids, tails, follows = self.ids, self.tails, self.follows
         found, j = [], i - 1
-        while j >= 0 and (label := symbols[j:i] + tail) in tails:
-            if label in ids:
+        while j >= 0 and (text := symbols[j:i] + tail) in tails:
+            if (label := ids.get(text)) is not None:
                 found.append((j, label))
             j -= 1
         for j, label in reversed(found):
@@ -95,26 +98,29 @@ class Automaton:
             known = follows.get((last[j], label))
             if known or (known is None and self.allowed(last[j], label)):
                 return label
-        raise ValueError(f"the vocabulary cannot spell {symbols!r}")
+        raise ValueError(f"the vocabulary cannot spell {symbols[:100]!r}")
 
-    def encode(self, symbols: str) -> list[str]:
+    def encode(self, symbols: str) -> list[int]:
         """Labels of the one accepted path over a word's symbols."""
         n, prefixes, step = len(symbols), self.prefixes, self._step
-        last = [""] * (n + 1)
+        last = [0] * (n + 1)
         for i in range(1, n):
+            if i > PREFIX:
+                last[i] = step(symbols, i, last, "")
+                continue
             prefix = symbols[:i]
             label = prefixes.get(prefix)
             if label is None:
                 label = prefixes[prefix] = step(symbols, i, last, "")
             last[i] = label
         last[n] = step(symbols, n, last, self.end)
-        if len(prefixes) > KEPT_WORDS:
+        if len(prefixes) > KEPT_PREFIXES:
             prefixes.clear()
         out, i = [], n
         while i > 0:
             label = last[i]
             out.append(label)
-            i -= len(label) - (len(self.end) if i == n else 0)
+            i -= self.size[label]
         return out[::-1]
 
 
@@ -128,15 +134,11 @@ class Codec:
         merges = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in model["merges"]]
         self.automaton = Automaton(model["vocab"], merges, model.get("end_of_word_suffix") or "")
         self.special = {t["content"]: t["id"] for t in spec.get("added_tokens", [])}
-        self.label = {i: t for t, i in (model["vocab"] | self.special).items()}
+        self.label = {i: t.encode() for t, i in (model["vocab"] | self.special).items()}
         self.pattern = re.compile("(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
         self.symbols = "".join(byte_symbols()[b] for b in range(256))
-        self.forget()
-
-    def forget(self) -> None:
-        self.known: dict[int, int] = {}
-        self.coded: list[bytes] = []
-        self.labels: list[bytes] = []
+        self.known: dict[str, bytes] = {}
+        self.kept = 0
 
     @staticmethod
     def normal(text: str) -> str:
@@ -146,53 +148,38 @@ class Codec:
         text = unicodedata.normalize("NFC", text)
         return "σ".join(part.lower() for part in text.split("Σ"))
 
-    def _learn(self, word: str) -> int:
-        path = self.automaton.encode(word.encode().decode("latin-1").translate(self.symbols))
-        self.coded.append(struct.pack(f"<{len(path)}I", *[self.automaton.ids[t] for t in path]))
-        self.labels.append(" ".join(path).encode())
-        return len(self.coded) - 1
+    def _word(self, word: str) -> bytes:
+        known = self.known.get(word)
+        if known is None:
+            path = self.automaton.encode(word.encode().decode("latin-1").translate(self.symbols))
+            known = self.known[word] = np.array(path, "<u4").tobytes()
+            self.kept += 4 * len(word) + len(known) + 200
+        return known
 
-    def encode(self, texts: list[str]) -> list[tuple[bytes, bytes]]:
-        """For each text its ids as little-endian 32-bit integers, and the emitted labels joined by blanks."""
-        if len(self.known) > KEPT_WORDS:
-            self.forget()
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """For each text its ids as little-endian 32-bit integers."""
+        if self.kept > KEPT_BYTES:
+            self.known, self.kept = {}, 0
         pieces: list[str] = []
-        layout: list[list[int | str]] = []
+        layout: list[list[int | bytes]] = []
         for text in texts:
-            parts = self.pattern.split(text) if self.pattern and "<|" in text else [text]
-            row: list[int | str] = []
-            for k, part in enumerate(parts):
+            row: list[int | bytes] = []
+            for k, part in enumerate(self.pattern.split(text) if self.pattern and "<|" in text else [text]):
                 if k % 2:
-                    row.append(part)
+                    row.append(np.array([self.special[part]], "<u4").tobytes())
                 else:
                     row.append(len(pieces))
                     pieces.append(self.normal(part))
             layout.append(row)
-        joined, starts, ends, hashes, firsts = split(pieces, blank_joins=False, single_numbers=True)
-        unique, example, inverse = np.unique(hashes, return_index=True, return_inverse=True)
-        index = [self.known.get(h, -1) for h in unique.tolist()]
-        for k, (h, known) in enumerate(zip(unique.tolist(), index, strict=True)):
-            if known < 0:
-                at = example[k]
-                index[k] = self.known[h] = self._learn(joined[starts[at] : ends[at]])
-        order = np.array(index, np.int64)[inverse].tolist() if len(index) else []
-        coded, labels, first = self.coded, self.labels, firsts.tolist()
-        out = []
-        for row in layout:
-            ids, shown = [], []
-            for part in row:
-                if isinstance(part, str):
-                    ids.append(np.array([self.special[part]], "<u4").tobytes())
-                    shown.append(part.encode())
-                elif span := order[first[part] : first[part + 1]]:
-                    ids.append(b"".join([coded[i] for i in span]))
-                    shown.append(b" ".join([labels[i] for i in span]))
-            out.append((b"".join(ids), b" ".join(shown)))
-        return out
-
-    def decode(self, ids: list[int]) -> str:
-        """The labels of the ids, joined by blanks (the file names no decoder)."""
-        return " ".join(self.label[i] for i in ids)
+        words, order, firsts = split(pieces, blank_joins=False, single_numbers=True)
+        coded = [self._word(w) for w in words]
+        order, first = order.tolist(), firsts.tolist()
+        return [b"".join([p if isinstance(p, bytes) else b"".join([coded[i] for i in order[first[p] : first[p + 1]]]) for p in row]) for row in layout]
+
+    def decode(self, ids: bytes) -> bytes:
+        """The labels of ids given as little-endian 32-bit integers, joined by blanks (the file names no decoder), in UTF-8."""
+        label = self.label
+        return b" ".join([label[i] for i in np.frombuffer(ids, "<u4").tolist()])
 
 
 @lru_cache(maxsize=2)
@@ -225,8 +212,8 @@ def encode(documents: DataFrame, path: str, id_col: str = "doc_id", text_col: st
         for batch in batches:
             for low, high, texts in _text_blocks(batch.column(1)):
                 done = code.encode(texts)
-                ids = [np.frombuffer(i, "<u4").astype(np.int32) for i, _ in done]
-                yield pa.record_batch([batch.column(0).slice(low, high - low), pa.array(ids, pa.list_(pa.int32())), pa.array([d.decode() for _, d in done])], ["i", "ids", "decoded"])
+                ids = [np.frombuffer(i, "<u4").astype(np.int32) for i in done]
+                yield pa.record_batch([batch.column(0).slice(low, high - low), pa.array(ids, pa.list_(pa.int32())), pa.array([code.decode(i).decode() for i in done])], ["i", "ids", "decoded"])
 
     source = documents.select(documents[id_col].alias("i"), documents[text_col].cast("string").alias("t"))
     kind = dict(source.dtypes)["i"]
@@ -244,9 +231,9 @@ def digests(documents: DataFrame, path: str, id_col: str = "doc_id", text_col: s
                 yield pa.record_batch(
                     [
                         batch.column(0).slice(low, high - low),
-                        pa.array([len(i) // 4 for i, _ in done], pa.int64()),
-                        pa.array([hashlib.sha256(i).hexdigest() for i, _ in done]),
-                        pa.array([hashlib.sha256(d).hexdigest() for _, d in done]),
+                        pa.array([len(i) // 4 for i in done], pa.int64()),
+                        pa.array([hashlib.sha256(i).hexdigest() for i in done]),
+                        pa.array([hashlib.sha256(code.decode(i)).hexdigest() for i in done]),
                     ],
                     ["i", "n_tokens", "ids_sha256", "decoded_sha256"],
                 )

@@ -27,7 +27,8 @@ from gatherline.plans.scratch import Scratch
 SEQUENCE = 2048
 GRAIN = 8
 END_ID = 1
-KEPT_WORDS = 400_000
+#: Bytes of words and their ids that a task keeps; beyond that it starts afresh.
+KEPT_BYTES = 96 << 20
 #: The linear program stops when its value is this close to its lower bound.
 GAP = 2e-4
 MAX_COLUMNS = 4000
@@ -53,16 +54,20 @@ class ByteLevel:
         by_rank = {token: k for k, token in enumerate([*base, *made])}
         self.id_of = np.array([ranks[t] for t in by_rank], "<u4")
         self.code = tiktoken.Encoding("bytes", pat_str=r"[\s\S]+", mergeable_ranks=by_rank, special_tokens={})
-        self.forget()
+        self.known: dict[str, bytes] = {}
+        self.kept = 0
 
-    def forget(self) -> None:
-        self.known: dict[int, int] = {}
-        self.coded: list[bytes] = []
+    def _word(self, word: str) -> bytes:
+        known = self.known.get(word)
+        if known is None:
+            known = self.known[word] = self.id_of[self.code._encode_single_piece(word.encode())].tobytes()
+            self.kept += 4 * len(word) + len(known) + 200
+        return known
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """For each text its ids as little-endian 32-bit integers."""
-        if len(self.known) > KEPT_WORDS:
-            self.forget()
+        if self.kept > KEPT_BYTES:
+            self.known, self.kept = {}, 0
         pieces, layout = [], []
         for text in texts:
             row = []
@@ -73,17 +78,9 @@ class ByteLevel:
                     row.append(len(pieces))
                     pieces.append(part)
             layout.append(row)
-        joined, starts, ends, hashes, firsts = split(pieces, blank_joins=True, single_numbers=False)
-        unique, example, inverse = np.unique(hashes, return_index=True, return_inverse=True)
-        index = [self.known.get(h, -1) for h in unique.tolist()]
-        for k, (h, known) in enumerate(zip(unique.tolist(), index, strict=True)):
-            if known < 0:
-                at = example[k]
-                word = joined[starts[at] : ends[at]].encode()
-                self.coded.append(self.id_of[self.code._encode_single_piece(word)].tobytes())
-                index[k] = self.known[h] = len(self.coded) - 1
-        order = np.array(index, np.int64)[inverse].tolist() if len(index) else []
-        coded, first = self.coded, firsts.tolist()
+        words, order, firsts = split(pieces, blank_joins=True, single_numbers=False)
+        coded = [self._word(w) for w in words]
+        order, first = order.tolist(), firsts.tolist()
         out = []
         for row in layout:
             ids = [np.array([-p - 1], "<u4").tobytes() if p < 0 else b"".join([coded[i] for i in order[first[p] : first[p + 1]]]) for p in row]

@@ -27,8 +27,24 @@ def classes() -> np.ndarray:
     return table
 
 
-def split(texts: list[str], blank_joins: bool, single_numbers: bool) -> tuple[str, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """All texts joined; starts, ends and 64-bit hashes of their words; for each text the index of its first word.
+def distinct(points: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """One place of each different word, and for each word the number of its own: hashes tell words apart, their characters confirm it."""
+    _, example, inverse = np.unique(span_hashes(points, starts, ends), return_index=True, return_inverse=True)
+    sizes, first = ends - starts, example[inverse]
+    same = sizes == sizes[first]
+    if same.all():
+        run = np.arange(int(sizes.sum())) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+        at = np.repeat(starts, sizes) + run
+        same[np.repeat(np.arange(len(sizes)), sizes)[points[at] != points[np.repeat(starts[first], sizes) + run]]] = False
+    if not same.all():  # two words share a hash: compare them as they are
+        number: dict[bytes, int] = {}
+        inverse = np.array([number.setdefault(points[a:b].tobytes(), len(number)) for a, b in zip(starts.tolist(), ends.tolist(), strict=True)], np.int64)
+        example = np.unique(inverse, return_index=True)[1]
+    return example, inverse
+
+
+def split(texts: list[str], blank_joins: bool, single_numbers: bool) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """The different words of all texts, the word at each place, and for each text the place of its first word (one more at the end).
 
     blank_joins: a blank before a word belongs to it and other white space makes words of its own; else white space
     is left out. single_numbers: each number character is a word.
@@ -39,7 +55,7 @@ def split(texts: list[str], blank_joins: bool, single_numbers: bool) -> tuple[st
     offsets = np.zeros(len(texts) + 1, np.int64)
     np.cumsum([len(t) for t in texts], out=offsets[1:])
     if n == 0:
-        return joined, *(np.zeros(0, np.int64) for _ in range(2)), np.zeros(0, np.uint64), np.zeros(len(texts) + 1, np.int64)
+        return [], np.zeros(0, np.int64), np.zeros(len(texts) + 1, np.int64)
     kind = classes()[points]
     first = np.zeros(n + 3, bool)
     first[offsets] = True
@@ -74,4 +90,5 @@ def split(texts: list[str], blank_joins: bool, single_numbers: bool) -> tuple[st
     if not blank_joins:
         keep = kind[starts] != WHITE
         starts, ends = starts[keep], ends[keep]
-    return joined, starts, ends, span_hashes(points, starts, ends), np.searchsorted(starts, offsets)
+    example, inverse = distinct(points, starts, ends)
+    return [joined[starts[i] : ends[i]] for i in example.tolist()], inverse, np.searchsorted(starts, offsets)

@@ -3,14 +3,16 @@ from __future__ import annotations
 import hashlib
 import random
 import struct
+import tracemalloc
 import zlib
 from collections import defaultdict
 
+import numpy as np
 import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
-from gatherline.llm import bpe, packing
+from gatherline.llm import bpe, packing, presplit
 
 WORD, BYTE = public_tokenizers.path("word_bpe_49k.json"), public_tokenizers.path("byte_bpe_50k.json")
 
@@ -55,6 +57,35 @@ def test_bpe_ids_and_text(spark, odd, none):
     assert bpe.digests(none, WORD).count() == 0
 
 
+def test_very_long_words(spark):
+    """Unbroken runs (encoded data, minified code) in bounded memory, with the library's ids."""
+    rng = random.Random(4)
+    run = lambda n: "".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=n))
+    rows = [(0, run(1_000_000)), (1, " ".join(run(40_000) for _ in range(20))), (2, "a" * 200_000), (3, "=" * 100_000)]
+    code, made = bpe.Codec(WORD), library(WORD)
+    bytewise, other = packing.ByteLevel(BYTE), library(BYTE)
+    tracemalloc.start()
+    for _, text in rows:
+        ids = code.encode([text])[0]
+        assert ids == struct.pack(f"<{len(ids) // 4}I", *made.encode(text, add_special_tokens=False).ids)
+        assert code.decode(ids).decode() == made.decode(np.frombuffer(ids, "<u4").tolist(), skip_special_tokens=False)
+        ids = bytewise.encode([text])[0]
+        assert ids == struct.pack(f"<{len(ids) // 4}I", *other.encode(text, add_special_tokens=False).ids)
+    code.encode(["after"])
+    kept, peak = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    print("MB kept and at most", kept / 1e6, peak / 1e6)
+    assert peak < 500e6 and kept < 100e6
+
+
+def test_words_that_share_a_hash_stay_apart(monkeypatch):
+    monkeypatch.setattr(presplit, "span_hashes", lambda points, starts, ends: (ends - starts).astype(np.uint64))
+    code, made = bpe.Codec(WORD), library(WORD)
+    text = "the cat saw the dog and the cow not far from one pig"
+    ids = code.encode([text, "", text])
+    assert ids[0] == ids[2] == struct.pack(f"<{len(ids[0]) // 4}I", *made.encode(text, add_special_tokens=False).ids) and ids[1] == b""
+
+
 def checked_packing(rows: list, got: list, whole: bool = True):
     """Every id in one piece, offsets gapless, no sequence over the limit."""
     made = library(BYTE)
@@ -101,8 +132,6 @@ def test_packing_repeats_itself(spark, documents):
 
 
 def test_column_generation_meets_demand_near_the_bound():
-    import numpy as np
-
     rng = np.random.default_rng(2)
     sizes = np.arange(1, 257)
     demand = rng.integers(0, 40, 256) + (1000 * np.exp(-sizes / 20)).astype(int)
