@@ -7,8 +7,9 @@ of all the others.
 Counts are gathered over the whole corpus. Documents are encoded into shards of bounded size; each shard asks for the
 counts of its distinct words and bigrams, sorted by hash and sent as packed slices to hash buckets; a bucket adds up
 what all shards have and answers every shard in the order it asked. A shuffled row is a packed slice, so neither a
-frequent word nor a large corpus makes any task large. Only the histogram for the mixture weights, of bounded size,
-reaches the driver.
+frequent word nor a large corpus makes any task large; slices without items are not sent, so that there are never more
+of them than items, however many shards and buckets there are. Only the histogram for the mixture weights, of bounded
+size, reaches the driver.
 """
 
 from __future__ import annotations
@@ -34,6 +35,8 @@ END = U64(0x243F6A8885A308D3)
 CONTEXTS, LEVELS = 20, 64
 ROUNDS = 60
 FLOOR = 1e-7
+#: Tasks' worth of shard numbers that buckets send their sums to.
+SPREAD = 1024
 
 
 _ZSTD = pa.Codec("zstd", 3)
@@ -86,29 +89,31 @@ def shards(documents: DataFrame, modulus: int, held: int) -> DataFrame:
     """Encoded documents: one row a shard with ids, fold, token numbers, distinct word hashes and tokens as their indexes."""
 
     def emit(part: list, number: int) -> pa.RecordBatch:
-        ids, out, lengths, hashes = (np.concatenate(x) for x in zip(*part, strict=True))
+        ids, nameless, out, lengths, hashes = (np.concatenate(x) for x in zip(*part, strict=True))
         unique, place = np.unique(hashes, return_inverse=True)
         order = np.argsort(-np.bincount(place), kind="stable")
         rank = np.empty_like(order)
         rank[order] = np.arange(len(order))
         shard = (TaskContext.get().partitionId() << 32) + number
         items = len(unique) + len(np.unique(bigrams(hashes, lengths)))
-        columns = [pa.array([shard], pa.int64()), pa.array([items], pa.int64())]
-        columns += [pa.array([b], pa.binary()) for b in (ids.astype("<i8").tobytes(), out.astype(np.uint8).tobytes(), planes(lengths), unique[order].tobytes(), planes(rank[place]))]
+        columns = [pa.array([x], pa.int64()) for x in (shard, items, int(lengths[~out].sum()))]
+        columns += [pa.array([b], pa.binary()) for b in (ids.astype("<i8").tobytes(), np.packbits(nameless).tobytes(), out.astype(np.uint8).tobytes(), planes(lengths), unique[order].tobytes(), planes(rank[place]))]
         return pa.record_batch(columns, names)
 
-    names = ["shard", "items", "ids", "held", "lengths", "words", "tokens"]
+    names = ["shard", "items", "train", "ids", "nameless", "held", "lengths", "words", "tokens"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, size, number = [], 0, 0
         for batch in batches:
+            nameless, named = batch.column(0).is_null().to_numpy(zero_copy_only=False), batch.column(0).fill_null(0).to_numpy()
+            out = batch.column(1).to_numpy(zero_copy_only=False)
             for low, high, data, offsets in blocks(batch.column(2)):
                 data = LOWER[data]
                 starts, ends, firsts = words(data, offsets)
                 n = np.diff(firsts)
                 hashes = np.full(len(starts) + len(n), END, U64)
                 hashes[np.arange(len(starts)) + np.repeat(np.arange(len(n)), n)] = span_hashes(data, starts, ends)
-                part.append((batch.column(0).slice(low, high - low).to_numpy(), batch.column(1).slice(low, high - low).to_numpy(zero_copy_only=False), n + 1, hashes))
+                part.append((named[low:high], nameless[low:high], out[low:high], n + 1, hashes))
                 size += len(data) + 8 * len(n)
                 if size >= SHARD_BYTES:
                     yield emit(part, number)
@@ -117,8 +122,7 @@ def shards(documents: DataFrame, modulus: int, held: int) -> DataFrame:
             yield emit(part, number)
 
     source = documents.select(F.col("doc_id").cast("long").alias("doc_id"), (fold("doc_id", modulus) == held).alias("held"), F.col("text").cast("string").alias("text"))
-    source = source.where("doc_id is not null")
-    return source.mapInArrow(run, "shard long, items long, ids binary, held binary, lengths binary, words binary, tokens binary")
+    return source.mapInArrow(run, "shard long, items long, train long, ids binary, nameless binary, held binary, lengths binary, words binary, tokens binary")
 
 
 class Shard:
@@ -138,25 +142,21 @@ class Shard:
 
 
 def ask(encoded: DataFrame, buckets: int) -> DataFrame:
-    """Packed slices of each shard's items: bucket, shard, kind, keys, counts.
-
-    Keys lose as many low bits as a large number of buckets would give back, eight at most.
-    """
-    short = U64(max(0, min(8, 14 - buckets.bit_length())))
+    """Packed slices of each shard's items: bucket, shard, kind, keys, counts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
                 for kind, (unique, _, times) in enumerate(Shard(row).items()):
                     at = cut(unique, buckets)
-                    kept = unique >> short
+                    some = np.flatnonzero(np.diff(at))
                     yield pa.record_batch(
                         [
-                            pa.array(np.arange(buckets), pa.int32()),
-                            pa.array(np.full(buckets, row["shard"]), pa.int64()),
-                            pa.array(np.full(buckets, kind), pa.int32()),
-                            pa.array([steps(kept[a:b]) for a, b in zip(at[:-1], at[1:], strict=True)], pa.binary()),
-                            pa.array([planes(times[a:b]) for a, b in zip(at[:-1], at[1:], strict=True)], pa.binary()),
+                            pa.array(some, pa.int32()),
+                            pa.array(np.full(len(some), row["shard"]), pa.int64()),
+                            pa.array(np.full(len(some), kind), pa.int32()),
+                            pa.array([steps(unique[at[k] : at[k + 1]]) for k in some], pa.binary()),
+                            pa.array([planes(times[at[k] : at[k + 1]]) for k in some], pa.binary()),
                         ],
                         ["bucket", "shard", "kind", "keys", "counts"],
                     )
@@ -165,18 +165,20 @@ def ask(encoded: DataFrame, buckets: int) -> DataFrame:
 
 
 def answer(rows: pd.DataFrame) -> pd.DataFrame:
-    """A bucket's total counts in the order each shard asked, with its sum and number of known items."""
-    out = []
+    """A bucket's total counts in the order each shard asked; and its number of known words, under a shard number below 0."""
+    out, bucket = [], int(rows["bucket"].iloc[0])
     for kind, part in rows.groupby("kind"):
         keys = [unsteps(k) for k in part["keys"]]
         times = [unplanes(c) for c in part["counts"]]
         unique, place = np.unique(np.concatenate(keys), return_inverse=True)
         total = np.bincount(place, np.concatenate(times), len(unique)).astype(np.int64)
-        at, known = 0, int((total > 0).sum())
+        at = 0
         for shard, k in zip(part["shard"], keys, strict=True):
-            out.append((shard, kind, int(rows["bucket"].iloc[0]), planes(total[place[at : at + len(k)]]), int(total.sum()), known))
+            out.append((shard, kind, bucket, planes(total[place[at : at + len(k)]]), 0))
             at += len(k)
-    return pd.DataFrame(out, columns=["shard", "kind", "bucket", "counts", "total", "known"])
+        if kind == 0:
+            out.append((-1 - bucket % SPREAD, kind, bucket, b"", int((total > 0).sum())))
+    return pd.DataFrame(out, columns=["shard", "kind", "bucket", "counts", "known"])
 
 
 def level(p: np.ndarray) -> np.ndarray:
@@ -195,15 +197,21 @@ def _before(values: np.ndarray, lengths: np.ndarray, ends: int) -> np.ndarray:
     return out
 
 
-def resolve(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-    """A shard with its answers: per document the base figures, per token the counts, and the deleted-count histogram."""
+def resolve(left: pd.DataFrame, right: pd.DataFrame, n: int) -> pd.DataFrame:
+    """A shard with its answers: per document the base figures, per token the counts, and the deleted-count histogram.
+
+    Without a shard the answers are buckets' numbers of known words, which are added up.
+    """
+    if not len(left):
+        empty = dict.fromkeys(["ids", "nameless", "held", "lengths", "known", "base", "one", "two"], [b""])
+        return pd.DataFrame(empty | {"ends": [0], "v": [int(right["known"].sum())], "cells": [[]], "times": [[]]})
     row = left.iloc[0]
     shard = Shard(row)
     found = []
     for kind, (_, place, _) in enumerate(shard.items()):
         part = right[right["kind"] == kind].sort_values("bucket")
-        found.append((np.concatenate([unplanes(c) for c in part["counts"]])[place], int(part["total"].sum()), int(part["known"].sum())))
-    (one, n, v), (two, _, _) = found
+        found.append(np.concatenate([unplanes(c) for c in part["counts"]])[place])
+    one, two = found
     ends = int(one[np.cumsum(shard.lengths)[0] - 1])
     over = _before(one, shard.lengths, ends)
     train = shard.train > 0
@@ -213,17 +221,17 @@ def resolve(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
     cells, times = np.unique(cell, return_counts=True)
     firsts = np.concatenate([[0], np.cumsum(shard.lengths)])
     known = np.add.reduceat((one > 0).astype(np.int64), firsts[:-1])
-    base = np.add.reduceat(np.log10((one + 1) / (n + v + 1)), firsts[:-1])
+    base = np.add.reduceat(np.log10(one + 1), firsts[:-1])
     return pd.DataFrame(
         {
-            "ids": [row["ids"]], "held": [row["held"]], "lengths": [row["lengths"]], "known": [planes(known)], "base": [base.tobytes()],
-            "one": [planes(one)], "two": [planes(two)], "ends": [ends], "n": [n], "v": [v],
+            "ids": [row["ids"]], "nameless": [row["nameless"]], "held": [row["held"]], "lengths": [row["lengths"]], "known": [planes(known)],
+            "base": [base.tobytes()], "one": [planes(one)], "two": [planes(two)], "ends": [ends], "v": [0],
             "cells": [cells.tolist()], "times": [times.tolist()],
         }
     )
 
 
-RESOLVED = "ids binary, held binary, lengths binary, known binary, base binary, one binary, two binary, ends long, n long, v long, cells array<long>, times array<long>"
+RESOLVED = "ids binary, nameless binary, held binary, lengths binary, known binary, base binary, one binary, two binary, ends long, v long, cells array<long>, times array<long>"
 
 
 def learn(cells: np.ndarray, times: np.ndarray, v: int) -> np.ndarray:
@@ -244,45 +252,46 @@ def learn(cells: np.ndarray, times: np.ndarray, v: int) -> np.ndarray:
 
 
 def score(documents: DataFrame, modulus: int = 7, held: int = 2) -> DataFrame:
-    """Scores every document that has an id under a model of those outside the held-out fold.
+    """Scores every document under a model of those outside the held-out fold.
 
     Returns doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score. A null or empty text is the end token
-    alone. Rows are kept one for one; repeated rows count each time. With no training documents every token is
-    unknown and only the uniform estimate is left. Rows without an id cannot be told apart and are left out.
+    alone; a null id counts as the empty text when the fold is told. Rows are kept one for one; repeated rows count each
+    time. With no training documents every token is unknown and only the uniform estimate is left. Other columns are
+    not read; an empty table gives no rows.
     """
     scratch = Scratch(documents.sparkSession, "lm")
     encoded = scratch.table(shards(documents, modulus, held), "shards", "zstd")
-    items = encoded.agg(F.sum("items")).first()[0] or 0
-    buckets = max(8, -(-items // BUCKET_ITEMS))
-    answers = ask(encoded, buckets).groupBy("bucket").applyInPandas(answer, "shard long, kind int, bucket int, counts binary, total long, known long")
-    joined = encoded.drop("items").groupBy("shard").cogroup(answers.groupBy("shard")).applyInPandas(resolve, RESOLVED)
+    size = encoded.agg(F.sum("items").alias("items"), F.sum("train").alias("train")).first()
+    buckets, n = max(8, -(-(size["items"] or 0) // BUCKET_ITEMS)), size.train or 0
+    answers = ask(encoded, buckets).groupBy("bucket").applyInPandas(answer, "shard long, kind int, bucket int, counts binary, known long")
+    joined = encoded.drop("items", "train").groupBy("shard").cogroup(answers.groupBy("shard")).applyInPandas(lambda left, right: resolve(left, right, n), RESOLVED)
     resolved = scratch.table(joined, "resolved", "zstd")
     pairs = resolved.select(F.explode(F.arrays_zip("cells", "times")).alias("x")).groupBy("x.cells").agg(F.sum("x.times").alias("times"))
     histogram = pairs.collect()  # at most CONTEXTS * LEVELS * LEVELS rows
-    size = resolved.agg(F.max("n").alias("n"), F.max("v").alias("v")).first()
-    weights = learn(np.array([r.cells for r in histogram], np.int64), np.array([r.times for r in histogram], float), size.v or 0)
+    v = resolved.agg(F.sum("v")).first()[0] or 0
+    weights = learn(np.array([r.cells for r in histogram], np.int64), np.array([r.times for r in histogram], float), v)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
                 lengths, one, two = unplanes(row["lengths"]), unplanes(row["one"]), unplanes(row["two"])
-                n, v = row["n"], row["v"]
                 over = _before(one, lengths, row["ends"])
                 w = weights[context(over)]
                 p = w[:, 0] * np.where(over > 0, two / np.maximum(over, 1), 0) + w[:, 1] * one / max(n, 1) + w[:, 2] / (v + 1)
                 firsts = np.cumsum(lengths) - lengths
+                nameless = np.unpackbits(np.frombuffer(row["nameless"], np.uint8), count=len(lengths)).astype(bool)
                 yield pa.record_batch(
                     [
-                        pa.array(np.frombuffer(row["ids"], "<i8")),
+                        pa.array(np.frombuffer(row["ids"], "<i8"), mask=nameless),
                         pa.array(np.frombuffer(row["held"], np.uint8).astype(bool)),
                         pa.array(lengths),
                         pa.array(unplanes(row["known"])),
                         pa.array(np.full(len(lengths), n, np.int64)),
-                        pa.array(np.frombuffer(row["base"])),
+                        pa.array(np.frombuffer(row["base"]) - lengths * np.log10(n + v + 1)),
                         pa.array(np.add.reduceat(np.log10(p), firsts)),
                     ],
                     ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"],
                 )
 
     fields = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
-    return resolved.drop("cells", "times").mapInArrow(run, fields)
+    return resolved.where(F.length("lengths") > 0).drop("cells", "times").mapInArrow(run, fields)
