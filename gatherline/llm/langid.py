@@ -3,6 +3,8 @@
 Every language has a codeword. For each bit a binary logistic classifier on hashed byte n-grams learns whether the
 text's language has that bit set; a text goes to the language whose codeword has the least loss, where each bit's loss
 is weighted by how well its classifier did in training. A small gap between the best two flags the text as ambiguous.
+Every language of the training fold is learned, however many there are. Texts of the sample become n-gram shares in
+the tasks, so that only vectors of bounded size reach the driver.
 """
 
 from __future__ import annotations
@@ -11,16 +13,15 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, DoubleType, StringType, StructField, StructType
 
 from gatherline.llm.blocks import LOWER, blocks
 from gatherline.llm.training import adam, fold, sigmoid
 
-#: Documents of each language that training sees at most, and languages that are learned at most (the most frequent).
-SAMPLE_PER_LANGUAGE = 600
-MOST_LANGUAGES = 256
+#: Labelled documents that training sees at most: of each language, and in all (each language has one at least).
+SAMPLE_PER_LANGUAGE, SAMPLE = 600, 12_000
 BUCKETS = 4096
 AMBIGUOUS = 0.1
 ROWS = 512
@@ -52,10 +53,11 @@ def codewords(n: int) -> np.ndarray:
         columns = [[1 if (k >> i) & 1 else -1 for i in range(n)] for k in range(1, 1 << max(1, n - 1))]
         return np.array(columns, np.int64).T.reshape(n, -1)
     rng, best, apart = np.random.default_rng(11), None, -1
-    for _ in range(200):
+    for _ in range(max(1, min(200, 20_000 // n))):
         code = rng.choice([-1, 1], (n, int(np.ceil(10 * np.log2(n)))))
         code = code[:, np.abs(code.sum(axis=0)) < n]
-        gap = min((np.count_nonzero(code[i] != code[j]) for i in range(n) for j in range(i)), default=0)
+        alike = (code.astype(np.float32) @ code.T.astype(np.float32)) - 2 * code.shape[1] * np.eye(n, dtype=np.float32)
+        gap = int((code.shape[1] - alike.max()) / 2)
         if gap > apart:
             best, apart = code, gap
     return best
@@ -70,23 +72,24 @@ class Model:
         n = len(offsets) - 1
         if len(self.languages) == 1:
             return np.zeros(n, np.int64), np.ones(n), np.ones(n)
-        margin = histograms(data, offsets) @ self.weights + self.bias
-        loss = np.logaddexp(0, -margin[:, None, :] * self.code[None]) @ self.trust
+        margin = (histograms(data, offsets) @ self.weights + self.bias).astype(float)
+        # A bit of a codeword costs log(1 + exp(-margin)) where it is set and log(1 + exp(margin)) where not.
+        loss = (np.logaddexp(0, -margin) * self.trust) @ (self.code > 0).T + (np.logaddexp(0, margin) * self.trust) @ (self.code < 0).T
         chance = np.exp(-(loss - loss.min(axis=1, keepdims=True)))
         chance /= chance.sum(axis=1, keepdims=True)
         top = np.sort(chance, axis=1)
         return loss.argmin(axis=1), top[:, -1], top[:, -1] - top[:, -2]
 
 
-def train(texts: list[str], langs: list[str]) -> Model:
-    """Learns the bits' classifiers from texts and their languages."""
+def train(x: np.ndarray, langs: list[str]) -> Model:
+    """Learns the bits' classifiers from n-gram shares, one row a text, and the texts' languages."""
     languages = sorted(set(langs))
     if len(languages) < 2:
         return Model(languages, np.ones((len(languages), 1), np.int64), np.zeros((BUCKETS, 1)), np.zeros(1), np.ones(1))
-    x = np.concatenate([histograms(data, offsets) for _, _, data, offsets in blocks(pa.array(texts), rows=ROWS)])
     spread = (x.std(axis=0) + 1e-4).astype(np.float32)
-    x /= spread
-    which = np.array([languages.index(g) for g in langs])
+    x = x / spread
+    number = {g: i for i, g in enumerate(languages)}
+    which = np.array([number[g] for g in langs])
     code = codewords(len(languages))
     target = code[which].astype(np.float32)
     weight = 1 / np.bincount(which, minlength=len(languages))[which].astype(np.float32)
@@ -102,27 +105,47 @@ def train(texts: list[str], langs: list[str]) -> Model:
     return Model(languages, code, w[:-1] / spread[:, None], w[-1], trust / trust.mean())
 
 
-def fit(documents: DataFrame) -> Model:
-    """Learns from at most SAMPLE_PER_LANGUAGE documents a language outside the held-out fold.
+def sample(documents: DataFrame) -> DataFrame:
+    """Labelled documents outside the held-out fold, as g (language), places and shares of the n-grams that they have.
 
-    The languages are counted over all documents; a hash of the id then picks about the wanted share of each.
+    Of each language those whose ids have the smallest hashes: SAMPLE_PER_LANGUAGE, or as many as SAMPLE leaves for
+    each, one at least. Ties in the hash go by id and text.
     """
     known = documents.select("doc_id", F.col("lang").cast("string").alias("g"), F.col("text").cast("string").alias("t"))
     known = known.where((fold("doc_id", 4) != 2) & F.col("g").isNotNull() & F.col("t").isNotNull())
-    counts = known.groupBy("g").count().orderBy(F.desc("count"), "g").limit(MOST_LANGUAGES).collect()
-    if not counts:
-        return Model([], np.ones((0, 1), np.int64), np.zeros((BUCKETS, 1)), np.zeros(1), np.ones(1))
-    share = F.create_map(*[F.lit(v) for r in counts for v in (r.g, min(1.0, 1.2 * SAMPLE_PER_LANGUAGE / r["count"]))])
-    chosen = known.where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_003)) < share[F.col("g")] * 1_000_003)
-    rows = chosen.limit(2 * SAMPLE_PER_LANGUAGE * len(counts)).collect()
-    rows.sort(key=lambda r: (r.g, r.t))
-    return train([r.t for r in rows], [r.g for r in rows])
+    counts = known.groupBy("g").count()
+    each = F.least(F.lit(SAMPLE_PER_LANGUAGE), F.greatest(F.lit(1), F.floor(F.lit(SAMPLE) / F.count("*").over(Window.partitionBy()))))
+    # The hash lets through a little more than is wanted, so that what is ranked is small; a rare language passes whole.
+    wanted = counts.withColumn("most", each).withColumn("share", F.when(F.col("most") * 8 >= F.col("count"), 1.0).otherwise(F.least(F.lit(1.0), (1.2 * F.col("most") + 30) / F.col("count"))))
+    hashed = known.withColumn("h", F.xxhash64("doc_id")).join(wanted.drop("count"), "g")
+    some = hashed.where(F.pmod("h", F.lit(1_000_003)) < F.col("share") * 1_000_003)
+    ranked = some.withColumn("n", F.row_number().over(Window.partitionBy("g").orderBy("h", "doc_id", "t"))).where(F.col("n") <= F.col("most"))
+
+    def shares(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for low, high, data, offsets in blocks(batch.column(1), rows=ROWS):
+                x = histograms(data, offsets)
+                at = [np.flatnonzero(row) for row in x]
+                yield pa.record_batch([batch.column(0).slice(low, high - low), pa.array([a.astype("<u2").tobytes() for a in at], pa.binary()), pa.array([x[i, a].tobytes() for i, a in enumerate(at)], pa.binary())], ["g", "at", "x"])
+
+    return ranked.select("g", "t").mapInArrow(shares, "g string, at binary, x binary")
+
+
+def fit(documents: DataFrame) -> Model:
+    """Learns from a bounded sample of the labelled documents outside the held-out fold; without any, a model of no language."""
+    rows = sorted(sample(documents).collect())
+    x = np.zeros((len(rows), BUCKETS), np.float32)
+    for i, r in enumerate(rows):
+        x[i, np.frombuffer(r["at"], "<u2")] = np.frombuffer(r["x"], np.float32)
+    return train(x, [r["g"] for r in rows])
 
 
 def predict(documents: DataFrame, model: Model) -> DataFrame:
     """doc_id, lang_pred, score and ambiguous for every row.
 
-    Null and letterless texts, and any text when nothing could be learned, are UNKNOWN with score 0.
+    Null and letterless texts, and any text when nothing could be learned, are UNKNOWN with score 0. Rows are kept one
+    for one, repeated rows and null ids included; of languages at the same distance the first by name is taken. Other
+    columns are not read.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -149,5 +172,5 @@ def predict(documents: DataFrame, model: Model) -> DataFrame:
 
 
 def identify(documents: DataFrame) -> DataFrame:
-    """doc_id, held_out, lang_pred, score, ambiguous for every row of ``documents``."""
+    """doc_id, held_out, lang_pred, score, ambiguous for every row of ``documents``; see fit() and predict()."""
     return predict(documents, fit(documents)).select("doc_id", (fold("doc_id", 4) == 2).alias("held_out"), "lang_pred", "score", "ambiguous")

@@ -128,9 +128,47 @@ def test_language_odd_rows(odd, none):
     rows = {r.doc_id: r for r in langid.identify(odd).collect()}
     assert all(rows[i].lang_pred == "und" and rows[i].score == 0 for i in (1, 2, 3))
     assert rows[8].lang_pred in ("en", "de", "fr")
+    assert None in rows and rows[5].lang_pred == rows[6].lang_pred
     assert langid.identify(none).count() == 0
 
 
+def test_every_language_is_learned(spark):
+    """More languages than any fixed number: each can be predicted."""
+    rng, rows = np.random.default_rng(5), []
+    letters = list("abcdefghijklmnopqrstuvwxyzäöüéèñçøåß")
+    words = {f"l{g:03}": ["".join(rng.choice(letters, 6)) for _ in range(6)] for g in range(300)}
+    for g in words:
+        rows += [(len(rows) + k, " ".join(rng.choice(words[g], 30)), g) for k in range(8)]
+    got = langid.identify(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()
+    by = {i: g for i, _, g in rows}
+    assert len({r.lang_pred for r in got if by[r.doc_id] == r.lang_pred}) > 290
+    assert np.mean([r.lang_pred == by[r.doc_id] for r in got if r.held_out]) > 0.9
+
+
+def test_language_sample_is_bounded_and_repeats(spark, tables, monkeypatch):
+    docs, _ = tables
+    monkeypatch.setattr(langid, "SAMPLE_PER_LANGUAGE", 40)
+    one, two = (sorted(langid.sample(docs.repartition(n)).collect()) for n in (3, 7))
+    assert one == two
+    sizes = {g: sum(r["g"] == g for r in one) for g in {r["g"] for r in one}}
+    assert set(sizes.values()) == {40}
+
+
+def test_language_decoding_is_nearest_codeword():
+    """Loss-weighted decoding against a plain sum over the bits of every codeword."""
+    rng = np.random.default_rng(2)
+    x, langs = rng.random((60, langid.BUCKETS)).astype(np.float32), [f"g{i % 6}" for i in range(60)]
+    for i, g in enumerate(langs):
+        x[i, int(g[1])] += 3
+    model = langid.train(x / x.sum(axis=1, keepdims=True), langs)
+    data, offsets = np.frombuffer(b"some text here" + b"zzz", np.uint8), np.array([0, 14, 17])
+    best, chance, _ = model.predict(data, offsets)
+    for i, h in enumerate(langid.histograms(data, offsets)):
+        margin = h @ model.weights + model.bias
+        loss = [sum(t * np.log1p(np.exp(-m * b)) for t, m, b in zip(model.trust, margin, word, strict=True)) for word in model.code]
+        assert best[i] == int(np.argmin(loss)) and chance[i] == pytest.approx(1 / sum(np.exp(min(loss) - v) for v in loss))
+
+
 def test_codewords_stand_apart():
     for n in (2, 3, 4, 5, 12, 40):
         code = langid.codewords(n)
