@@ -27,7 +27,7 @@ def components(edges: DataFrame, scratch: Scratch, name: str = "components") ->
         order = lambda c, t=turn: F.struct(F.xxhash64(F.lit(t), c).alias("h"), F.col(c).alias("v"))
         ends = left.select(F.col("a").alias("node"), order("b").alias("to")).unionByName(left.select(F.col("b").alias("node"), order("a").alias("to")))
         best = ends.groupBy("node").agg(F.min("to").alias("to"))
-        parent = scratch.table(best.select("node", F.least("to", order("node"))["v"].alias("label")), f"{name}-parent-{turn}")
+        parent = best.select("node", F.least("to", order("node"))["v"].alias("label"))
         up = parent.select(F.col("node").alias("label"), F.col("label").alias("top"))
         label = scratch.table(parent.join(up, "label").select("node", F.col("top").alias("label")), f"{name}-label-{turn}")
         rounds.append(label)

@@ -8,7 +8,9 @@ candidate keys.
 
 Equal sets form one class and are looked at once. Within a key every class is compared with one leader, so the pairs
 grow with the rows, not with the squares of groups; pairs are confirmed on full sets. Keys whose members are then not
-all connected are settled exactly: their members are compared block against block, in tasks of bounded size.
+all connected are settled exactly, in tiles bounded in classes and in shingles: members of keys that hang together are
+one tile where they are few, else each key is one, and a key with very many members is compared block against block,
+where only blocks of like set size can hold a pair.
 """
 
 from __future__ import annotations
@@ -19,7 +21,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gatherline.llm.blocks import LOWER, U64, blocks, mix, span_hashes, words
@@ -30,8 +32,8 @@ BANDS, ROWS = 40, 6
 BINS = BANDS * ROWS
 #: Similarity in hundredths from which documents are linked.
 PERCENT = 80
-#: Classes in a block of the exact comparison.
-BLOCK = 256
+#: Classes, and shingles in all, of a block of the exact comparison (one set more at most).
+BLOCK, BLOCK_SHINGLES = 256, 1 << 21
 COLUMNS = 1 << 14
 
 
@@ -138,55 +140,57 @@ def block_links(sets: list[np.ndarray], group: np.ndarray, side: np.ndarray, per
 
 
 def sketches(documents: DataFrame, width: int) -> DataFrame:
-    """doc_id, n_shingles, digest of the set (null if empty) and band keys of every row of (doc_id, text)."""
+    """doc_id, mark, n_shingles, digest of the set (null if empty) and band keys of every row of (doc_id, mark, text)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for low, high, data, offsets in blocks(batch.column(1), rows=4096):
+            for low, high, data, offsets in blocks(batch.column(2), rows=4096):
                 found, firsts = shingles(data, offsets, width)
                 keys = band_keys(sketch(found, firsts))
                 n = np.diff(firsts)
                 digest = [hashlib.blake2b(found[a:b].tobytes(), digest_size=16).digest() if b > a else None for a, b in zip(firsts[:-1], firsts[1:], strict=True)]
                 bands = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(np.where(n > 0, BANDS, 0))]), pa.int32()), pa.array(keys[n > 0].ravel()))
-                yield pa.record_batch([batch.column(0).slice(low, high - low), pa.array(n, pa.int64()), pa.array(digest, pa.binary()), bands], ["doc_id", "n_shingles", "digest", "bands"])
+                yield pa.record_batch([*(batch.column(i).slice(low, high - low) for i in (0, 1)), pa.array(n, pa.int64()), pa.array(digest, pa.binary()), bands], ["doc_id", "mark", "n_shingles", "digest", "bands"])
 
-    return documents.mapInArrow(run, "doc_id long, n_shingles long, digest binary, bands array<long>")
+    return documents.mapInArrow(run, "doc_id long, mark binary, n_shingles long, digest binary, bands array<long>")
 
 
-def full_sets(documents: DataFrame, width: int) -> DataFrame:
-    """doc_id and the sorted shingle hashes, as bytes, of every row of (doc_id, text) that has any."""
+def full_sets(texts: DataFrame, width: int) -> DataFrame:
+    """rep and the sorted shingle hashes, as bytes, of every row of (rep, text)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for low, _, data, offsets in blocks(batch.column(1), rows=4096):
+            for low, high, data, offsets in blocks(batch.column(1), rows=4096):
                 found, firsts = shingles(data, offsets, width)
-                at = np.flatnonzero(np.diff(firsts))
-                yield pa.record_batch([batch.column(0).take(pa.array(at + low)), pa.array([found[firsts[i] : firsts[i + 1]].tobytes() for i in at], pa.binary())], ["doc_id", "shingles"])
+                yield pa.record_batch([batch.column(0).slice(low, high - low), pa.array([found[a:b].tobytes() for a, b in zip(firsts[:-1], firsts[1:], strict=True)], pa.binary())], ["rep", "shingles"])
 
-    return documents.mapInArrow(run, "doc_id long, shingles binary")
+    return texts.mapInArrow(run, "rep long, shingles binary")
 
 
-def group(documents: DataFrame, width: int = 5, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Groups near-duplicate documents; one row per row of ``documents``.
+def _mark(text: Column) -> Column:
+    return F.unhex(F.md5(F.coalesce(text.cast("string"), F.lit(""))))
 
-    Returns doc_id, n_shingles, component_id (smallest doc_id reachable by links, itself included), kept (doc_id =
-    component_id). Texts that are null, empty or without words have no shingles and link with nothing; a null id links
-    with nothing and is not kept as a component's name. Rows that repeat an id are one document with all their texts'
-    links. Other columns are not read.
+
+def _components(documents: DataFrame, width: int, percent: int, id_col: str, text_col: str, scratch: Scratch, same_id: bool) -> tuple[DataFrame, DataFrame]:
+    """Rows (row, doc_id, mark, n_shingles, digest) and the component of every digest, each named by one of its rows.
+
+    same_id: texts under one id hang together.
     """
-    scratch = Scratch(documents.sparkSession, "minhash")
-    source = documents.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    seen = scratch.table(sketches(source, width), "sketches")
-    usable = seen.where(F.col("doc_id").isNotNull() & F.col("digest").isNotNull())
-    classes = scratch.table(usable.groupBy("digest").agg(F.min("doc_id").alias("rep"), F.first("bands").alias("bands")), "classes")
+    source = documents.select(F.col(id_col).cast("long").alias("doc_id"), _mark(F.col(text_col)).alias("mark"), F.col(text_col).cast("string").alias("text"))
+    seen = scratch.table(sketches(source, width).withColumn("row", F.monotonically_increasing_id()), "sketches")
+    usable = seen.where("digest IS NOT NULL")
+    classes = usable.groupBy("digest").agg(F.min("row").alias("rep"), F.min_by(F.struct("doc_id", "mark"), "row").alias("origin"), F.first("bands").alias("bands"), F.first("n_shingles").alias("size"))
+    classes = scratch.table(classes, "classes")
     keys = scratch.table(classes.select("rep", F.explode("bands").alias("key")), "keys")
     leaders = keys.groupBy("key").agg(F.min("rep").alias("leader"), F.count("*").alias("n")).where("n > 1")
     leaders = scratch.table(leaders, "leaders")
     member = scratch.table(keys.join(leaders, "key").select("key", "n", "leader", "rep"), "members")
     scratch.drop("keys")
     pairs = scratch.table(member.where("leader <> rep").select("leader", "rep").distinct(), "pairs")
-    wanted = scratch.table(member.select(F.col("rep").alias("doc_id")).distinct(), "wanted")
-    sets = scratch.table(full_sets(source.join(wanted, "doc_id", "left_semi"), width), "sets")
+    wanted = member.select("rep").distinct().join(classes.select("rep", "origin.*"), "rep").withColumnsRenamed({"doc_id": "_id", "mark": "_mark"})
+    wanted = scratch.table(wanted, "wanted")
+    texts = source.join(wanted, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("mark") == F.col("_mark"))).select("rep", "text").dropDuplicates(["rep"])
+    sets = scratch.table(full_sets(texts, width), "sets")
 
     def confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -194,52 +198,99 @@ def group(documents: DataFrame, width: int = 5, percent: int = PERCENT, id_col:
             keep = batch.filter(pa.array(ok, pa.bool_()))
             yield pa.record_batch([keep.column(0), keep.column(1)], ["a", "b"])
 
-    one = pairs.join(sets.select(F.col("doc_id").alias("rep"), F.col("shingles").alias("x")), "rep")
-    two = one.join(sets.select(F.col("doc_id").alias("leader"), F.col("shingles").alias("y")), "leader")
+    one = pairs.join(sets.select("rep", F.col("shingles").alias("x")), "rep")
+    two = one.join(sets.select(F.col("rep").alias("leader"), F.col("shingles").alias("y")), "leader")
     star = scratch.table(two.select("leader", "rep", "x", "y").mapInArrow(confirm, "a long, b long"), "star")
+    if same_id:
+        several = usable.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.min("digest").alias("a"), F.max("digest").alias("b")).where("a <> b").select("doc_id")
+        held = usable.join(several, "doc_id").select("doc_id", "digest").distinct().join(classes.select("digest", "rep"), "digest")
+        held = scratch.table(held.select("doc_id", "rep"), "held")
+        star = star.unionByName(held.join(held.groupBy("doc_id").agg(F.min("rep").alias("a")), "doc_id").select("a", F.col("rep").alias("b")))
     first = components(star, scratch, "first")
-    rest = _settle(member, first, sets, scratch, percent)
+    rest = _settle(member, first, classes.select("rep", "size"), sets, scratch, percent)
     # What was settled joins whole components: only their names are linked.
     last = components(rest, scratch, "last").select(F.col("node").alias("component"), F.col("component").alias("further"))
     named = classes.select("digest", "rep").join(first.withColumnRenamed("node", "rep"), "rep", "left").select("digest", F.coalesce("component", "rep").alias("component"))
-    named = scratch.table(named.join(last, "component", "left").select("digest", F.coalesce("further", "component").alias("component")), "named")
-    joined = seen.select("doc_id", "n_shingles", "digest").join(named, "digest", "left")
-    out = joined.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id")).alias("component_id"))
+    named = named.join(last, "component", "left").select("digest", F.coalesce("further", "component").alias("component"))
+    return seen.drop("bands"), scratch.table(named, "named")
+
+
+def group(documents: DataFrame, width: int = 5, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Groups near-duplicate documents; one row per row of ``documents``.
+
+    Returns doc_id, n_shingles, component_id (smallest doc_id reachable by links, itself included), kept (doc_id =
+    component_id). Texts that are null, empty or without words have no shingles and link with nothing. Rows that repeat
+    an id are one document with all their texts' links. Rows without an id are linked as others are, give no name to a
+    component (null if no row of it has an id) and are not kept. Other columns are not read; an empty table gives no rows.
+    """
+    scratch = Scratch(documents.sparkSession, "minhash")
+    rows, named = _components(documents, width, percent, id_col, text_col, scratch, same_id=True)
+    joined = scratch.table(rows.join(named, "digest", "left").select("doc_id", "n_shingles", "digest", "component"), "joined")
+    ids = joined.where("component IS NOT NULL").groupBy("component").agg(F.min("doc_id").alias("least"))
+    out = joined.join(ids, "component", "left").select("doc_id", "n_shingles", F.when(F.col("component").isNull(), F.col("doc_id")).otherwise(F.col("least")).alias("component_id"))
     return out.withColumn("kept", F.coalesce(F.col("component_id") == F.col("doc_id"), F.lit(False)))
 
 
-def _settle(member: DataFrame, first: DataFrame, sets: DataFrame, scratch: Scratch, percent: int) -> DataFrame:
+def _settle(member: DataFrame, first: DataFrame, sizes: DataFrame, sets: DataFrame, scratch: Scratch, percent: int) -> DataFrame:
     """Components linked by pairs that the leaders missed: exact comparison among the members of keys that are not yet one component."""
-    grouped = member.where("n > 2").join(first.withColumnRenamed("node", "rep"), "rep", "left").select("key", "leader", "rep", F.coalesce("component", "rep").alias("component"))
+    grouped = member.where("n > 2").join(first.withColumnRenamed("node", "rep"), "rep", "left").select("key", "n", "leader", "rep", F.coalesce("component", "rep").alias("component"))
     grouped = scratch.table(grouped, "grouped")
     split = scratch.table(grouped.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("key"), "split")
-    mixed = scratch.table(grouped.join(split, "key").select("leader", "rep", "component").distinct(), "mixed")
-    # Members that meet in such keys form lumps; a lump is compared in tiles of two blocks.
-    lumps = components(mixed.select(F.col("leader").alias("a"), F.col("rep").alias("b")), scratch, "lumps")
-    docs = mixed.select("rep", "component").distinct().join(lumps.select(F.col("node").alias("rep"), F.col("component").alias("lump")), "rep")
-    docs = scratch.table(docs, "docs")
-    sizes = scratch.table(docs.groupBy("lump").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks")), "lump-sizes")
-    placed = docs.join(sizes, "lump").withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
-    placed = scratch.table(placed, "placed").join(sets.withColumnRenamed("doc_id", "rep"), "rep")
-    tiles = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    tiles = tiles.select("lump", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "block", "rep", "component", "shingles")
-
-    def compare(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+    mixed = scratch.table(grouped.join(split, "key").join(sizes, "rep"), "mixed")
+    bounded = lambda n, items: (n <= BLOCK) & (items <= BLOCK_SHINGLES)
+    edges = lambda df: df.select(F.col("leader").alias("a"), F.col("rep").alias("b"))
+    fixed = lambda df, kind, name: df.select(F.lit(kind).alias("kind"), F.col(name).alias("name"), *[F.lit(0).alias(c) for c in ("g", "h", "low", "high")], F.lit(3).alias("side"), "rep", "component")
+    # Keys that share members hang together as a lump. A small one is a tile.
+    lumps = components(edges(mixed), scratch, "lumps").select(F.col("node").alias("rep"), F.col("component").alias("lump"))
+    docs = scratch.table(mixed.select("rep", "component", "size").distinct().join(lumps, "rep"), "docs")
+    fits = docs.groupBy("lump").agg(bounded(F.count("*"), F.sum("size")).alias("fits"))
+    placed = scratch.table(docs.join(fits, "lump"), "placed")
+    small = fixed(placed.where("fits"), 0, "lump")
+    # Of a larger one each key is a tile, keys with the same members once.
+    loose = mixed.join(placed.where("NOT fits").select("rep").distinct(), "rep")
+    members = F.struct(F.count("*"), F.sum(F.xxhash64("rep").cast("decimal(20,0)")), F.min("rep"))
+    per_key = scratch.table(loose.groupBy("key").agg(bounded(F.count("*"), F.sum("size")).alias("fits"), members.alias("members")), "per-key")
+    once = per_key.where("fits").groupBy("members").agg(F.min("key").alias("key")).select("key")
+    by_key = fixed(loose.join(once, "key"), 1, "key")
+    # Members of keys beyond that are compared block against block. Alike sets differ in size by a quarter at most (at
+    # 80 in a hundred): they lie in one class of sizes or in two that are neighbours.
+    large = scratch.table(loose.join(per_key.where("NOT fits").select("key"), "key"), "large")
+    hubs = components(edges(large), scratch, "hubs").select(F.col("node").alias("rep"), F.col("component").alias("name"))
+    g = F.floor(F.log("size") / F.lit(float(np.log(100 / percent) * (1 + 1e-9)))).cast("int")
+    sized = scratch.table(large.select("rep", "component", "size").distinct().join(hubs, "rep").withColumn("g", g), "sized")
+    parts = sized.groupBy("name", "g").agg(F.ceil(F.greatest(F.count("*") / BLOCK, F.sum("size") / BLOCK_SHINGLES)).cast("int").alias("parts"))
+    parts = scratch.table(parts, "parts")
+    at = sized.join(parts, ["name", "g"]).withColumn("block", F.pmod(F.xxhash64("rep"), "parts").cast("int"))
+    there = parts.select("name", F.col("g").alias("h"), F.col("parts").alias("others"))
+    near = at.withColumn("h", F.explode(F.array(F.col("g") - 1, F.col("g"), F.col("g") + 1))).join(there, ["name", "h"])
+    near = near.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("others") - 1)))
+    mine, theirs = F.struct("g", "block"), F.struct(F.col("h").alias("g"), F.col("other").alias("block"))
+    a, b = F.least(mine, theirs), F.greatest(mine, theirs)
+    side = F.when(mine == theirs, 3).when(mine == a, 1).otherwise(2)
+    tiled = near.select(F.lit(2).alias("kind"), "name", a["g"].alias("_g"), b["g"].alias("_h"), a["block"].alias("low"), b["block"].alias("high"), side.alias("side"), "rep", "component").withColumnsRenamed({"_g": "g", "_h": "h"})
+    tiles = small.unionByName(by_key).unionByName(tiled).join(sets, "rep")
+
+    def compare(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values("rep", ignore_index=True)
-        block = rows["block"].to_numpy()
-        side = np.where(block == key[1], 1, 0) | np.where(block == key[2], 2, 0)
         group = rows["component"].to_numpy()
-        found = block_links([np.frombuffer(s, U64) for s in rows["shingles"]], group, side, percent)
+        found = block_links([np.frombuffer(s, U64) for s in rows["shingles"]], group, rows["side"].to_numpy(), percent)
         return pd.DataFrame([(group[i], group[j]) for i, j in found], columns=["a", "b"])
 
-    return scratch.table(tiles.groupBy("lump", "low", "high").applyInPandas(compare, "a long, b long"), "rest")
+    return scratch.table(tiles.groupBy("kind", "name", "g", "h", "low", "high").applyInPandas(compare, "a long, b long"), "rest")
 
 
 def deduplicate(documents: DataFrame, width: int = 5, percent: int = PERCENT) -> DataFrame:
-    """The rows of ``documents`` that are kept: of each group the one with the smallest id, and of repeated rows one.
+    """The rows of ``documents`` that are kept: of each group of alike texts the one with the smallest id, of repeated rows one.
 
-    Documents without shingles, and rows without an id, stay.
+    Texts are told apart by themselves: a different text under the same id stays, and rows without an id are compared
+    as others are (one is kept only where no row of its group has an id). Texts without words all stay.
     """
-    kept = group(documents, width, percent).where("kept").select("doc_id").distinct()
-    named = documents.where(F.col("doc_id").isNotNull()).join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return named.select(*documents.columns).unionByName(documents.where(F.col("doc_id").isNull()))
+    scratch = Scratch(documents.sparkSession, "deduplicate")
+    rows, named = _components(documents, width, percent, "doc_id", "text", scratch, same_id=False)
+    order = F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "mark")
+    kept = rows.join(named, "digest").groupBy("component").agg(F.min(order).alias("k")).select(F.col("k.doc_id").alias("__id"), F.col("k.mark").alias("__kept"))
+    kept = scratch.table(kept, "kept")
+    worded = F.coalesce(documents["text"].cast("string").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
+    marked = documents.where(worded).withColumn("__mark", _mark(F.col("text")))
+    one = marked.join(kept, F.col("doc_id").cast("long").eqNullSafe(F.col("__id")) & (F.col("__mark") == F.col("__kept")), "left_semi").dropDuplicates(["doc_id", "__mark"])
+    return one.select(*documents.columns).unionByName(documents.where(~worded))

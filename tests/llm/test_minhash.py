@@ -35,6 +35,24 @@ def brute(rows: list[tuple[int, str | None]], width: int, percent: int = 80) ->
     return {i: (len(s), root(i)) for i, s in sets}
 
 
+def test_large_lumps_match_brute_force(spark, monkeypatch):
+    """Tiles of every kind: small lumps, keys of long chains, and blocks of keys with many members, bounded in shingles."""
+    rng = random.Random(9)
+    page = [f"p{i}" for i in range(60)]
+    rows = []
+    for k in range(140):  # pages of one template: not alike, but many share keys
+        rows.append((len(rows), " ".join(page[: 44 + k % 17] + [f"u{k}x{j}" for j in range(rng.randrange(6, 24))])))
+    words = [f"c{rng.randrange(2000)}" for _ in range(90)]
+    for _ in range(80):  # a chain
+        rows.append((len(rows), " ".join(words)))
+        for _ in range(6):
+            words[rng.randrange(len(words))] = f"c{rng.randrange(2000)}"
+    monkeypatch.setattr(minhash, "BLOCK", 12)
+    check(spark, rows)
+    monkeypatch.setattr(minhash, "BLOCK_SHINGLES", 300)
+    check(spark, rows, width=1)
+
+
 def check(spark, rows, width=2):
     got = minhash.group(spark.createDataFrame(rows, "doc_id long, text string"), width).collect()
     want = brute(rows, width)
@@ -76,6 +94,16 @@ def test_odd_rows(spark, odd, none):
     assert minhash.group(none).count() == 0
 
 
+def test_rows_that_share_an_id_or_have_none(spark):
+    a, b, c = (" ".join(f"{x}{i}" for i in range(20)) for x in "abc")
+    rows = [(5, a), (3, a + " more"), (5, b), (9, b), (None, c), (None, c), (12, c), (None, "alone stands this text")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {(r.doc_id, r.component_id) for r in minhash.group(df, width=2).collect()}
+    assert got == {(5, 3), (3, 3), (9, 3), (None, 12), (12, 12), (None, None)}
+    kept = sorted(((r.doc_id, r.text) for r in minhash.deduplicate(df, width=2).collect()), key=str)
+    assert kept == sorted([(3, a + " more"), (5, b), (12, c), (None, "alone stands this text")], key=str)
+
+
 def test_deduplicate_keeps_columns_and_one_of_each(odd, none):
     out = minhash.deduplicate(odd)
     assert out.columns == odd.columns
