@@ -25,49 +25,79 @@ def usable(v) -> bool:
 
 
 def brute_links(rows, threshold=0.93):
-    ids = [r.vec_id for r in rows]
-    up, links = {i: i for i in ids}, dict.fromkeys(ids, 0)
+    """(vec_id, links, component, kept) of every row."""
+    up, links = list(range(len(rows))), [0] * len(rows)
 
     def root(i):
         while up[i] != i:
             i = up[i]
         return i
 
-    good = [(r.vec_id, np.array(r.embedding, float), r.label) for r in rows if usable(r.embedding) and r.label is not None]
+    good = [(i, np.array(r.embedding, float), r.label) for i, r in enumerate(rows) if usable(r.embedding) and r.label is not None]
     for k, (i, a, la) in enumerate(good):
         for j, b, lb in good[k + 1 :]:
             if la == lb and len(a) == len(b) and a @ b / np.sqrt((a @ a) * (b @ b)) >= threshold:
                 links[i] += 1
                 links[j] += 1
-                x, y = sorted((root(i), root(j)))
-                up[y] = x
-    return {i: (links[i], root(i), root(i) == i) for i in ids}
+                up[root(j)] = root(i)
+    name = {}
+    for i, r in enumerate(rows):
+        if r.vec_id is not None:
+            name[root(i)] = min(name.get(root(i), r.vec_id), r.vec_id)
+    named = [name.get(root(i)) for i in range(len(rows))]
+    return sorted(((r.vec_id, n, c, r.vec_id is not None and c == r.vec_id) for r, n, c in zip(rows, links, named, strict=True)), key=str)
+
+
+def linked(df):
+    return sorted(((r.vec_id, r.n_links, r.component_id, r.kept) for r in embdedup.link(df).collect()), key=str)
 
 
 def test_links_match_brute_force(table):
-    rows = table.where("vec_id < 700").collect()
-    got = embdedup.link(table.where("vec_id < 700")).collect()
-    assert {r.vec_id: (r.n_links, r.component_id, r.kept) for r in got} == brute_links(rows) and len(got) == len(rows)
+    some = table.where("vec_id < 700")
+    assert linked(some) == brute_links(some.collect())
 
 
-def test_small_blocks_and_copies(spark, monkeypatch):
-    monkeypatch.setattr(embdedup, "BLOCK", 16)
-    rng, rows = np.random.default_rng(1), []
-    for g in range(20):
+def clusters(spark, n, each=12, seed=1):
+    """n groups of vectors about far centres, some of them equal, in three labels."""
+    rng, rows = np.random.default_rng(seed), []
+    for g in range(n):
         centre = rng.normal(size=24)
-        for k in range(12):
+        for k in range(each):
             v = centre if k < 4 else centre + rng.normal(size=24) * 0.3
             rows.append((len(rows) * 3, [float(np.float32(x)) for x in v], g % 3))
-    df = spark.createDataFrame(rows, SCHEMA)
-    got = embdedup.link(df).collect()
-    assert {r.vec_id: (r.n_links, r.component_id, r.kept) for r in got} == brute_links(df.collect())
+    return spark.createDataFrame(rows, SCHEMA)
+
+
+def test_small_blocks_and_copies(spark, monkeypatch):
+    monkeypatch.setattr(embdedup, "BLOCK", 16)
+    df = clusters(spark, 20)
+    assert linked(df) == brute_links(df.collect())
+
+
+def test_far_blocks_never_meet(spark, monkeypatch):
+    """Of all pairs of blocks few meet once clusters are larger than blocks; no link is lost."""
+    monkeypatch.setattr(embdedup, "BLOCK", 16)
+    made, table = {}, embdedup.Scratch.table
+
+    def noted(self, df, name, *more):
+        out = table(self, df, name, *more)
+        made[name] = out.count()
+        return out
+
+    monkeypatch.setattr(embdedup.Scratch, "table", noted)
+    df = clusters(spark, 18, each=60)
+    assert linked(df) == brute_links(df.collect())
+    per_label = made["ranges"] / 3
+    share = made["met"] / (3 * per_label * (per_label + 1) / 2)
+    print("pairs of blocks that meet", share)
+    assert share < 0.5
 
 
 def test_link_odd_rows(spark, odd_vectors):
-    rows = [r for r in odd_vectors.collect() if r.vec_id is not None]
-    got = {r.vec_id: (r.n_links, r.component_id, r.kept) for r in embdedup.link(odd_vectors).collect()}
-    assert got == brute_links(rows)
+    assert linked(odd_vectors) == brute_links(odd_vectors.collect())
     assert embdedup.link(spark.createDataFrame([], SCHEMA)).count() == 0
+    repeated = spark.createDataFrame([(4, [1.0, 0.0], 1), (4, [0.0, 1.0], 1), (2, [0.0, 1.0], 1), (4, [0.0, 1.0], 1)], SCHEMA)
+    assert linked(repeated) == brute_links(repeated.collect())
 
 
 def brute_search(rows, every=20, k=20):
