@@ -148,12 +148,10 @@ class Codec:
         text = unicodedata.normalize("NFC", text)
         return "σ".join(part.lower() for part in text.split("Σ"))
 
-    def _word(self, word: str) -> bytes:
-        known = self.known.get(word)
-        if known is None:
-            path = self.automaton.encode(word.encode().decode("latin-1").translate(self.symbols))
-            known = self.known[word] = np.array(path, "<u4").tobytes()
-            self.kept += 4 * len(word) + len(known) + 200
+    def _learn(self, word: str) -> bytes:
+        path = self.automaton.encode(word.encode().decode("latin-1").translate(self.symbols))
+        known = self.known[word] = np.array(path, "<u4").tobytes()
+        self.kept += 4 * len(word) + len(known) + 200
         return known
 
     def encode(self, texts: list[str]) -> list[bytes]:
@@ -172,7 +170,9 @@ class Codec:
                     pieces.append(self.normal(part))
             layout.append(row)
         words, order, firsts = split(pieces, blank_joins=False, single_numbers=True)
-        coded = [self._word(w) for w in words]
+        coded = list(map(self.known.get, words))
+        for i in [i for i, known in enumerate(coded) if known is None]:
+            coded[i] = self._learn(words[i])
         order, first = order.tolist(), firsts.tolist()
         return [b"".join([p if isinstance(p, bytes) else b"".join([coded[i] for i in order[first[p] : first[p + 1]]]) for p in row]) for row in layout]
 

@@ -57,11 +57,9 @@ class ByteLevel:
         self.known: dict[str, bytes] = {}
         self.kept = 0
 
-    def _word(self, word: str) -> bytes:
-        known = self.known.get(word)
-        if known is None:
-            known = self.known[word] = self.id_of[self.code._encode_single_piece(word.encode())].tobytes()
-            self.kept += 4 * len(word) + len(known) + 200
+    def _learn(self, word: str) -> bytes:
+        known = self.known[word] = self.id_of[self.code._encode_single_piece(word.encode())].tobytes()
+        self.kept += 4 * len(word) + len(known) + 200
         return known
 
     def encode(self, texts: list[str]) -> list[bytes]:
@@ -79,7 +77,9 @@ class ByteLevel:
                     pieces.append(part)
             layout.append(row)
         words, order, firsts = split(pieces, blank_joins=True, single_numbers=False)
-        coded = [self._word(w) for w in words]
+        coded = list(map(self.known.get, words))
+        for i in [i for i, known in enumerate(coded) if known is None]:
+            coded[i] = self._learn(words[i])
         order, first = order.tolist(), firsts.tolist()
         out = []
         for row in layout:

@@ -33,9 +33,12 @@ def distinct(points: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[
     sizes, first = ends - starts, example[inverse]
     same = sizes == sizes[first]
     if same.all():
-        run = np.arange(int(sizes.sum())) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-        at = np.repeat(starts, sizes) + run
-        same[np.repeat(np.arange(len(sizes)), sizes)[points[at] != points[np.repeat(starts[first], sizes) + run]]] = False
+        inside = np.zeros(len(points) + 1, np.int8)
+        inside[starts] += 1
+        inside[ends] -= 1
+        at = np.flatnonzero(np.cumsum(inside, dtype=np.int8)[:-1]).astype(np.int32)
+        there = at + np.repeat((starts[first] - starts).astype(np.int32), sizes)
+        same[np.searchsorted(starts, at[points[at] != points[there]], "right") - 1] = False
     if not same.all():  # two words share a hash: compare them as they are
         number: dict[bytes, int] = {}
         inverse = np.array([number.setdefault(points[a:b].tobytes(), len(number)) for a, b in zip(starts.tolist(), ends.tolist(), strict=True)], np.int64)
