@@ -109,25 +109,30 @@ def fit(documents: DataFrame, labels: DataFrame) -> np.ndarray:
     return train([r.t for r in rows], np.array([r.y for r in rows], np.int64))
 
 
-def score(documents: DataFrame, table: np.ndarray) -> DataFrame:
-    """All columns of ``documents`` and quality_score (double).
+def score(documents: DataFrame, table: np.ndarray, column: str = "quality_score") -> DataFrame:
+    """All columns of ``documents`` and ``column`` (double).
 
     Null, empty and blank texts have no features and score as the bias alone. Rows are kept one for one. A column
-    named quality_score is replaced.
+    of that name is replaced.
     """
-    documents = documents.drop("quality_score")
+    documents = documents.drop(column)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             text = batch.column(batch.schema.get_field_index("text"))
             got = [score_block(table, data, offsets) for _, _, data, offsets in blocks(text)]
-            yield batch.append_column("quality_score", pa.array(np.concatenate(got) if got else np.zeros(0)))
+            yield batch.append_column(column, pa.array(np.concatenate(got) if got else np.zeros(0)))
 
-    return documents.mapInArrow(run, StructType([*documents.schema.fields, StructField("quality_score", DoubleType())]))
+    return documents.mapInArrow(run, StructType([*documents.schema.fields, StructField(column, DoubleType())]))
 
 
 def classify(documents: DataFrame, labels: DataFrame, threshold: float = 0.5) -> DataFrame:
-    """doc_id, held_out, score, predicted for every row of ``documents``."""
+    """doc_id, held_out, score, predicted for every row of ``documents``, one for one.
+
+    Null, empty and very long texts are scored as in score(); repeated rows score alike; a null id counts as the empty
+    text when the fold is told. A score at the threshold is predicted 1. Other columns are not read. With no labels, or
+    labels of one class, every text has one score.
+    """
     source = documents.select("doc_id", documents["text"].cast("string").alias("text"))
     return score(source, fit(documents, labels)).select(
         "doc_id", (fold("doc_id", 3) == 1).alias("held_out"), F.col("quality_score").alias("score"), (F.col("quality_score") >= threshold).cast("int").alias("predicted")

@@ -20,42 +20,52 @@ def _tokenizer(name: str) -> str:
 
 
 def op1_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate groups of all documents, on sets of two-word shingles. Odd rows: see ``minhash.group``."""
     return minhash.group(_table(spark, sf_dir, "documents"), width=2)
 
 
 def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of all documents by the word vocabulary, decoded again; digests of both. Odd rows: see ``bpe.digests``."""
     return bpe.digests(_table(spark, sf_dir, "documents"), _tokenizer("word_bpe_49k.json"))
 
 
 def op3_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document scored by a model of all documents outside the held-out fold. Odd rows: see ``lm.score``."""
     return lm.score(_table(spark, sf_dir, "documents"))
 
 
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document scored for toxicity by a classifier of labelled documents outside the held-out fold. Odd rows: see ``toxicity.classify``."""
     return toxicity.classify(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
 def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spans of secrets in every document. Odd rows: see ``secrets.report``."""
     return secrets.report(_table(spark, sf_dir, "documents"))
 
 
 def op6_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document. Odd rows: see ``langid.identify``."""
     return langid.identify(_table(spark, sf_dir, "documents"))
 
 
 def op7_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest of every twentieth vector, among all others. Odd rows: see ``ann.search``."""
     return ann.search(_table(spark, sf_dir, "embeddings"))
 
 
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document scored for quality by a classifier of labelled documents outside the held-out fold. Odd rows: see ``quality.classify``."""
     return quality.classify(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
 def op9_embdedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and groups of all embeddings of equal label. Odd rows: see ``embdedup.link``."""
     return embdedup.link(_table(spark, sf_dir, "embeddings"))
 
 
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents packed into sequences of 2048 ids. Odd rows: see ``packing.pack``."""
     return packing.pack(_table(spark, sf_dir, "documents"), _tokenizer("byte_bpe_50k.json"))
 
 
