@@ -9,8 +9,7 @@ from gatherline import vocab
 from gatherline.functions.names import squeeze
 from gatherline.functions.values import let, text
 
-MONTH = r"(?:Jan(?:uary)?|Feb(?:ruary)?|Mar(?:ch)?|Apr(?:il)?|May|June?|July?|Aug(?:ust)?|Sep(?:t(?:ember)?)?|Oct(?:ober)?|Nov(?:ember)?|Dec(?:ember)?)\.?"
-WEEKDAY = r"(?i)\b(?:mon|tue|tues|wed|thu|thur|thurs|fri|sat|sun)(?:day|nesday|rsday|urday)?\b\.?,?\s*"
+MONTH, WEEKDAY = vocab.MONTH, vocab.WEEKDAY
 RANGE = "struct<start:date,end:date>"
 
 

@@ -34,7 +34,7 @@ def slug(x: Column, length: int = 60) -> Column:
 def link_organizer(name: Column) -> Column:
     """Canonical organiser for record linkage; '' for null."""
     bare = plain(F.lower(text(name)))
-    return F.coalesce(lookup(bare, {a: k for k, names in vocab.ORGANIZERS_CORE.items() for a in names}), bare)
+    return F.coalesce(lookup(bare, vocab.ORGANIZERS_CORE), bare)
 
 
 def link_name(name: Column) -> Column:
@@ -111,8 +111,7 @@ def event_fingerprint(sport: Column, organizer: Column, name: Column, start: Col
 def core_organizer(name: Column) -> Column:
     """Canonical organiser of normalised rows; null for none. Company words go, then aliases apply."""
     bare = plain(F.lower(name))
-    bare = F.trim(F.regexp_replace(bare, r"\b(" + "|".join(vocab.ORGANIZER_SUFFIXES) + r")\b", ""))
-    table = {a: k for k, names in vocab.ORGANIZERS_COMMON.items() for a in names}
+    bare, table = F.trim(F.regexp_replace(bare, vocab.COMPANY_WORDS, "")), vocab.ORGANIZERS_COMMON
     return F.when(name != "", F.coalesce(lookup(bare, table), lookup(F.trim(F.lower(name)), table), F.when(bare != "", bare)))
 
 

@@ -82,7 +82,7 @@ def members(values: Iterable[str]) -> Column:
 
 def word_set(words: Column) -> Column:
     """Distinct words of a text whose words are separated by single blanks; none for an empty text."""
-    return F.array_distinct(F.filter(F.split(words, " "), lambda w: w != ""))
+    return F.array_distinct(F.array_remove(F.split(words, " "), ""))
 
 
 def lookup(key: Column, table: dict[str, str]) -> Column:

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gatherline import vocab
-from gatherline.functions.values import text
+from gatherline.functions.values import first_case, let, text
 
 
 def default_rules(spark: SparkSession) -> DataFrame:
@@ -111,14 +111,7 @@ def needs_check(flags: Column, status: Column) -> Column:
 
 def name_verdict(name: Column) -> Column:
     """Why a crawled name is not an event to keep, or null: junk, heading, not_event, other_sport, no_tournament_word."""
-    n = text(name)
-    return (
-        F.when(n.rlike(r"(?i)(:\s*$)|^(location|locations|dates?|when|where|venue|address|schedule|times?|cost|price|fees?|faq|contact|(attending\s+)?college\s+coaches(\s+attending)?|coaches|sponsors?|directions|parking|hotels?|lodging)\b|\b(due|deadline)\b|^submit\b|\bwaivers?\s+(complete|due)|\bregistration\s+(opens|closes)|\brequests?\s+by\b|\.(php|html?|aspx?|jsp)\b|\bsharer\b|\|.*\|"), "junk")
-        .when(n.rlike(r"(?i)^(?:all\s+|upcoming\s+|our\s+|featured\s+)?(?:events?|tournaments?|showcases?|calendar|schedule|programs?)$"), "heading")
-        .when(n.rlike(r"(?i)\b(camps?|clinics?|training|tryouts?|lessons?|private|academy\s+program|membership|newsletter|blog|news|recap|results?|standings|prospect\s+days?|id\s+days?|recruiting)\b"), "not_event")
-        .when(n.rlike(r"(?i)\b(soccer|futsal|basketball|baseball|softball|volleyball|hockey|football|pickleball|wrestling|track meet|cross country)\b"), "other_sport")
-        .when(~n.rlike(r"(?i)\b(tournaments?|tourney|classic|cup|showcase|invitational|shoot-?out|fest\w*|challenge|championships?|bash|series|jamboree|brawl|sixes|6v6|7v7|box|games|throw-?down|battle|duel|clash|rumble|blast|frenzy|madness|havoc|bowl|open|slam|summit|qualifier|playoffs?|league|divisions?|teams?|bracket|pool play|prix|tour|futures|lax)\b"), "no_tournament_word")
-    )
+    return let(text(name), lambda n: first_case(n, [(p, fault) for fault, p in vocab.NAME_FAULTS], F.when(~n.rlike(vocab.TOURNAMENT_WORD), "no_tournament_word")))
 
 
 def in_horizon(start: Column, as_of: Column, back: int = 1, ahead: int = 550) -> Column:

@@ -13,6 +13,8 @@ from gatherline.plans.scratch import Scratch
 
 #: What decides whether two rows are one event-site; rows equal in all of it fall into one class before any pairing.
 FIELDS = ["sport", "organizer", "start_date", "end_date", "state", "gender", "venue", "city", "name", "event_type"]
+#: What the verdict reads of a prepared row, and all that pairs of rows need carry.
+READ = ["ord", "start_date", "end_date", "state", "gender", "event_type", "_sport", "_org", "_venue", "_words", "_compound", "_city", "_tokens", "_identity", "_levels"]
 
 
 def prepare(rows: DataFrame) -> DataFrame:
@@ -22,6 +24,7 @@ def prepare(rows: DataFrame) -> DataFrame:
             "_sport": F.coalesce(F.when(F.col("sport") != "", F.col("sport")), F.lit("lacrosse")),
             "_org": link_organizer(F.col("organizer")),
             "_venue": link_venue(F.col("venue")),
+            "_words": word_set(link_venue(F.col("venue"))),
             "_compound": is_compound_venue(F.col("venue")),
             "_city": F.trim(F.lower(text("city"))),
             "_tokens": link_tokens(F.col("name")),
@@ -38,7 +41,7 @@ def verdict(p: str, q: str) -> Column:
     """
     a = lambda f: F.col(f"{p}.{f}")
     b = lambda f: F.col(f"{q}.{f}")
-    va, vb = word_set(a("_venue")), word_set(b("_venue"))
+    va, vb = a("_words"), b("_words")
     shared = overlap(va, vb)
     close = (a("_venue") == b("_venue")) | subset(va, vb) | subset(vb, va) | (shared / (F.size(va) + F.size(vb) - shared) >= 0.6)
     venue = F.when(a("_compound") != b("_compound"), False).when((a("_venue") == "") | (b("_venue") == ""), F.lit(None).cast("boolean")).otherwise(close)
@@ -81,9 +84,9 @@ def matching_pairs(classes: DataFrame, across_months: bool = False) -> DataFrame
     span = F.coalesce(F.datediff("end_date", "start_date"), F.lit(0))
     span = span if across_months else F.least(span, F.lit(31))  # a block is one month, further days meet nothing
     days = F.sequence(F.date_sub("start_date", 1), F.date_add("start_date", F.greatest(span, F.lit(0)) + 1))
-    words = word_set(F.col("_venue"))
+    words = F.col("_words")
     own = F.when(F.size(words) > 0, F.transform(words, lambda w: F.concat(F.lit("v:"), w))).otherwise(F.array(F.lit("none")))
-    rows = classes.where("start_date IS NOT NULL").select("ord", F.struct(*[c for c in classes.columns]).alias("r"), days.alias("days"), own.alias("keys"), (F.size(words) == 0).alias("bare"))
+    rows = classes.where("start_date IS NOT NULL").select("ord", F.struct(*READ).alias("r"), days.alias("days"), own.alias("keys"), (F.size(words) == 0).alias("bare"))
     if not across_months:
         rows = rows.withColumn("block", F.date_format("r.start_date", "yyyy-MM"))
     else:

@@ -38,17 +38,23 @@ def organizers(rows: DataFrame, as_of: Column) -> DataFrame:
 
     rows: ord, organizer_name, teams, state, start_date.
     """
-    named = rows.withColumn("canon", registry_organizer(F.col("organizer_name"))).where("canon IS NOT NULL")
-    names = named.groupBy("canon", "organizer_name").agg(F.count("*").alias("n"), F.min("ord").alias("first"))
-    usual = names.groupBy("canon").agg(F.max_by("organizer_name", F.struct("n", -F.col("first"))).alias("name"))
-    code = F.upper(F.trim(F.split_part(text("state"), F.lit(","), F.lit(1))))
-    out = named.groupBy("canon").agg(
+    # Rows are reduced by the name as it stands; only distinct names are brought to their canonical form.
+    raw = rows.groupBy("organizer_name").agg(
         F.count("*").alias("events"),
+        F.min("ord").alias("first"),
         F.max(F.coalesce("teams", F.lit(0))).alias("max_teams"),
-        F.array_sort(F.collect_set(F.when(code.rlike("^[A-Z]{2}$"), code))).alias("states"),
+        F.collect_set("state").alias("states"),
         F.min(F.when(F.col("start_date") >= as_of, F.col("start_date"))).alias("next_event"),
     )
-    return usual.join(out, "canon")
+    named = raw.withColumn("canon", registry_organizer(F.col("organizer_name"))).where("canon IS NOT NULL")
+    codes = F.transform(F.array_distinct(F.flatten(F.collect_set("states"))), lambda s: F.upper(F.trim(F.split_part(s, F.lit(","), F.lit(1)))))
+    return named.groupBy("canon").agg(
+        F.max_by("organizer_name", F.struct("events", -F.col("first"))).alias("name"),
+        F.sum("events").alias("events"),
+        F.max("max_teams").alias("max_teams"),
+        F.array_sort(F.array_distinct(F.filter(codes, lambda c: c.rlike("^[A-Z]{2}$")))).alias("states"),
+        F.min("next_event").alias("next_event"),
+    )
 
 
 def registry(known: DataFrame, seen: DataFrame, seed: DataFrame, least_teams: int = 20) -> DataFrame:
@@ -184,12 +190,5 @@ def positions(rows: DataFrame, by: list[Column], name: str) -> DataFrame:
 
 
 def shard(rows: DataFrame, key: str, i: int, n: int) -> DataFrame:
-    """The i-th (from 1) of n round-robin shares of the rows in order of a unique key.
-
-    Positions come from counts per range partition, so no task sees all rows.
-    """
-    ordered = rows.repartitionByRange(F.col(key)).sortWithinPartitions(key).withColumn("_p", F.spark_partition_id()).withColumn("_m", F.monotonically_increasing_id())
-    local = ordered.withColumn("_m", F.col("_m").bitwiseAND(F.lit((1 << 33) - 1)))
-    sizes = local.groupBy("_p").agg(F.count("*").alias("_n"))
-    before = sizes.withColumn("_before", F.coalesce(F.sum("_n").over(Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("_n")  # one row a partition
-    return local.join(F.broadcast(before), "_p").where(F.pmod(F.col("_before") + F.col("_m"), F.lit(n)) == i - 1).drop("_p", "_m", "_before")
+    """The i-th (from 1) of n round-robin shares of the rows in order of a unique key."""
+    return positions(rows, [F.col(key)], "_at").where(F.pmod(F.col("_at") - 1, F.lit(n)) == i - 1).drop("_at")

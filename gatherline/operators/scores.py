@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gatherline import vocab
-from gatherline.functions.values import clamp, lookup, members, round_even, text
+from gatherline.functions.values import clamp, let, lookup, members, round_even, text
 
 # --- attendance
 
@@ -52,11 +52,13 @@ def festival_size(attendance: Column, fee: Column, vendors: Column, years: Colum
 
 def festival_signals(words: Column) -> Column:
     """struct<tags, destination>: the signals found in the text, and a mild score of the place from 20 to 85."""
-    w = F.lower(text(words))
-    hits = [(tag, w.rlike(pattern), delta) for tag, pattern, delta in vocab.FESTIVAL_SIGNALS]
-    tags = F.filter(F.array(*[F.when(hit, tag) for tag, hit, _ in hits]), lambda t: t.isNotNull())
-    delta = sum((F.when(hit, d).otherwise(0) for _, hit, d in hits if d), F.lit(0))
-    return F.struct(tags.alias("tags"), clamp(50 + delta, 20, 85).cast("int").alias("destination"))
+    tags = members(tag for tag, _, _ in vocab.FESTIVAL_SIGNALS)
+    points = F.array(*[F.lit(points) for _, _, points in vocab.FESTIVAL_SIGNALS])
+    # Each pattern is tried once: what was hit gives the tags and the score.
+    hits = let(F.lower(text(words)), lambda w: F.array(*[w.rlike(pattern) for _, pattern, _ in vocab.FESTIVAL_SIGNALS]))
+    found = lambda h: F.filter(F.zip_with(h, F.arrays_zip(tags.alias("tag"), points.alias("points")), lambda hit, x: F.when(hit, x)), lambda x: x.isNotNull())
+    total = lambda f: F.aggregate(f, F.lit(50), lambda s, x: s + x["points"])
+    return let(let(hits, found), lambda f: F.struct(F.transform(f, lambda x: x["tag"]).alias("tags"), clamp(total(f), 20, 85).cast("int").alias("destination")))
 
 
 def festival_fit(name: Column, description: Column, tags: Column, fee: Column, start: Column, end: Column, deadline: Column, days: Column, size: Column, destination: Column, as_of: Column) -> Column:
@@ -74,28 +76,10 @@ def festival_fit(name: Column, description: Column, tags: Column, fee: Column, s
         F.when(deadline < as_of, "deadline-passed"),
     )
     tags = F.array_distinct(F.concat(F.coalesce(tags, F.array().cast("array<string>")), F.filter(extra, lambda t: t.isNotNull())))
-    has = lambda *t: F.arrays_overlap(tags, members(t))
-    rules = [
-        (has("family"), 15),
-        (has("venue:fairgrounds", "venue:farm", "venue:field-complex"), 12),
-        (has("ticketed"), 8),
-        (has("paid-parking"), 5),
-        (has("live-music", "food-trucks"), 5),
-        (n.rlike(vocab.SEASONAL_EVENT), 10),
-        (both.rlike(vocab.YEARLY_EVENT), 6),
-        (days >= 2, 5),
-        (has("alcohol") & ~has("family"), -10),
-        (has("craft-market"), -15),
-        (has("handmade-only"), -25),
-        (has("juried"), -15),
-        (has("commission-fee"), -10),
-        (has("fee-over-400"), -12),
-        (has("weekday-only"), -20),
-        (has("deadline-passed"), -10),
-        (has("venue:downtown") & ~has("venue:park"), -6),
-        (has("indoor"), -8),
-    ]
-    score = sum((F.when(hit, points).otherwise(0) for hit, points in rules), F.lit(40))
+    has = lambda t: F.arrays_overlap(tags, members(t))
+    rules = [(has(some) & ~has(none) if none else has(some), points) for some, none, points in vocab.FIT_TAGS]
+    rules += [(n.rlike(vocab.SEASONAL_EVENT), vocab.FIT_SEASONAL), (both.rlike(vocab.YEARLY_EVENT), vocab.FIT_YEARLY), (days >= 2, vocab.FIT_SEVERAL_DAYS)]
+    score = sum((F.when(hit, points).otherwise(0) for hit, points in rules), F.lit(vocab.FIT_BASE))
     score = score + F.coalesce(((size - 50) * 0.3).cast("int"), F.lit(0)) + F.coalesce(((destination - 50) * 0.2).cast("int"), F.lit(0))
     private = n.rlike(vocab.PRIVATE_EVENT)
     return F.struct(F.when(~private, clamp(score, 0, 100).cast("int")).alias("fit"), tags.alias("tags"), F.when(private, "not a public fair (private/corporate/race/class)").alias("excluded"))

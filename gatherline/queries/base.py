@@ -171,7 +171,7 @@ def d_case(x: str, table: dict[str, str], default: str) -> str:
 
 def d_link_org(x: str) -> str:
     bare = d_plain(f"lower(coalesce({x}, ''))")
-    return d_case(bare, {a: k for k, names in vocab.ORGANIZERS_CORE.items() for a in names}, bare)
+    return d_case(bare, vocab.ORGANIZERS_CORE, bare)
 
 
 def d_link_venue(x: str) -> str:

@@ -212,8 +212,8 @@ def fld_19(spark, sf_dir):
     )
 
 
-_suffix = "trim(" + d_sub(d_plain("lower(organizer)"), r"\b(" + "|".join(vocab.ORGANIZER_SUFFIXES) + r")\b", "") + ")"
-_common = {a: k for k, ns in vocab.ORGANIZERS_COMMON.items() for a in ns}
+_suffix = "trim(" + d_sub(d_plain("lower(organizer)"), vocab.COMPANY_WORDS, "") + ")"
+_common = vocab.ORGANIZERS_COMMON
 _core_org = f"coalesce({d_case(_suffix, _common, 'NULL')}, {d_case('trim(lower(organizer))', _common, 'NULL')}, CASE WHEN {_suffix} <> '' THEN {_suffix} END)"
 
 

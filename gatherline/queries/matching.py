@@ -42,7 +42,7 @@ YES = "('venue_match', 'city_match_venue_unknown', 'name_match_no_location')"
 @query("sco_03_verdict", PREP + f" SELECT a.ord AS a, b.ord AS b, {VERDICT} AS reason FROM pw a JOIN pw b ON a.customer = b.customer AND a.ord < b.ord AND abs(a.start_date - b.start_date) <= 60")
 def sco_03(spark, sf_dir):
     rows = linkage.prepare(events(spark, sf_dir))
-    one = rows.select("ord", "customer", "start_date", F.struct(*rows.columns).alias("x"))
+    one = rows.select("ord", "customer", "start_date", F.struct(*linkage.READ).alias("x"))
     pairs = editions.within_days(one, one, ["customer"], "start_date", "start_date", 60).where("ord < ord_r")
     return pairs.select(F.col("ord").alias("a"), F.col("ord_r").alias("b"), linkage.verdict("x", "x_r").alias("reason"))
 
