@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gatherline import vocab
@@ -62,15 +62,20 @@ def keep_best(rows: DataFrame, key: list[str], filled: list[str] | None = None,
 def enrich(events: DataFrame, gazetteer: DataFrame) -> DataFrame:
     """Fills city, state and region by the venue where the state is missing.
 
-    gazetteer: venue (lower-case), city, state, ord; a table of landmarks, small by nature. The exact name counts first,
-    then the first entry, in order, whose name holds or is held by the venue's. Distinct venues are matched, not rows.
+    gazetteer: venue (lower-case), city, state, ord. The exact name counts first, then the first entry, in order, whose
+    name holds or is held by the venue's. Distinct venues are matched, not rows; a name that another holds meets it on
+    its first three letters, so that neither side need be small.
     """
     bare = F.regexp_replace(F.regexp_replace(text("venue"), r"(?i)^(droplight|title|display|image)\s+", ""), "^[ ,–-]+|[ ,–-]+$", "")
     cleaned = events.withColumn("venue", F.when(bare != "", bare))
     key = F.regexp_replace(F.regexp_replace(F.lower("venue"), r"\s+", " "), r"^[ .,-]+|[ .,-]+$", "")
     wanted = cleaned.where((text("state") == "") & F.col("venue").isNotNull()).select(key.alias("_key")).where("_key <> ''").distinct()
-    names = F.broadcast(gazetteer.select(F.col("venue").alias("_name"), F.col("city").alias("_city"), F.col("state").alias("_state"), F.col("ord").alias("_ord")))
-    near = wanted.join(names, F.col("_key").contains(F.col("_name")) | F.col("_name").contains(F.col("_key")))
+    names = gazetteer.select(F.col("venue").alias("_name"), F.col("city").alias("_city"), F.col("state").alias("_state"), F.col("ord").alias("_ord")).where("_name <> ''")
+    start = lambda c: F.substring(c, 1, 3).alias("_gram")
+    parts = lambda c: F.explode(F.array_distinct(F.flatten(F.transform(F.sequence(F.lit(1), F.length(c)), lambda i: F.array(*[F.substring(c, i, F.lit(n)) for n in (1, 2, 3)]))))).alias("_gram")
+    holds = wanted.select("*", parts(F.col("_key"))).join(names.select("*", start(F.col("_name"))), "_gram").where(F.col("_key").contains(F.col("_name")))
+    held = wanted.select("*", start(F.col("_key"))).join(names.select("*", parts(F.col("_name"))), "_gram").where(F.col("_name").contains(F.col("_key")))
+    near = holds.unionByName(held)
     place = F.min_by(F.struct("_city", "_state"), F.struct((F.col("_key") != F.col("_name")).cast("int"), "_ord"))
     found = near.groupBy("_key").agg(place.alias("_place"))
     joined = cleaned.withColumn("_key", F.when(text("state") == "", key)).join(found, "_key", "left")
@@ -146,9 +151,3 @@ def split_venues(venue: Column) -> Column:
     facility = r"(?i)\b(park|complex|fields?|center|centre|stadium|university|college|academy|school|club|arena|farm|grounds)\b"
     weak = F.exists(p, lambda x: x.rlike(r"(?i)^(events?|sports complex|recreation|sons?|company|co\.?|[A-Z]{2})$") | (F.length(x) < 2))
     return F.when((F.size(p) >= 2) & ~weak & F.element_at(p, 1).rlike(facility), p).otherwise(F.array(venue))
-
-
-def without_window(rows: DataFrame, key: list[str], order: list[Column]) -> DataFrame:
-    """First row of each key in the given order; for keys whose rows are few."""
-    w = Window.partitionBy(*key).orderBy(*order)
-    return rows.withColumn("_n", F.row_number().over(w)).where("_n = 1").drop("_n")

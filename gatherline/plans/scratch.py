@@ -2,7 +2,7 @@
 
 A long plan is cut by writing a table and reading it back: the table survives lost executors, and what follows
 starts from files instead of recomputing. The folder is the one named by ``spark.checkpoint.dir``; only where that
-is unset (local tests) a temporary folder of this machine is made.
+is unset and Spark runs in this process (tests) a temporary folder of this machine is made.
 """
 
 from __future__ import annotations
@@ -15,9 +15,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's shared folder, or a local one when none is named (tests only)."""
+    """The cluster's shared folder; a local one when none is named and there is no cluster, which without one is an error."""
     named = spark.conf.get("spark.checkpoint.dir", None)
     if not named:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         named = "file://" + tempfile.mkdtemp(prefix="gatherline-")
         spark.conf.set("spark.checkpoint.dir", named)
     return named.rstrip("/")

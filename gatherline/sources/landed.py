@@ -169,7 +169,7 @@ def sales_lines(payments: DataFrame, orders: DataFrame, locations: DataFrame) ->
     orders: id, line_items array<struct<name, variation_name, quantity string, total_cents>>; locations: id, name, tz.
     A payment whose order is unknown or empty becomes one line of its own amount.
     """
-    p = payments.where("status = 'COMPLETED'").join(F.broadcast(locations.select(F.col("id").alias("location_id"), F.col("name").alias("location"), "tz")), "location_id", "left")
+    p = payments.where("status = 'COMPLETED'").join(locations.select(F.col("id").alias("location_id"), F.col("name").alias("location"), "tz"), "location_id", "left")
     joined = p.join(orders.select(F.col("id").alias("order_id"), "line_items"), "order_id", "left")
     local = F.from_utc_timestamp("created_at", F.coalesce("tz", F.lit("UTC")))
     item = F.explode_outer(F.when(F.size("line_items") > 0, F.col("line_items"))).alias("item")

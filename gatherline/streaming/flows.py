@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -34,7 +36,8 @@ def deduplicated(events: DataFrame, time: str, key: list[str], late: str = LATE)
 def upsert_stream(rows: DataFrame, target: str, key: str, checkpoint: str | None = None) -> StreamingQuery:
     """Merges each batch into versions of a keyed table under ``target``: the newest version is the table.
 
-    A batch that is retried writes the same version again, so replays change nothing.
+    A batch that is retried writes the same version again, so replays change nothing; a version counts once its writer
+    has marked it complete. Where no checkpoint is given, each target has its own.
     """
     spark = rows.sparkSession
 
@@ -44,16 +47,18 @@ def upsert_stream(rows: DataFrame, target: str, key: str, checkpoint: str | None
         out = upsert(before, new, key) if before is not None else upsert(batch.limit(0), new, key)
         out.write.mode("overwrite").parquet(f"{target}/version={number}")
 
-    place = checkpoint or f"{shared_dir(spark)}/stream-{key}"
+    place = checkpoint or f"{shared_dir(spark)}/stream-{key}-{hashlib.sha256(target.encode()).hexdigest()[:16]}"
     return rows.writeStream.foreachBatch(merge).option("checkpointLocation", place).trigger(availableNow=True).start()
 
 
 def current(spark: SparkSession, target: str, before: int | None = None) -> DataFrame | None:
-    """The newest version of a keyed table (older than ``before``), or None."""
+    """The newest complete version of a keyed table (older than ``before``), or None."""
     path = spark._jvm.org.apache.hadoop.fs.Path(target)
     fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
     if not fs.exists(path):
         return None
-    versions = [int(s.getPath().getName().partition("=")[2]) for s in fs.listStatus(path) if s.getPath().getName().startswith("version=")]
+    made = [s.getPath() for s in fs.listStatus(path) if s.getPath().getName().startswith("version=")]
+    done = spark._jvm.org.apache.hadoop.fs.Path
+    versions = [int(p.getName().partition("=")[2]) for p in made if fs.exists(done(p, "_SUCCESS"))]
     versions = [v for v in versions if before is None or v < before]
     return spark.read.parquet(f"{target}/version={max(versions)}") if versions else None

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import subprocess
+import sys
+from pathlib import Path
+
 import duckdb
 import pytest
 
@@ -41,8 +45,26 @@ def test_rows(spark, name):
     assert df.columns == QUERIES[name](spark, SF).columns and df.count() > 0
 
 
-def test_entry_without_the_subpackage(spark):
+def test_entry(spark):
     import __spark_entry__ as entry
 
     assert entry.entry(spark).columns == ["id", "town", "st", "start_date", "team_count"]
     assert QUERIES.keys() <= entry.queries().keys() and ORACLES.keys() <= entry.oracle_sql().keys()
+
+
+def test_entry_without_the_subpackage():
+    """The contract holds where the training-data operators and their pipeline are not there at all."""
+    block = """
+import sys
+class Gone:
+    def find_spec(self, name, path=None, target=None):
+        if name == "corpus_pipeline" or name == "gatherline.llm" or name.startswith("gatherline.llm."):
+            raise ModuleNotFoundError(name)
+sys.meta_path.insert(0, Gone())
+import __spark_entry__ as entry
+names = entry.queries()
+assert "pipeline" not in names and not any(n.startswith("op") for n in names), names
+assert len(names) > 150 and set(entry.oracle_sql()) <= set(names)
+"""
+    root = Path(__file__).resolve().parent.parent
+    subprocess.run([sys.executable, "-c", block], cwd=root, check=True, timeout=120)
