@@ -21,7 +21,7 @@ from gatherline.llm.blocks import LOWER, blocks
 from gatherline.llm.training import adam, fold, sigmoid
 
 #: Labelled documents that training sees at most: of each language, and in all (each language has one at least).
-SAMPLE_PER_LANGUAGE, SAMPLE = 600, 12_000
+SAMPLE_PER_LANGUAGE, SAMPLE = 900, 9_000
 BUCKETS = 4096
 AMBIGUOUS = 0.1
 ROWS = 512
@@ -82,12 +82,12 @@ class Model:
 
 
 def train(x: np.ndarray, langs: list[str]) -> Model:
-    """Learns the bits' classifiers from n-gram shares, one row a text, and the texts' languages."""
+    """Learns the bits' classifiers from n-gram shares, one row a text (scaled in place), and the texts' languages."""
     languages = sorted(set(langs))
     if len(languages) < 2:
         return Model(languages, np.ones((len(languages), 1), np.int64), np.zeros((BUCKETS, 1)), np.zeros(1), np.ones(1))
     spread = (x.std(axis=0) + 1e-4).astype(np.float32)
-    x = x / spread
+    x /= spread
     number = {g: i for i, g in enumerate(languages)}
     which = np.array([number[g] for g in langs])
     code = codewords(len(languages))
