@@ -8,9 +8,9 @@ candidate keys.
 
 Equal sets form one class and are looked at once. Within a key every class is compared with one leader, so the pairs
 grow with the rows, not with the squares of groups; pairs are confirmed on full sets. Keys whose members are then not
-all connected are settled exactly, in tiles bounded in classes and in shingles: members of keys that hang together are
-one tile where they are few, else each key is one, and a key with very many members is compared block against block,
-where only blocks of like set size can hold a pair.
+all connected are settled exactly, in tiles bounded in classes and in shingles. Members of keys that hang together are
+one tile where they are few. Else they are compared key by key, or block against block, whichever moves fewer sets;
+blocks meet only where their set sizes are alike and their members are not yet known to be connected.
 """
 
 from __future__ import annotations
@@ -35,6 +35,7 @@ PERCENT = 80
 #: Classes, and shingles in all, of a block of the exact comparison (one set more at most).
 BLOCK, BLOCK_SHINGLES = 256, 1 << 21
 COLUMNS = 1 << 14
+_BLOCK = "struct<g:int,owner:bigint,part:int>"
 
 
 def shingles(data: np.ndarray, offsets: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
@@ -156,15 +157,20 @@ def sketches(documents: DataFrame, width: int) -> DataFrame:
 
 
 def full_sets(texts: DataFrame, width: int) -> DataFrame:
-    """rep and the sorted shingle hashes, as bytes, of every row of (rep, text)."""
+    """digest and the sorted shingle hashes, as bytes, of every row of (text) that has any; each set once."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        done: set[bytes] = set()
         for batch in batches:
-            for low, high, data, offsets in blocks(batch.column(1), rows=4096):
+            for _, _, data, offsets in blocks(batch.column(0), rows=4096):
                 found, firsts = shingles(data, offsets, width)
-                yield pa.record_batch([batch.column(0).slice(low, high - low), pa.array([found[a:b].tobytes() for a, b in zip(firsts[:-1], firsts[1:], strict=True)], pa.binary())], ["rep", "shingles"])
+                sets = [found[a:b].tobytes() for a, b in zip(firsts[:-1], firsts[1:], strict=True) if b > a]
+                some = {hashlib.blake2b(x, digest_size=16).digest(): x for x in sets}
+                new = [(k, x) for k, x in some.items() if k not in done]
+                done.update(some)
+                yield pa.record_batch([pa.array([k for k, _ in new], pa.binary()), pa.array([x for _, x in new], pa.binary())], ["digest", "shingles"])
 
-    return texts.mapInArrow(run, "rep long, shingles binary")
+    return texts.mapInArrow(run, "digest binary, shingles binary").dropDuplicates(["digest"])
 
 
 def _mark(text: Column) -> Column:
@@ -172,14 +178,14 @@ def _mark(text: Column) -> Column:
 
 
 def _components(documents: DataFrame, width: int, percent: int, id_col: str, text_col: str, scratch: Scratch, same_id: bool) -> tuple[DataFrame, DataFrame]:
-    """Rows (row, doc_id, mark, n_shingles, digest) and the component of every digest, each named by one of its rows.
+    """Rows (row, doc_id, mark, n_shingles, digest), and of every digest its component and the least doc_id in that.
 
     same_id: texts under one id hang together.
     """
     source = documents.select(F.col(id_col).cast("long").alias("doc_id"), _mark(F.col(text_col)).alias("mark"), F.col(text_col).cast("string").alias("text"))
     seen = scratch.table(sketches(source, width).withColumn("row", F.monotonically_increasing_id()), "sketches")
     usable = seen.where("digest IS NOT NULL")
-    classes = usable.groupBy("digest").agg(F.min("row").alias("rep"), F.min_by(F.struct("doc_id", "mark"), "row").alias("origin"), F.first("bands").alias("bands"), F.first("n_shingles").alias("size"))
+    classes = usable.groupBy("digest").agg(F.min("row").alias("rep"), F.min("doc_id").alias("name"), F.min_by("doc_id", "row").alias("of"), F.first("bands").alias("bands"), F.first("n_shingles").alias("size"))
     classes = scratch.table(classes, "classes")
     keys = scratch.table(classes.select("rep", F.explode("bands").alias("key")), "keys")
     leaders = keys.groupBy("key").agg(F.min("rep").alias("leader"), F.count("*").alias("n")).where("n > 1")
@@ -187,10 +193,9 @@ def _components(documents: DataFrame, width: int, percent: int, id_col: str, tex
     member = scratch.table(keys.join(leaders, "key").select("key", "n", "leader", "rep"), "members")
     scratch.drop("keys")
     pairs = scratch.table(member.where("leader <> rep").select("leader", "rep").distinct(), "pairs")
-    wanted = member.select("rep").distinct().join(classes.select("rep", "origin.*"), "rep").withColumnsRenamed({"doc_id": "_id", "mark": "_mark"})
-    wanted = scratch.table(wanted, "wanted")
-    texts = source.join(wanted, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("mark") == F.col("_mark"))).select("rep", "text").dropDuplicates(["rep"])
-    sets = scratch.table(full_sets(texts, width), "sets")
+    wanted = scratch.table(member.select("rep").distinct().join(classes.select("rep", "digest", "of"), "rep"), "wanted")
+    texts = source.join(wanted.select("of").distinct(), F.col("doc_id").eqNullSafe(F.col("of")), "left_semi").select("text")
+    sets = scratch.table(full_sets(texts, width).join(wanted.select("digest", "rep"), "digest").select("rep", "shingles"), "sets")
 
     def confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -210,8 +215,12 @@ def _components(documents: DataFrame, width: int, percent: int, id_col: str, tex
     rest = _settle(member, first, classes.select("rep", "size"), sets, scratch, percent)
     # What was settled joins whole components: only their names are linked.
     last = components(rest, scratch, "last").select(F.col("node").alias("component"), F.col("component").alias("further"))
-    named = classes.select("digest", "rep").join(first.withColumnRenamed("node", "rep"), "rep", "left").select("digest", F.coalesce("component", "rep").alias("component"))
-    named = named.join(last, "component", "left").select("digest", F.coalesce("further", "component").alias("component"))
+    named = classes.select("digest", "rep", "name").join(first.withColumnRenamed("node", "rep"), "rep", "left")
+    named = named.select("digest", "name", F.coalesce("component", "rep").alias("component"), F.col("component").isNotNull().alias("near")).join(last, "component", "left")
+    named = named.select("digest", "name", F.coalesce("further", "component").alias("component"), (F.col("near") | F.col("further").isNotNull()).alias("linked"))
+    named = scratch.table(named, "linked")
+    least = named.where("linked").groupBy("component").agg(F.min("name").alias("least"))
+    named = named.join(least, "component", "left").select("digest", "component", F.when(F.col("linked"), F.col("least")).otherwise(F.col("name")).alias("least"))
     return seen.drop("bands"), scratch.table(named, "named")
 
 
@@ -225,9 +234,7 @@ def group(documents: DataFrame, width: int = 5, percent: int = PERCENT, id_col:
     """
     scratch = Scratch(documents.sparkSession, "minhash")
     rows, named = _components(documents, width, percent, id_col, text_col, scratch, same_id=True)
-    joined = scratch.table(rows.join(named, "digest", "left").select("doc_id", "n_shingles", "digest", "component"), "joined")
-    ids = joined.where("component IS NOT NULL").groupBy("component").agg(F.min("doc_id").alias("least"))
-    out = joined.join(ids, "component", "left").select("doc_id", "n_shingles", F.when(F.col("component").isNull(), F.col("doc_id")).otherwise(F.col("least")).alias("component_id"))
+    out = rows.join(named, "digest", "left").select("doc_id", "n_shingles", F.when(F.col("component").isNull(), F.col("doc_id")).otherwise(F.col("least")).alias("component_id"))
     return out.withColumn("kept", F.coalesce(F.col("component_id") == F.col("doc_id"), F.lit(False)))
 
 
@@ -238,37 +245,43 @@ def _settle(member: DataFrame, first: DataFrame, sizes: DataFrame, sets: DataFra
     split = scratch.table(grouped.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("key"), "split")
     mixed = scratch.table(grouped.join(split, "key").join(sizes, "rep"), "mixed")
     bounded = lambda n, items: (n <= BLOCK) & (items <= BLOCK_SHINGLES)
-    edges = lambda df: df.select(F.col("leader").alias("a"), F.col("rep").alias("b"))
-    fixed = lambda df, kind, name: df.select(F.lit(kind).alias("kind"), F.col(name).alias("name"), *[F.lit(0).alias(c) for c in ("g", "h", "low", "high")], F.lit(3).alias("side"), "rep", "component")
-    # Keys that share members hang together as a lump. A small one is a tile.
-    lumps = components(edges(mixed), scratch, "lumps").select(F.col("node").alias("rep"), F.col("component").alias("lump"))
+    tile = ["kind", "name", "low", "high"]
+    whole = lambda df, kind, name: df.select(F.lit(kind).alias("kind"), F.col(name).alias("name"), F.lit(None).cast(_BLOCK).alias("low"), F.lit(None).cast(_BLOCK).alias("high"), F.lit(3).alias("side"), "rep", "component")
+    # Keys that share members hang together as a lump.
+    lumps = components(mixed.select(F.col("leader").alias("a"), F.col("rep").alias("b")), scratch, "lumps").select(F.col("node").alias("rep"), F.col("component").alias("lump"))
     docs = scratch.table(mixed.select("rep", "component", "size").distinct().join(lumps, "rep"), "docs")
-    fits = docs.groupBy("lump").agg(bounded(F.count("*"), F.sum("size")).alias("fits"))
-    placed = scratch.table(docs.join(fits, "lump"), "placed")
-    small = fixed(placed.where("fits"), 0, "lump")
-    # Of a larger one each key is a tile, keys with the same members once.
-    loose = mixed.join(placed.where("NOT fits").select("rep").distinct(), "rep")
-    members = F.struct(F.count("*"), F.sum(F.xxhash64("rep").cast("decimal(20,0)")), F.min("rep"))
-    per_key = scratch.table(loose.groupBy("key").agg(bounded(F.count("*"), F.sum("size")).alias("fits"), members.alias("members")), "per-key")
-    once = per_key.where("fits").groupBy("members").agg(F.min("key").alias("key")).select("key")
-    by_key = fixed(loose.join(once, "key"), 1, "key")
-    # Members of keys beyond that are compared block against block. Alike sets differ in size by a quarter at most (at
-    # 80 in a hundred): they lie in one class of sizes or in two that are neighbours.
-    large = scratch.table(loose.join(per_key.where("NOT fits").select("key"), "key"), "large")
-    hubs = components(edges(large), scratch, "hubs").select(F.col("node").alias("rep"), F.col("component").alias("name"))
+    total = docs.groupBy("lump").agg(bounded(F.count("*"), F.sum("size")).alias("fits"))
+    # Alike sets differ in size by a quarter at most (at 80 in a hundred): they lie in one class of sizes g, or in two
+    # that are neighbours. A block holds members of one class; a large component has blocks of its own, the others share.
     g = F.floor(F.log("size") / F.lit(float(np.log(100 / percent) * (1 + 1e-9)))).cast("int")
-    sized = scratch.table(large.select("rep", "component", "size").distinct().join(hubs, "rep").withColumn("g", g), "sized")
-    parts = sized.groupBy("name", "g").agg(F.ceil(F.greatest(F.count("*") / BLOCK, F.sum("size") / BLOCK_SHINGLES)).cast("int").alias("parts"))
+    loose = docs.join(total, "lump").where("NOT fits").withColumn("g", g)
+    sized = loose.groupBy("lump", "g", "component").agg(F.count("*").alias("n"), F.sum("size").alias("items"))
+    sized = sized.withColumn("owner", F.when(~bounded(F.col("n"), F.col("items")), F.col("component")).otherwise(-1))
+    sized = scratch.table(sized, "sized")
+    parts = sized.groupBy("lump", "g", "owner").agg(F.ceil(F.greatest(F.sum("n") / BLOCK, F.sum("items") / BLOCK_SHINGLES)).cast("int").alias("parts"), F.sum("n").alias("n"))
     parts = scratch.table(parts, "parts")
-    at = sized.join(parts, ["name", "g"]).withColumn("block", F.pmod(F.xxhash64("rep"), "parts").cast("int"))
-    there = parts.select("name", F.col("g").alias("h"), F.col("parts").alias("others"))
-    near = at.withColumn("h", F.explode(F.array(F.col("g") - 1, F.col("g"), F.col("g") + 1))).join(there, ["name", "h"])
-    near = near.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("others") - 1)))
-    mine, theirs = F.struct("g", "block"), F.struct(F.col("h").alias("g"), F.col("other").alias("block"))
-    a, b = F.least(mine, theirs), F.greatest(mine, theirs)
-    side = F.when(mine == theirs, 3).when(mine == a, 1).otherwise(2)
-    tiled = near.select(F.lit(2).alias("kind"), "name", a["g"].alias("_g"), b["g"].alias("_h"), a["block"].alias("low"), b["block"].alias("high"), side.alias("side"), "rep", "component").withColumnsRenamed({"_g": "g", "_h": "h"})
-    tiles = small.unionByName(by_key).unionByName(tiled).join(sets, "rep")
+    there = parts.select("lump", F.col("g").alias("h"), F.col("owner").alias("owner_2"), F.col("parts").alias("parts_2"))
+    near = parts.withColumn("h", F.explode(F.array(F.col("g") - 1, F.col("g"), F.col("g") + 1))).join(there, ["lump", "h"]).where("owner = -1 OR owner <> owner_2")
+    near = scratch.table(near, "near")
+    by_blocks = near.groupBy("lump").agg(F.sum(F.col("n") * F.col("parts_2")).alias("moved"))
+    # The same lump key by key, keys with the same members once.
+    members = F.struct(F.count("*"), F.sum(F.xxhash64("rep").cast("decimal(20,0)")), F.min("rep"))
+    keys = mixed.join(lumps.join(by_blocks, "lump"), "rep").groupBy("key").agg(F.first("lump").alias("lump"), F.count("*").alias("n"), F.sum("size").alias("items"), members.alias("members"))
+    keys = scratch.table(keys.groupBy("members").agg(F.min("key").alias("key"), F.first("lump").alias("lump"), F.first("n").alias("n"), F.first("items").alias("items")).drop("members"), "key-sizes")
+    by_keys = keys.groupBy("lump").agg(F.sum("n").alias("keyed"), F.min(bounded(F.col("n"), F.col("items"))).alias("all_fit"))
+    way = scratch.table(by_blocks.join(by_keys, "lump").select("lump", (F.col("all_fit") & (F.col("keyed") < F.col("moved"))).alias("by_key")), "way")
+
+    small = whole(docs.join(total.where("fits"), "lump"), 0, "lump")
+    keyed = whole(mixed.join(keys.join(way.where("by_key"), "lump").select("key"), "key"), 1, "key")
+    at = loose.join(way.where("NOT by_key"), "lump").join(sized.select("lump", "g", "component", "owner"), ["lump", "g", "component"])
+    at = at.join(near.drop("n"), ["lump", "g", "owner"])
+    block = F.pmod(F.when(F.col("owner") == -1, F.xxhash64("component")).otherwise(F.xxhash64("rep")), "parts").cast("int")
+    mine = F.struct("g", "owner", block.alias("part")).cast(_BLOCK)
+    at = at.withColumn("mine", mine).withColumn("part_2", F.explode(F.sequence(F.lit(0), F.col("parts_2") - 1)))
+    theirs = F.struct(F.col("h").alias("g"), F.col("owner_2").alias("owner"), F.col("part_2").alias("part")).cast(_BLOCK)
+    side = F.when(F.col("mine") == theirs, 3).when(F.col("mine") < theirs, 1).otherwise(2)
+    blocked = at.select(F.lit(2).alias("kind"), F.col("lump").alias("name"), F.least("mine", theirs).alias("low"), F.greatest("mine", theirs).alias("high"), side.alias("side"), "rep", "component")
+    tiles = small.unionByName(keyed).unionByName(blocked).join(sets, "rep")
 
     def compare(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values("rep", ignore_index=True)
@@ -276,7 +289,7 @@ def _settle(member: DataFrame, first: DataFrame, sizes: DataFrame, sets: DataFra
         found = block_links([np.frombuffer(s, U64) for s in rows["shingles"]], group, rows["side"].to_numpy(), percent)
         return pd.DataFrame([(group[i], group[j]) for i, j in found], columns=["a", "b"])
 
-    return scratch.table(tiles.groupBy("kind", "name", "g", "h", "low", "high").applyInPandas(compare, "a long, b long"), "rest")
+    return scratch.table(tiles.groupBy(*tile).applyInPandas(compare, "a long, b long"), "rest")
 
 
 def deduplicate(documents: DataFrame, width: int = 5, percent: int = PERCENT) -> DataFrame:
