@@ -11,6 +11,7 @@ from collections.abc import Callable, Iterable
 from pyspark.sql import DataFrame, SparkSession
 
 from gatherline import vocab
+from gatherline.functions.pages import ENTITIES
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -198,3 +199,22 @@ def d_edition_core(x: str) -> str:
 
 def d_edition_words(x: str) -> str:
     return f"list_filter({d_without(d_edition_core(x), vocab.EDITION_GENERIC + vocab.EDITION_ORGANIZERS)}, lambda w: NOT regexp_matches(w, '^[0-9]+(st|nd|rd|th)?$'))"
+
+
+#: A page without scripts, styles and comments; its anchors' parts ($g: 1 href, 2 label) in h; and its lines of text.
+D_BARE = "regexp_replace(html, '(?is)<(script|style)\\b[^>]*>.*?</(script|style)\\s*>|<!--.*?-->', ' ', 'g')"
+D_ANCHOR = "regexp_extract_all(h, '(?is)<a\\b[^>]*?href\\s*=\\s*[\"'']([^\"'']*)[\"''][^>]*>(.*?)</a>', $g)"
+
+
+def d_plain_html(x: str) -> str:
+    """Common entities decoded, in the order of the rules."""
+    for entity, plain in ENTITIES:
+        x = d_sub(x, entity, plain)
+    return x
+
+
+D_LINES = (
+    "list_filter(list_transform(string_split("
+    + d_plain_html(d_sub(d_sub(D_BARE, "(?i)<(?:br|/p|/div|/li|/h[1-6]|/tr|/td|/ul|/article|/nav|/title)\\b[^>]*>", "\n"), "(?s)<[^>]*>"))
+    + ", chr(10)), lambda x: trim(regexp_replace(x, '\\s+', ' ', 'g'))), lambda x: x <> '')"
+)

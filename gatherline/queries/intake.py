@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from gatherline.functions.pages import page_lines, page_title
+from gatherline.functions.pages import SKIP_LINK, page_lines, page_title
 from gatherline.functions.values import text
-from gatherline.queries.base import EV, events, q, query, table
+from gatherline.queries.base import D_ANCHOR, D_BARE, D_LINES, EV, d_plain_html, events, q, query, table
 from gatherline.sources import landed, sinks
 from gatherline.streaming import flows
 
@@ -17,9 +17,9 @@ def src_05(spark, sf_dir):
     return landed.keep_last(pages_, "o_custkey").select("o_custkey", "o_orderkey", "price")
 
 
-@query("src_07_missing_ids", "SELECT i AS o_orderkey FROM range(0, 20000) t(i) WHERE i NOT IN (SELECT o_orderkey FROM orders)")
+@query("src_07_missing_ids", "WITH l AS (SELECT o_orderkey FROM orders WHERE o_custkey % 7 <> 3) SELECT unnest(range(min(o_orderkey), max(o_orderkey) + 101)) AS o_orderkey FROM l EXCEPT SELECT o_orderkey FROM l")
 def src_07(spark, sf_dir):
-    return landed.missing_ids(spark, 0, 20_000, table(spark, sf_dir, "orders"), "o_orderkey")
+    return landed.gaps(table(spark, sf_dir, "orders").where("o_custkey % 7 <> 3"), "o_orderkey", overhang=100)
 
 
 @query("src_13_page_or_feed", "SELECT c_custkey AS k, CASE WHEN c_custkey % 3 = 0 AND c_custkey % 2 = 0 THEN 'page ' || c_name ELSE c_name END AS name, c_nationkey AS nation FROM customer")
@@ -68,9 +68,15 @@ def src_22(spark, sf_dir):
     return landed.fresh_pages(pages_.withColumn("url", F.concat("url", F.col("page_id").cast("string"))), now).select("page_id")
 
 
-@query("src_23_links")
+@query(
+    "src_23_links",
+    f"""WITH p AS (SELECT page_id, {D_BARE} AS h FROM pages), n AS (SELECT page_id, {D_ANCHOR.replace("$g", "1")} AS hrefs, {D_ANCHOR.replace("$g", "2")} AS labels FROM p),
+  a AS (SELECT page_id, i, {d_plain_html("hrefs[i]")} AS href, trim(regexp_replace({d_plain_html("regexp_replace(labels[i], '(?s)<[^>]*>', ' ', 'g')")}, '\\s+', ' ', 'g')) AS label FROM n, LATERAL (SELECT unnest(range(1, len(hrefs) + 1)) AS i)),
+  k AS (SELECT *, CASE WHEN href = '' OR regexp_matches(href, {q(SKIP_LINK)}) THEN 3 WHEN regexp_matches(lower(href) || ' ' || lower(label), 'tournament|event|schedule|showcase|classic|calendar') THEN 0 WHEN contains(href, '?') THEN 2 ELSE 1 END AS kind FROM a),
+  f AS (SELECT * FROM k WHERE kind < 3 QUALIFY row_number() OVER (PARTITION BY page_id, href ORDER BY i) = 1)
+  SELECT page_id, CAST(row_number() OVER (PARTITION BY page_id ORDER BY kind, length(href) - length(replace(regexp_replace(href, '^https?://', ''), '/', '')), length(href), href, i) AS INT) AS rank, href, label, CASE kind WHEN 0 THEN 'event' WHEN 1 THEN 'page' ELSE 'query' END AS kind FROM f""",
+)
 def src_23(spark, sf_dir):
-    """Ranked links of pages: labels are cleaned of markup, which the tests hold against a parser."""
     return landed.ranked_links(table(spark, sf_dir, "pages"))
 
 
@@ -81,9 +87,9 @@ def src_23_counts(spark, sf_dir):
     return table(spark, sf_dir, "pages").select("page_id", F.size(links(F.col("html"))).alias("links"))
 
 
-@query("src_24_page_blocks")
+@query("src_24_page_blocks", f"""WITH l AS (SELECT page_id, {D_LINES} AS lines FROM pages), u AS (SELECT page_id, i - 1 AS line_no, lines[i] AS line, len(lines) AS total FROM l, LATERAL (SELECT unnest(range(1, len(lines) + 1)) AS i)),
+  n AS (SELECT *, min(line_no) OVER (PARTITION BY page_id ORDER BY line_no ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING) AS nxt FROM u WHERE regexp_matches(line, '[0-9]')) SELECT page_id, CAST(line_no AS INT) AS line_no, md5(line) AS line_md5, CAST(least(7, coalesce(nxt, total) - line_no - 1) AS INT) AS block_lines FROM n""")
 def src_24(spark, sf_dir):
-    """Listing blocks: each line of a page with a digit, and what follows it."""
     return landed.page_blocks(table(spark, sf_dir, "pages"), r"\d").select("page_id", "line_no", F.md5("line").alias("line_md5"), F.size("block").alias("block_lines"))
 
 
@@ -92,9 +98,8 @@ def src_25(spark, sf_dir):
     return table(spark, sf_dir, "pages").select("page_id", page_title(F.col("html")).alias("title")).where("title IS NOT NULL")
 
 
-@query("src_10_page_lines")
+@query("src_10_page_lines", f"WITH l AS (SELECT page_id, {D_LINES} AS lines FROM pages) SELECT page_id, CAST(i - 1 AS INT) AS line_no, md5(lines[i]) AS line_md5 FROM l, LATERAL (SELECT unnest(range(1, len(lines) + 1)) AS i)")
 def src_10(spark, sf_dir):
-    """A page's lines of text."""
     return landed.numbered_lines(table(spark, sf_dir, "pages"), "page_id", page_lines(F.col("html"))).select("page_id", "line_no", F.md5("line").alias("line_md5"))
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import subprocess
 import sys
 from pathlib import Path
@@ -11,7 +12,7 @@ import pytest
 
 from gatherline.queries import ORACLES, QUERIES
 
-SF = "/root/testdata/sf0.001"
+SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "embeddings", "pages", "benchmark", "labels", "conversations"]
 
 
