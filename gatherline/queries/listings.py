@@ -248,3 +248,51 @@ def ded_18(spark, sf_dir):
 @query("joi_14_words", f"SELECT p_partkey, len(list_filter(list_distinct(string_split(p_name, ' ')), lambda w: list_contains({d_list(['red', 'blue', 'gear'])}, w))) AS shared FROM part")
 def joi_14(spark, sf_dir):
     return table(spark, sf_dir, "part").select("p_partkey", report.shared_words(F.col("p_name"), F.lit("red blue gear")).alias("shared"))
+
+
+@query(
+    "fld_32_common_rows",
+    EV
+    + """, r AS (SELECT *, CASE WHEN coalesce(city, '') <> '' AND coalesce(state, '') <> '' THEN trim(city) || CASE WHEN ord % 3 = 0 THEN ' Sportsplex' ELSE '' END || ', ' || upper(state) END AS place, CASE WHEN coalesce(city, '') <> '' AND coalesce(state, '') <> '' THEN trim(city) || ', ' || upper(state) ELSE '' END AS bare FROM ev WHERE name <> '')
+  SELECT 'org-x' AS source, substr(regexp_replace(regexp_replace(lower(concat_ws('-', name, CAST(start_date AS VARCHAR), bare)), '[^a-z0-9]+', '-', 'g'), '^-+|-+$', '', 'g'), 1, 60) AS source_event_id, name, CAST(start_date AS VARCHAR) AS start_date,
+    CAST(coalesce(end_date, start_date) AS VARCHAR) AS end_date, CASE WHEN place IS NULL THEN '' ELSE bare END AS city_states, CASE WHEN coalesce(venue, '') <> '' THEN venue || '@' || coalesce(split_part(nullif(bare, ''), ', ', 2), '-') WHEN ord % 2 = 0 THEN '1 Oak Rd@' || coalesce(split_part(nullif(bare, ''), ', ', 2), '-') ELSE '-' END AS venue FROM r""",
+)
+def fld_32(spark, sf_dir):
+    place = F.expr("CASE WHEN coalesce(city, '') <> '' AND coalesce(state, '') <> '' THEN array(trim(city) || CASE WHEN ord % 3 = 0 THEN ' Sportsplex' ELSE '' END || ', ' || upper(state)) END")
+    ev = events(spark, sf_dir).where("name <> ''").select("name", "start_date", "end_date", place.alias("city_states"), F.col("venue").alias("venue_name"), F.when(F.col("ord") % 2 == 0, "1 Oak Rd").alias("address"), F.lit(1.0).alias("lat"), F.lit(2.0).alias("lng"), F.lit(8).alias("team_count"), F.lit("p").alias("page"))
+    out = listings.common_rows(ev, F.lit("org-x"), F.lit("X"))
+    shown = F.get("venues", F.lit(0))
+    return out.select("source", "source_event_id", "name", F.col("start_date").cast("string").alias("start_date"), F.col("end_date").cast("string").alias("end_date"), F.array_join("city_states", "; ").alias("city_states"), F.coalesce(F.concat(shown["venue_name"], F.lit("@"), F.coalesce(shown["state"], F.lit("-"))), F.lit("-")).alias("venue"))
+
+
+@query(
+    "snk_14_contract",
+    EV
+    + """ SELECT id, CASE ord % 4 WHEN 0 THEN 'rows' WHEN 1 THEN 'run' WHEN 2 THEN 'contacts' ELSE 'other' END AS kind, CASE ord % 4 WHEN 3 THEN 'kind' WHEN 0 THEN array_to_string(list_sort(list_concat(['city_states', 'dedupe_key', 'source_event_id'], CASE WHEN venue IS NULL THEN ['name'] ELSE [] END)), ' ')
+    WHEN 1 THEN 'errors finished_at note rows_seen rows_upserted started_at' ELSE 'confidence email enriched_via role' || CASE WHEN venue IS NULL THEN ' name' ELSE '' END END AS missing FROM (SELECT *, ord % 4 AS k FROM ev)""".replace("'confidence email enriched_via role' || CASE WHEN venue IS NULL THEN ' name' ELSE '' END", "CASE WHEN venue IS NULL THEN 'confidence email enriched_via name role' ELSE 'confidence email enriched_via role' END"),
+)
+def snk_14(spark, sf_dir):
+    kind = F.expr("CASE ord % 4 WHEN 0 THEN 'rows' WHEN 1 THEN 'run' WHEN 2 THEN 'contacts' ELSE 'other' END")
+    body = F.when(kind == "contacts", F.to_json(F.struct(F.col("id").alias("dedupe_key"), F.col("venue").alias("name")))).otherwise(F.to_json(F.struct(F.lit("s").alias("source"), F.col("venue").alias("name"), F.lit("lacrosse").alias("sport"), F.lit("d").alias("start_date"), F.lit("d").alias("end_date"), F.lit(1).alias("zz_unknown_key"))))
+    payloads = events(spark, sf_dir).select("id", kind.alias("kind"), body.alias("body"))
+    return sinks.contract_faults(payloads).select("id", "kind", F.array_join("missing", " ").alias("missing"))
+
+
+@query(
+    "src_26_crawl",
+    """WITH p AS (SELECT page_id, 'Org ' || CAST(page_id % 7 AS VARCHAR) AS organizer, page_id // 3 AS cup, page_id % 3 AS part FROM pages)
+  SELECT 'org-org-' || CAST(page_id % 7 AS VARCHAR) AS source, 'Harvest Cup ' || CAST(cup AS VARCHAR) AS name, CAST(DATE '2026-06-06' + CAST(cup % 20 AS INT) AS VARCHAR) AS start_date,
+    CAST(DATE '2026-06-06' + CAST(cup % 20 AS INT) + CASE WHEN part = 0 THEN 1 ELSE 0 END AS VARCHAR) AS end_date, 'Elm Falls, NJ' AS city_states, CASE WHEN part = 0 THEN 'Oak Arena' ELSE '-' END AS venue FROM p WHERE part < 2""",
+)
+def src_26(spark, sf_dir):
+    """Pages of embedded events, of text lines, and of neither, to rows in one plan."""
+    cup = F.floor(F.col("page_id") / 3)
+    day = lambda more: F.date_add(F.lit("2026-06-06").cast("date"), (cup % 20).cast("int") + more)
+    name = F.concat(F.lit("Harvest Cup "), cup.cast("string"))
+    ld = F.to_json(F.struct(F.lit("SportsEvent").alias("@type"), name.alias("name"), day(0).cast("string").alias("startDate"), day(1).cast("string").alias("endDate"), F.struct(F.lit("Oak Arena").alias("name"), F.struct(F.lit("Elm Falls").alias("addressLocality"), F.lit("NJ").alias("addressRegion")).alias("address")).alias("location")))
+    line = F.concat(F.lit("<h2>"), name, F.lit("</h2><p>"), F.date_format(day(0), "MMMM d, yyyy"), F.lit("</p><p>Elm Falls, NJ</p>"))
+    other = F.concat(F.lit("<h2>Soccer clinic</h2><p>"), F.date_format(day(0), "MMMM d, yyyy"), F.lit("</p>"))
+    html = F.when(F.col("page_id") % 3 == 0, F.concat(F.lit('<script type="application/ld+json">'), ld, F.lit("</script>"))).when(F.col("page_id") % 3 == 1, line).otherwise(other)
+    pages_ = table(spark, sf_dir, "pages").select("page_id", F.concat(F.lit("Org "), (F.col("page_id") % 7).cast("string")).alias("organizer"), "url", html.alias("html"))
+    out = listings.crawled_rows(pages_, "2026-05-01")
+    return out.select("source", "name", F.col("start_date").cast("string").alias("start_date"), F.col("end_date").cast("string").alias("end_date"), F.array_join("city_states", "; ").alias("city_states"), F.coalesce(F.get("venues", F.lit(0))["venue_name"], F.lit("-")).alias("venue"))

@@ -164,10 +164,11 @@ def sco_02(spark, sf_dir):
 
 @query("ded_10_assign")
 def ded_10(spark, sf_dir):
-    """One-to-one assignment of past editions to current ones; tests hold it against a greedy pass."""
+    """One-to-one assignment of past editions to site groups of current ones; tests hold it against a greedy pass."""
     pairs = edition_pairs(spark, sf_dir).where("r.decision <> 'no_match'").select("a", "b", "r.score")
     numbered = pairs.withColumn("first", F.col("a") * 1_000_000_000 + F.col("b"))
-    return editions.assign(numbered, "a", "b", "score", "first").select("a", "b", "score")
+    listings = editions.site_groups(listed_parts(spark, sf_dir).where("ord % 2 = 1")).select(F.col("ord").alias("b"), "group_key")
+    return editions.assign_site_groups(numbered, listings).select("a", "b", "score")
 
 
 @query("ded_03_best_edition", EDITION + " SELECT a, first(b ORDER BY s DESC, dd, b) AS b, CAST(max(s) AS DOUBLE) AS score FROM ed WHERE decision <> 'no_match' GROUP BY a")

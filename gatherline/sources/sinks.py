@@ -72,3 +72,23 @@ def write_staged(df: DataFrame, path: str, mode: str = "overwrite", partition_by
     """Parquet written as a whole: readers see the old files until the job commits."""
     writer = df.write.mode(mode)
     (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
+
+
+#: What a payload of each kind must hold.
+CONTRACT = {
+    "rows": ["source", "source_event_id", "name", "sport", "start_date", "end_date", "city_states", "dedupe_key"],
+    "run": ["started_at", "finished_at", "rows_seen", "rows_upserted", "errors", "note"],
+    "history": ["source", "source_event_id", "name", "sport", "start_date", "end_date", "city_states", "dedupe_key"],
+    "contacts": ["dedupe_key", "name", "role", "email", "confidence", "enriched_via"],
+}
+
+
+def contract_faults(payloads: DataFrame) -> DataFrame:
+    """Payloads that break the contract: their columns and missing (what they lack), sorted; unknown keys are ignored.
+
+    payloads: kind and body, a JSON text. An unknown kind lacks everything, as does a body that does not parse.
+    """
+    wanted = F.create_map(*[x for kind, keys in CONTRACT.items() for x in (F.lit(kind), F.array(*map(F.lit, keys)))])
+    known = F.coalesce(F.json_object_keys("body"), F.array().cast("array<string>"))
+    missing = F.coalesce(F.array_except(F.element_at(wanted, F.col("kind")), known), F.array(F.lit("kind")))
+    return payloads.withColumn("missing", F.array_sort(missing)).where(F.size("missing") > 0)
