@@ -65,7 +65,8 @@ def tile_pairs(x: np.ndarray, y: np.ndarray, turn: np.ndarray, threshold: float)
 def _blocks(classes: DataFrame, turns: dict[int, np.ndarray]) -> DataFrame:
     """rep, label, width, block and lead (leading components of the unit vector, then the norm of the rest) of each class.
 
-    Blocks are numbered through along the curves of all labels; positions come from counts per range partition.
+    Blocks are numbered through along the curves of all labels, where a label's end cuts a block in two; positions come
+    from counts per range partition.
     """
 
     def led(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -84,8 +85,7 @@ def _blocks(classes: DataFrame, turns: dict[int, np.ndarray]) -> DataFrame:
     kind = dict(classes.dtypes)["rep"]
     keyed = classes.select("rep", "width", "embedding").mapInArrow(led, f"rep {kind}, curve long, lead array<double>")
     placed = positions(keyed.join(classes.select("rep", "label", "width"), "rep"), [F.col(c) for c in ("label", "width", "curve", "rep")], "at")
-    first = placed.groupBy("label", "width").agg(F.min("at").alias("first"))
-    return placed.join(first, ["label", "width"]).select("rep", "label", "width", F.floor((F.col("at") - F.col("first")) / BLOCK).cast("int").alias("block"), "lead")
+    return placed.select("rep", "label", "width", F.floor((F.col("at") - 1) / BLOCK).alias("block"), "lead")
 
 
 def link(embeddings: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
