@@ -296,3 +296,13 @@ def src_26(spark, sf_dir):
     pages_ = table(spark, sf_dir, "pages").select("page_id", F.concat(F.lit("Org "), (F.col("page_id") % 7).cast("string")).alias("organizer"), "url", html.alias("html"))
     out = listings.crawled_rows(pages_, "2026-05-01")
     return out.select("source", "name", F.col("start_date").cast("string").alias("start_date"), F.col("end_date").cast("string").alias("end_date"), F.array_join("city_states", "; ").alias("city_states"), F.coalesce(F.get("venues", F.lit(0))["venue_name"], F.lit("-")).alias("venue"))
+
+
+@query("fld_12_page_places", EV + r""" SELECT ord, CASE WHEN length(coalesce(venue, '')) >= 3 THEN regexp_replace(venue, ',?\s+[0-9]{1,6}\b.*$', '') ELSE '-' END AS venue, 'Elm Falls' AS city, 'NJ' AS state, CASE WHEN coalesce(city, '') IN ('', 'Elm Falls') AND length(coalesce(venue, '')) >= 3 AND NOT regexp_matches(venue, '(?i)multiple locations|\btbd\b') THEN regexp_replace(venue, ',?\s+[0-9]{1,6}\b.*$', '') ELSE '-' END AS agreed FROM ev WHERE name <> ''""")
+def fld_12(spark, sf_dir):
+    from gatherline.operators import page_places
+
+    said = F.concat(F.lit("All about it. Where: "), F.coalesce("venue", F.lit("")), F.lit(", "), (F.col("customer") + 10).cast("string"), F.lit(" Cedar Lane, Elm Falls, N.J. 01234"))
+    read = events(spark, sf_dir).where("name <> ''").select("ord", "city", page_places.venue_from_page(said).alias("p"))
+    merged = page_places.merge_page_place(F.col("city"), F.when(F.col("city") != "", "NJ"), F.col("p"))
+    return read.select("ord", F.coalesce("p.venue", F.lit("-")).alias("venue"), F.col("p.city").alias("city"), F.col("p.state").alias("state"), F.coalesce(merged["venue"], F.lit("-")).alias("agreed"))

@@ -241,3 +241,21 @@ def test_validation_and_keep_best(spark):
     assert got[3] == (True, ["stale_date:2026-01-01", "end_before_start", "no_state", "gender_unknown"], D(2026, 1, 1))
     assert got[4][1] == ["far_future", "long_span"]
     assert [r.ord for r in cleanse.keep_best(df, ["fingerprint"]).collect()] == [4]  # most filled fields, counting the state and the end
+
+
+def test_site_groups_are_assigned_as_by_a_greedy_pass(spark):
+    rng = random.Random(8)
+    listings = [(b, f"g{rng.randrange(12)}") for b in range(40)]
+    pairs = [(a, b, float(rng.randrange(4, 12)), a * 1000 + b) for a in range(20) for b in range(40) if rng.random() < 0.3]
+    group, best = dict(listings), {}
+    for a, b, score, _ in pairs:
+        if (a, group[b]) not in best or score > best[a, group[b]][1]:
+            best[a, group[b]] = (b, score)
+    want, used = set(), (set(), set())
+    for (a, g), (b, score) in sorted(best.items(), key=lambda x: -x[1][1]):
+        if a not in used[0] and g not in used[1]:
+            used[0].add(a)
+            used[1].add(g)
+            want.add((a, g, b, score))
+    got = editions.assign_site_groups(spark.createDataFrame(pairs, "a long, b long, score double, first long"), spark.createDataFrame(listings, "b long, group_key string"))
+    assert {tuple(r) for r in got.collect()} == want
