@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gatherline import vocab
+from gatherline.functions.patterns import guarded
 from gatherline.functions.values import clamp, let, lookup, members, round_even, text
 
 # --- attendance
@@ -55,14 +56,14 @@ def festival_signals(words: Column) -> Column:
     tags = members(tag for tag, _, _ in vocab.FESTIVAL_SIGNALS)
     points = F.array(*[F.lit(points) for _, _, points in vocab.FESTIVAL_SIGNALS])
     # Each pattern is tried once: what was hit gives the tags and the score.
-    hits = let(F.lower(text(words)), lambda w: F.array(*[w.rlike(pattern) for _, pattern, _ in vocab.FESTIVAL_SIGNALS]))
+    hits = let(F.lower(text(words)), lambda w: F.array(*[w.rlike(guarded(pattern)) for _, pattern, _ in vocab.FESTIVAL_SIGNALS]))
     found = lambda h: F.filter(F.zip_with(h, F.arrays_zip(tags.alias("tag"), points.alias("points")), lambda hit, x: F.when(hit, x)), lambda x: x.isNotNull())
     total = lambda f: F.aggregate(f, F.lit(50), lambda s, x: s + x["points"])
     return let(let(hits, found), lambda f: F.struct(F.transform(f, lambda x: x["tag"]).alias("tags"), clamp(total(f), 20, 85).cast("int").alias("destination")))
 
 
 def festival_fit(name: Column, description: Column, tags: Column, fee: Column, start: Column, end: Column, deadline: Column, days: Column, size: Column, destination: Column, as_of: Column) -> Column:
-    """struct<fit, tags, excluded>: how well a festival suits a vendor, 0 to 100; private events are excluded.
+    """struct<fit, tags, reasons, excluded>: how well a festival suits a vendor, 0 to 100; private events are excluded.
 
     Tags are extended first (craft-market, fee-over-400, weekday-only, deadline-passed), then every rule reads them.
     """
@@ -79,10 +80,12 @@ def festival_fit(name: Column, description: Column, tags: Column, fee: Column, s
     has = lambda t: F.arrays_overlap(tags, members(t))
     rules = [(has(some) & ~has(none) if none else has(some), points) for some, none, points in vocab.FIT_TAGS]
     rules += [(n.rlike(vocab.SEASONAL_EVENT), vocab.FIT_SEASONAL), (both.rlike(vocab.YEARLY_EVENT), vocab.FIT_YEARLY), (days >= 2, vocab.FIT_SEVERAL_DAYS)]
+    labels = ["/".join(some) for some, _, _ in vocab.FIT_TAGS] + ["seasonal", "yearly", "several days"]
+    reasons = F.filter(F.array(*[F.when(hit, f"{label} {points:+d}") for label, (hit, points) in zip(labels, rules, strict=True)]), lambda r: r.isNotNull())
     score = sum((F.when(hit, points).otherwise(0) for hit, points in rules), F.lit(vocab.FIT_BASE))
     score = score + F.coalesce(((size - 50) * 0.3).cast("int"), F.lit(0)) + F.coalesce(((destination - 50) * 0.2).cast("int"), F.lit(0))
     private = n.rlike(vocab.PRIVATE_EVENT)
-    return F.struct(F.when(~private, clamp(score, 0, 100).cast("int")).alias("fit"), tags.alias("tags"), F.when(private, "not a public fair (private/corporate/race/class)").alias("excluded"))
+    return F.struct(F.when(~private, clamp(score, 0, 100).cast("int")).alias("fit"), tags.alias("tags"), F.when(~private, reasons).alias("reasons"), F.when(private, "not a public fair (private/corporate/race/class)").alias("excluded"))
 
 
 # --- schedules

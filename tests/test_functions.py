@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import datetime as dt
 import math
+import re
 from fractions import Fraction
 
 import pytest
@@ -9,6 +10,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from gatherline import vocab
 from gatherline.functions import dates, names, pages, places
 from gatherline.functions.values import jaccard, round_even
 
@@ -171,3 +173,29 @@ def test_jaccard_is_symmetric_and_bounded(spark, a, b):
     x, y = df.select(jaccard(F.col("a"), F.col("b")).alias("x"), jaccard(F.col("b"), F.col("a")).alias("y")).first()
     assert x == y and 0 <= x <= 1
     assert x == (len(a & b) / len(a | b) if a and b else 0)
+
+
+def test_guarded_patterns_match_alike():
+    """A guard changes no match: every signal on every text, and on texts that its alternatives begin and end."""
+    from gatherline.functions.patterns import alternatives, guarded
+
+    texts = ["", "county fairgrounds by the lake", "admission: $5", "$12 per person at the gate", "tickets from $9", "10 x 10 tent required", "no resale", "rt. 9", "20% of sales", "free to attend", "main st fair", "\u00e9 bandstand", "12 % of gross"]
+    for _, pattern, _ in vocab.FESTIVAL_SIGNALS:
+        some = texts + [a.replace("\\b", "").replace("?", "") for a in alternatives(pattern)]
+        quick = guarded(pattern)
+        assert quick != pattern
+        assert [bool(re.search(pattern, t)) for t in some] == [bool(re.search(quick, t)) for t in some], pattern
+    for open_ended in ("a?b|c", r"\d*x", "(?:ab)?c", "x|.y", r"\d{0,2}z"):
+        assert guarded(open_ended) == open_ended
+
+
+def test_reasons_of_the_festival_fit(spark):
+    from gatherline.operators.scores import festival_fit
+
+    tags = F.array(*map(F.lit, ("family", "alcohol", "indoor")))
+    day = lambda x: F.lit(x).cast("date")
+    got = one(spark, festival_fit(F.lit("12th Annual Harvest"), F.lit(""), tags, F.lit(500.0), day("2026-10-03"), day("2026-10-04"), day("2026-09-20"), F.lit(2), F.lit(None).cast("int"), F.lit(None).cast("int"), day("2026-09-01")))
+    assert sorted(got.reasons) == sorted(["family +15", "indoor -8", "fee-over-400 -12", "seasonal +10", "yearly +6", "several days +5"])
+    assert got.fit == 40 + 15 - 8 - 12 + 10 + 6 + 5 and got.excluded is None
+    private = one(spark, festival_fit(F.lit("Gala"), F.lit(""), tags, F.lit(None).cast("double"), day("2026-10-03"), day("2026-10-04"), day("2026-09-20"), F.lit(2), F.lit(None).cast("int"), F.lit(None).cast("int"), day("2026-09-01")))
+    assert private.fit is None and private.reasons is None and private.excluded
