@@ -19,6 +19,7 @@ from pyspark.sql.types import BooleanType, DoubleType, StringType, StructField,
 
 from gatherline.llm.blocks import LOWER, blocks
 from gatherline.llm.training import adam, fold, sigmoid
+from gatherline.plans.scratch import Scratch
 
 #: Labelled documents that training sees at most: of each language, and in all (each language has one at least).
 SAMPLE_PER_LANGUAGE, SAMPLE = 900, 9_000
@@ -117,7 +118,9 @@ def sample(documents: DataFrame) -> DataFrame:
     each = F.least(F.lit(SAMPLE_PER_LANGUAGE), F.greatest(F.lit(1), F.floor(F.lit(SAMPLE) / F.count("*").over(Window.partitionBy()))))
     # The hash lets through a little more than is wanted, so that what is ranked is small; a rare language passes whole.
     wanted = counts.withColumn("most", each).withColumn("share", F.when(F.col("most") * 8 >= F.col("count"), 1.0).otherwise(F.least(F.lit(1.0), (1.2 * F.col("most") + 30) / F.col("count"))))
-    hashed = known.withColumn("h", F.xxhash64("doc_id")).join(wanted.drop("count"), "g")
+    # Written first, so that its size is known: a small table is broadcast and no text moves.
+    wanted = Scratch(documents.sparkSession, "langid").table(wanted.drop("count"), "wanted")
+    hashed = known.withColumn("h", F.xxhash64("doc_id")).join(wanted, "g")
     some = hashed.where(F.pmod("h", F.lit(1_000_003)) < F.col("share") * 1_000_003)
     ranked = some.withColumn("n", F.row_number().over(Window.partitionBy("g").orderBy("h", "doc_id", "t"))).where(F.col("n") <= F.col("most"))
 
