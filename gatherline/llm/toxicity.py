@@ -33,7 +33,7 @@ STEMS = range(6, 11)
 TOXIC_WEIGHT = 2.0
 #: The highest bit of a feature's hash tells beginnings from whole words.
 STEM = np.uint64(1 << 63)
-#: Terms that name groups, in sets whose members may stand for each other.
+#: Terms that name groups, in sets whose members may stand for each other; English, Spanish, German, French.
 IDENTITY = [
     ["women", "men"],
     ["woman", "man"],
@@ -46,6 +46,36 @@ IDENTITY = [
     ["immigrants", "refugees", "natives", "citizens"],
     ["disabled", "blind", "deaf"],
     ["old", "young", "elderly"],
+    ["mujeres", "hombres"],
+    ["mujer", "hombre"],
+    ["niñas", "niños"],
+    ["musulmanes", "cristianos", "judíos", "hindúes", "budistas", "ateos"],
+    ["negros", "blancos", "asiáticos", "latinos", "árabes"],
+    ["africanos", "americanos", "europeos", "mexicanos", "chinos"],
+    ["gays", "lesbianas", "heterosexuales", "transexuales"],
+    ["inmigrantes", "refugiados", "nativos", "ciudadanos"],
+    ["discapacitados", "ciegos", "sordos"],
+    ["ancianos", "jóvenes"],
+    ["frauen", "männer"],
+    ["frau", "mann"],
+    ["mädchen", "jungen"],
+    ["muslime", "christen", "juden", "buddhisten", "atheisten"],
+    ["schwarze", "weiße", "asiaten", "araber"],
+    ["afrikaner", "amerikaner", "europäer", "mexikaner", "chinesen"],
+    ["schwule", "lesben", "heterosexuelle"],
+    ["einwanderer", "flüchtlinge", "einheimische", "bürger"],
+    ["behinderte", "blinde", "gehörlose"],
+    ["alte", "junge"],
+    ["femmes", "hommes"],
+    ["femme", "homme"],
+    ["filles", "garçons"],
+    ["musulmans", "chrétiens", "juifs", "hindous", "bouddhistes", "athées"],
+    ["noirs", "blancs", "asiatiques", "arabes"],
+    ["africains", "américains", "européens", "mexicains", "chinois"],
+    ["homosexuels", "lesbiennes", "hétérosexuels"],
+    ["immigrés", "réfugiés", "citoyens"],
+    ["handicapés", "aveugles", "sourds"],
+    ["vieux", "jeunes"],
 ]
 
 

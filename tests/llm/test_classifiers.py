@@ -3,9 +3,11 @@ from __future__ import annotations
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from gatherline.llm import langid, quality, toxicity
+from gatherline.llm.blocks import blocks
 
 SF = "/root/testdata/sf0.1"
 
@@ -73,9 +75,6 @@ def test_identity_terms_weigh_alike():
         y.append(int(toxic))
     model = toxicity.train(texts, np.array(y))
     free = toxicity.train(texts, np.array(y), penalty=0.0)
-    from gatherline.llm.blocks import blocks
-    import pyarrow as pa
-
     def score(m, t):
         (_, _, data, offsets), = blocks(pa.array([t]))
         return float(m.score(data, offsets)[0])
@@ -86,7 +85,10 @@ def test_identity_terms_weigh_alike():
     assert score(model, "you are scum and vermin") > 0.5
 
 
-@pytest.mark.parametrize("term", ["immigrants", "christians"])
+SWAPS = {"immigrants": "refugees", "christians": "jews", "musulmanes": "cristianos", "flüchtlinge": "einheimische", "réfugiés": "citoyens"}
+
+
+@pytest.mark.parametrize("term", [*SWAPS])
 def test_beginnings_of_identity_terms_do_not_score(term):
     rng = np.random.default_rng(1)
     plain, bad = ["lunch", "garden", "music", "travel", "market", "school"], ["idiot", "scum", "vermin"]
@@ -100,20 +102,85 @@ def test_beginnings_of_identity_terms_do_not_score(term):
         texts.append(" ".join(words))
         y.append(int(toxic))
     model = toxicity.train(texts, np.array(y))
-    from gatherline.llm.blocks import blocks
-    import pyarrow as pa
-
     def score(t):
         (_, _, data, offsets), = blocks(pa.array([t]))
         return float(model.score(data, offsets)[0])
 
     # The stems of the term are features, for they stand mostly in toxic texts; no swap or mention may count by them.
     named, none = score(f"the {term} like music and travel"), score("the families like music and travel")
-    swapped = score("the " + {"immigrants": "refugees", "christians": "jews"}[term] + " like music and travel")
+    swapped = score("the " + SWAPS[term] + " like music and travel")
     assert abs(named - none) < 0.1 and abs(named - swapped) < 0.1
     assert score("you are scum and vermin") > 0.5
 
 
+def test_quality_scores_are_means_of_look_ups():
+    """A block's scores against a plain sum over the words and n-grams of each text."""
+    rng = np.random.default_rng(6)
+    table = rng.normal(size=quality.WORD_BUCKETS + quality.GRAM_BUCKETS + 1)
+    texts = ["", "a", "ab", "one two two two three", "  blanks   here ", "größe 東京", "x" * 300, "the the"]
+    (_, _, data, offsets), = blocks(pa.array(texts), limit=1 << 30)
+    got = quality.score_block(table, data, offsets)
+    for text, score in zip(texts, got, strict=True):
+        raw = text.encode()
+        words = raw.split()
+        hashes = [int(quality.span_hashes(np.frombuffer(w, np.uint8), np.array([0]), np.array([len(w)]))[0]) for w in words]
+        found = [quality.WORD_BUCKETS - 1 if i and h == hashes[i - 1] else h % (quality.WORD_BUCKETS - 1) for i, h in enumerate(hashes)]
+        for i in range(len(raw) - quality.GRAM + 1):
+            gram = int.from_bytes(raw[i : i + quality.GRAM], "little")
+            found.append((gram * 2654435761 % 2**32 >> 17) + quality.WORD_BUCKETS)
+        want = 1 / (1 + np.exp(-(table[found].sum() / (len(found) + quality.PRIOR) + table[-1])))
+        assert score == pytest.approx(want, abs=1e-9), text
+
+
+def test_identity_terms_stand_in_one_set_each():
+    terms = [t for g in toxicity.IDENTITY for t in g]
+    assert len(terms) == len(set(terms))
+
+
+def test_training_is_the_minimum_of_its_loss():
+    """The weights against the loss written plainly: no step in any direction makes it smaller by much."""
+    rng = np.random.default_rng(4)
+    plain, bad = ["lunch", "garden", "music", "market"], ["idiot", "vermin"]
+    texts, y = [], []
+    for _ in range(400):
+        words, toxic = list(rng.choice(plain, 4)), rng.random() < 0.4
+        if rng.random() < (0.7 if toxic else 0.1):
+            words.append("muslims")
+        if toxic:
+            words.append(str(rng.choice(bad)))
+        texts.append(" ".join(words))
+        y.append(int(toxic))
+    y, penalty = np.array(y), 4.0
+    model = toxicity.train(texts, y, penalty=penalty)
+    index = {h: i for i, h in enumerate(model.hashes.tolist())}
+
+    def rows(some):
+        out = np.zeros((len(some), len(index)))
+        (_, _, data, offsets), = blocks(pa.array(some), limit=1 << 30)
+        for h, d in zip(*(x.tolist() for x in toxicity.presence(data, offsets)), strict=True):
+            if h in index:
+                out[d, index[h]] = 1
+        return out
+
+    x, pairs = rows(texts), list(toxicity.counterfactuals(texts, toxicity.IDENTITY))
+    gap = rows([a for a, _ in pairs]) - rows([b for _, b in pairs])
+    weight = np.where(y == 1, toxicity.TOXIC_WEIGHT, 1.0)
+
+    def loss(w, b):
+        s = x @ w + b
+        return (np.logaddexp(0, np.where(y == 1, -s, s)) * weight).sum() / weight.sum() + 1e-4 * (w @ w) + penalty / (2 * len(texts)) * ((gap @ w) ** 2).sum()
+
+    best = loss(model.weights, model.bias)
+    (_, _, data, offsets), = blocks(pa.array(texts), limit=1 << 30)
+    assert np.allclose(model.score(data, offsets), 1 / (1 + np.exp(-(x @ model.weights + model.bias))))
+    for step in (0.05, -0.05):
+        for k in range(len(index)):
+            moved = model.weights.copy()
+            moved[k] += step
+            assert loss(moved, model.bias) > best - 1e-3
+        assert loss(model.weights, model.bias + step) > best - 1e-3
+
+
 def test_language_held_out_accuracy(tables):
     docs, _ = tables
     rows = langid.identify(docs).join(docs.select("doc_id", "lang", "text"), "doc_id").collect()
