@@ -232,11 +232,11 @@ def ded_09(spark, sf_dir):
     EV
     + """, c AS (SELECT customer AS event, ord, CASE ord % 4 WHEN 0 THEN 'stored' WHEN 1 THEN 'tm' WHEN 2 THEN 'documents' ELSE 'research' END AS stage, CASE ord % 9 WHEN 0 THEN 'confirmed' WHEN 1 THEN 'review' END AS match, ord % 7 / 10.0::DOUBLE AS confidence, ord % 5 = 0 AS verified, name FROM ev),
   r AS (SELECT *, CASE WHEN stage = 'stored' AND match = 'confirmed' THEN 0 WHEN stage = 'tm' AND match = 'confirmed' THEN 1 WHEN stage IN ('documents', 'research') AND verified THEN 2 WHEN stage IN ('stored', 'tm') AND match = 'review' THEN 3 ELSE 4 END AS rank FROM c)
-  SELECT event, CASE WHEN min(rank) <= 2 THEN 'found_verified' WHEN min(rank) = 3 THEN 'needs_review' ELSE 'not_found' END AS status, CASE WHEN min(rank) <= 3 THEN first(stage ORDER BY rank, CASE WHEN rank = 2 THEN -confidence ELSE 0 END, ord) ELSE '-' END AS method FROM r GROUP BY event""",
+  SELECT event, CASE WHEN min(rank) <= 2 THEN 'found_verified' WHEN min(rank) = 3 THEN 'needs_review' ELSE 'not_found' END AS status, CASE WHEN min(rank) <= 3 THEN first(stage ORDER BY rank, CASE WHEN rank = 2 THEN -confidence ELSE 0 END, ord) ELSE '-' END AS method, CASE WHEN min(rank) <= 3 THEN coalesce(first(name ORDER BY rank, CASE WHEN rank = 2 THEN -confidence ELSE 0 END, ord), '-') ELSE '-' END AS organizer_name FROM r GROUP BY event""",
 )
 def sco_12(spark, sf_dir):
     c = events(spark, sf_dir).selectExpr("customer AS event", "ord", "CASE ord % 4 WHEN 0 THEN 'stored' WHEN 1 THEN 'tm' WHEN 2 THEN 'documents' ELSE 'research' END AS stage", "CASE ord % 9 WHEN 0 THEN 'confirmed' WHEN 1 THEN 'review' END AS match", "ord % 7 / 10D AS confidence", "ord % 5 = 0 AS verified", "name")
-    return report.lookup_cascade(c).select("event", "status", F.coalesce("method", F.lit("-")).alias("method"))
+    return report.lookup_cascade(c).select("event", "status", *[F.coalesce(x, F.lit("-")).alias(x) for x in ("method", "organizer_name")])
 
 
 @query("ded_18_annotate", EDITION + " SELECT b AS event, CASE WHEN d = 'confirmed' THEN l ELSE -1 END AS duplicate_of, CASE WHEN d <> 'confirmed' THEN l ELSE -1 END AS maybe_duplicate_of, CAST(s AS DOUBLE) AS score FROM (SELECT b, first(decision ORDER BY s DESC, a) AS d, first(a ORDER BY s DESC, a) AS l, max(s) AS s FROM ed WHERE decision <> 'no_match' GROUP BY b)")

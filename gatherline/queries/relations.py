@@ -311,14 +311,15 @@ def agg_03(spark, sf_dir):
     _prof
     + """, dy AS (SELECT event_id, date, fields_active AS fa, late, round_even((l + game_length - f) / 60.0, 1)::DOUBLE AS hours, l + game_length AS en FROM pr JOIN gl USING (event_id) WHERE site IS NULL),
   e AS (SELECT event_id, count(*) AS n, max(fa) AS peak, first(fa ORDER BY date) AS fa1, first(hours ORDER BY date) AS h1, last(late ORDER BY date) AS ll, last(en ORDER BY date) AS le FROM dy GROUP BY event_id),
-  s AS (SELECT event_id, sum(least(hours, 9) * least(1.0::DOUBLE, fa / peak)) AS t FROM dy JOIN e USING (event_id) GROUP BY event_id),
+  s AS (SELECT event_id, sum(least(hours, 9) * least(1.0::DOUBLE, fa / peak)) AS t, min(hours) >= 8 AS full_days FROM dy JOIN e USING (event_id) GROUP BY event_id),
   x AS (SELECT *, round_even(least(1.0, ll / fa1), 2)::DOUBLE AS ls, le / 60.0::DOUBLE AS eh, greatest(0, least(1, (le / 60.0::DOUBLE - 12) / 4.5)) AS cr FROM e JOIN s USING (event_id)),
   y AS (SELECT *, CASE WHEN eh >= 13 THEN 50 * (0.3 * cr + 0.7 * greatest(0, least(1, ls / 0.5))) ELSE 12.5 * cr END AS ql FROM x)
-  SELECT event_id, n AS day_count, CAST(round_even(least(100, 50 * least(1.0, t / (9 * n)) + CASE WHEN n = 1 THEN CASE WHEN h1 >= 8 THEN 50 ELSE 25 END WHEN ls < 0.15 THEN least(ql, 12) ELSE ql END), 0) AS INT) AS schedule_quality FROM y""",
+  SELECT event_id, n AS day_count, CAST(round_even(least(100, 50 * least(1.0, t / (9 * n)) + CASE WHEN n = 1 THEN CASE WHEN h1 >= 8 THEN 50 ELSE 25 END WHEN ls < 0.15 THEN least(ql, 12) ELSE ql END), 0) AS INT) AS schedule_quality, ls AS last_day_late_field_share, full_days AS full_day_all_days FROM y""",
 )
 def agg_04(spark, sf_dir):
     days = scores.schedule_days(games(spark, sf_dir), ["event_id"]).where("site IS NULL")
-    return scores.schedule_quality(days, ["event_id"]).select("event_id", "day_count", "schedule_quality")
+    out = scores.schedule_quality(days, ["event_id"])
+    return out.select("event_id", "day_count", "schedule_quality", "last_day_late_field_share", "full_day_all_days")  # hours: the other engine rounds 11.05 down
 
 
 @query(
@@ -353,10 +354,11 @@ def _weather(spark, sf_dir):
     return w, e.withColumn("end", F.date_add("start", F.col("n")))
 
 
-@query("agg_09_weather_days", WX + " SELECT id, count(*) AS days, count(*) FILTER (WHERE rain_mm > 2.5) AS rain_days, round(max(high_f), 6) AS high_f, CASE WHEN count(*) FILTER (WHERE rain_mm > 2.5) > 0 THEN 'rain' WHEN avg(sun_seconds / 3600) >= 7 THEN 'sunny' ELSE 'dry' END AS summary FROM e JOIN wx ON e.place = wx.place AND wx.day BETWEEN s AND s + n GROUP BY id")
+@query("agg_09_weather_days", WX + " SELECT id, count(*) AS days, count(*) FILTER (WHERE rain_mm > 2.5) AS rain_days, round(sum(rain_mm), 6) AS rain_total_mm, round(max(high_f), 6) AS high_f, round(avg(high_f), 6) AS avg_high_f, round(avg(sun_seconds / 3600), 6) AS sun_hours_avg, CASE WHEN count(*) FILTER (WHERE rain_mm > 2.5) > 0 THEN 'rain' WHEN avg(sun_seconds / 3600) >= 7 THEN 'sunny' ELSE 'dry' END AS summary FROM e JOIN wx ON e.place = wx.place AND wx.day BETWEEN s AND s + n GROUP BY id")
 def agg_09(spark, sf_dir):
     w, e = _weather(spark, sf_dir)
-    return scores.weather_days(w, e, ["id"]).select("id", "days", "rain_days", F.round("high_f", 6).alias("high_f"), "summary")
+    out = scores.weather_days(w, e, ["id"])
+    return out.select("id", "days", "rain_days", *[F.round(c, 6).alias(c) for c in ("rain_total_mm", "high_f", "avg_high_f", "sun_hours_avg")], "summary")
 
 
 @query(
