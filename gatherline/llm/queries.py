@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gatherline.llm import ann, bpe, embdedup, langid, lm, minhash, packing, quality, secrets, toxicity
+from gatherline.llm import ann, bestfit, bpe, embdedup, fim, langid, lm, minhash, packing, quality, secrets, toxicity, veccodes
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -69,9 +69,26 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents"), _tokenizer("byte_bpe_50k.json"))
 
 
+def op11_bestfit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents packed into as few sequences of 2048 ids as the method finds. Odd rows: see ``bestfit.pack``."""
+    packed = bestfit.pack(_table(spark, sf_dir, "documents"), _tokenizer("byte_bpe_50k.json"))
+    return packed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset", "doc_tokens")
+
+
+def op12_fim(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document rearranged for fill-in-middle; digests of the output and of what is restored from it. Odd rows: see ``fim.transform``."""
+    return fim.digests(_table(spark, sf_dir, "documents"))
+
+
+def op13_veccodes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Codes and errors of all embeddings by codebooks of all. Odd rows: see ``veccodes.compress``."""
+    return veccodes.report(_table(spark, sf_dir, "embeddings"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_minhash, op2_bpe, op3_lm, op4_toxicity, op5_secrets, op6_langid, op7_ann, op8_quality, op9_embdedup, op10_packing)}
+    all_ = (op1_minhash, op2_bpe, op3_lm, op4_toxicity, op5_secrets, op6_langid, op7_ann, op8_quality, op9_embdedup, op10_packing, op11_bestfit, op12_fim, op13_veccodes)
+    return {f.__name__: f for f in all_}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op12_fim": fim.DIGESTS_SQL, "op13_veccodes": veccodes.report_sql()}
