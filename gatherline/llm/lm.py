@@ -23,8 +23,9 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gatherline.llm.blocks import LOWER, U64, blocks, mix, span_hashes, words
+from gatherline.llm.blocks import LOWER, U64, blocks, mix, words
 from gatherline.llm.training import fold
+from gatherline.llm.wordhash import word_names
 from gatherline.plans.scratch import Scratch
 
 #: Text bytes of a shard (one document more at most), and distinct items of a bucket.
@@ -112,7 +113,7 @@ def shards(documents: DataFrame, modulus: int, held: int) -> DataFrame:
                 starts, ends, firsts = words(data, offsets)
                 n = np.diff(firsts)
                 hashes = np.full(len(starts) + len(n), END, U64)
-                hashes[np.arange(len(starts)) + np.repeat(np.arange(len(n)), n)] = span_hashes(data, starts, ends)
+                hashes[np.arange(len(starts)) + np.repeat(np.arange(len(n)), n)] = word_names(data, starts, ends)
                 part.append((named[low:high], nameless[low:high], out[low:high], n + 1, hashes))
                 size += len(data) + 8 * len(n)
                 if size >= SHARD_BYTES:

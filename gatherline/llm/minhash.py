@@ -24,8 +24,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gatherline.llm.blocks import LOWER, U64, blocks, mix, span_hashes, words
+from gatherline.llm.blocks import LOWER, U64, blocks, mix, words
 from gatherline.llm.components import Forest, components
+from gatherline.llm.wordhash import word_names
 from gatherline.plans.scratch import Scratch
 
 BANDS, ROWS = 40, 6
@@ -46,7 +47,7 @@ def shingles(data: np.ndarray, offsets: np.ndarray, width: int) -> tuple[np.ndar
     data = LOWER[data]
     starts, ends, firsts = words(data, offsets)
     n = np.diff(firsts)
-    word = span_hashes(data, starts, ends)
+    word = word_names(data, starts, ends)
     doc = np.repeat(np.arange(len(n)), n)
     m = len(word) - width + 1
     found, owner = np.zeros(0, U64), np.zeros(0, np.int64)
