@@ -105,7 +105,7 @@ def find_ranges(x: Column, as_of: Column | str) -> Column:
     as_of = F.to_date(F.lit(as_of)) if isinstance(as_of, str) else as_of
     t = F.regexp_replace(text(x), WEEKDAY, "")
     t = F.regexp_replace(t, r"(?:\s*[-–—]\s*){2,}", " - ")
-    pattern = rf"(?i)\b({MONTH}\s+\d{{1,2}}(?:st|nd|rd|th)?(?:,?\s*\d{{4}})?(?:\s*(?:–|—|-|&|/|\bto\b|\bthru\b|\bthrough\b|\band\b)\s*(?:{MONTH}\s+)?\d{{1,2}}(?:st|nd|rd|th)?)?(?:,?\s*\d{{4}})?)"
+    pattern = f"({vocab.DATE_TEXT})"
     cleaned = F.transform(F.regexp_extract_all(t, F.lit(pattern), F.lit(1)), _tidy)
 
     def made(raw: Column) -> Column:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -9,6 +10,7 @@ from gatherline import vocab
 from gatherline.functions.dates import overlaps
 from gatherline.functions.names import blocking_key, event_group_key, identity_tokens, is_compound_venue, level_tokens, link_organizer, link_tokens, link_venue
 from gatherline.functions.values import jaccard, overlap, subset, text, truthy, word_set
+from gatherline.operators.settle import ROUNDS, settled
 from gatherline.plans.scratch import Scratch
 
 #: What decides whether two rows are one event-site; rows equal in all of it fall into one class before any pairing.
@@ -103,48 +105,49 @@ def matching_pairs(classes: DataFrame, across_months: bool = False) -> DataFrame
     return judged.groupBy(F.least("x.ord", "y.ord").alias("a"), F.greatest("x.ord", "y.ord").alias("b")).agg(F.min("reason").alias("reason"))
 
 
-def leaders(nodes: DataFrame, pairs: DataFrame, scratch: Scratch, few: int = 100_000) -> DataFrame:
-    """(ord, leader): greedy leader clustering in arrival order, in rounds over all clusters at once.
+def _follow(rows: pd.DataFrame) -> pd.DataFrame:
+    """(ord, leader) of the rows that are b of a pair, by the plain pass; a row that is only a leads if it is chief."""
+    leader: dict[int, int] = {}
+    rows = rows.sort_values(["b", "a"])
+    for a, b, chief in zip(rows["a"].tolist(), rows["b"].tolist(), rows["chief"].tolist(), strict=True):
+        if leader.setdefault(b, b) == b and (chief or leader.get(a) == a):
+            leader[b] = a
+    return pd.DataFrame({"ord": list(leader.keys()), "leader": list(leader.values())}, dtype="int64")
 
-    A row joins the first leader before it that it matches, else it leads. In a round, a row whose earliest remaining
-    match leads follows it; matches that follow others are struck out; a row without matches left leads. At least the
-    first open row is settled in each round, and in practice all chains advance together; rounds follow until none is
-    open. At most ``few`` open pairs are settled by the plain pass on the driver, so that a long chain does not cost a
-    round a link. Open pairs are written to the shared folder, which cuts the lineage. pairs: a < b, both in ``nodes``
-    (column ord). No group is collected.
+
+def leaders(nodes: DataFrame, pairs: DataFrame, scratch: Scratch) -> DataFrame:
+    """(ord, leader): greedy leader clustering in arrival order.
+
+    A row joins the first leader before it that it matches, else it leads. Components of open rows are settled whole in
+    tasks (``settle``); followers of a row that is known to lead do not hang together through it. Components too large for
+    a task are worn down in rounds: a row whose earliest remaining match leads follows it; matches that follow others
+    are struck out; a row without matches left leads. pairs: a < b, both in ``nodes`` (column ord, long).
     """
-    spark = nodes.sparkSession
-    edges = scratch.table(pairs.select("a", "b").distinct(), "pairs")
+    edges = scratch.table(pairs.select(F.col("a").cast("long"), F.col("b").cast("long")).distinct(), "pairs")
     blocked = edges.select(F.col("b").alias("ord")).distinct()
-    done = scratch.table(nodes.select("ord").join(blocked, "ord", "left_anti").withColumn("leader", F.col("ord")), "led-0")
+    done = scratch.table(nodes.select(F.col("ord").cast("long").alias("ord")).join(blocked, "ord", "left_anti").withColumn("leader", F.col("ord")), "led")
     mark = done.select(F.col("ord").alias("a"), F.lit(True).alias("_led"))
-    left = scratch.table(edges.join(mark, "a", "left").select("a", "b", F.coalesce("_led", F.lit(False)).alias("chief")), "open-0")
+    left = scratch.table(edges.join(mark, "a", "left").select("a", "b", F.coalesce("_led", F.lit(False)).alias("chief")), "open")
     turn = 0
-    while left.count() > few:
-        turn += 1
-        front = left.groupBy("b").agg(F.min(F.struct("a", "chief")).alias("f"))
-        follow = scratch.table(front.where("f.chief").select(F.col("b").alias("ord"), F.col("f.a").alias("leader")), f"follow-{turn}")
-        waiting = left.join(follow.select(F.col("ord").alias("b")), "b", "left_anti")
-        rest = scratch.table(waiting.join(follow.select(F.col("ord").alias("a")), "a", "left_anti"), f"rest-{turn}")
-        freed = waiting.select("b").distinct().join(rest.select("b").distinct(), "b", "left_anti").select(F.col("b").alias("ord"), F.col("b").alias("leader"))
-        freed = scratch.table(freed, f"freed-{turn}")
-        done = done.unionByName(follow).unionByName(freed)
-        if turn % 16 == 0:  # the plan of the result stays short, however many rounds there are
-            done = scratch.table(done, f"led-{turn}")
-        mark = freed.select(F.col("ord").alias("a"), F.lit(True).alias("_led"))
-        left = scratch.table(rest.join(mark, "a", "left").select("a", "b", (F.col("chief") | F.col("_led").isNotNull()).alias("chief")), f"open-{turn}")
-        scratch.drop(f"rest-{turn}")
-        scratch.drop(f"open-{turn - 1}")
-    open_rows = left.orderBy("b", "a").toArrow().to_pylist()
-    # Open rows have a pair as b; an a that is not open leads or has been struck out with its pairs.
-    chiefs = {r["a"] for r in open_rows if r["chief"]}
-    last = {}
-    for r in open_rows:
-        if r["b"] not in last:
-            last[r["b"]] = r["b"]
-        if last[r["b"]] == r["b"] and (r["a"] in chiefs or last.get(r["a"]) == r["a"]):
-            last[r["b"]] = r["a"]
-    return done.unionByName(spark.createDataFrame([*last.items()], done.schema)) if last else done
+    while not left.isEmpty():
+        whole, left = settled(left, F.col("a"), F.col("b"), _follow, "ord long, leader long", scratch, f"turn-{turn}", ~F.col("chief"))
+        done = done.unionByName(whole)
+        for _ in range(ROUNDS):
+            if left.isEmpty():
+                break
+            turn += 1
+            front = left.groupBy("b").agg(F.min(F.struct("a", "chief")).alias("f"))
+            follow = scratch.table(front.where("f.chief").select(F.col("b").alias("ord"), F.col("f.a").alias("leader")), f"follow-{turn}")
+            waiting = left.join(follow.select(F.col("ord").alias("b")), "b", "left_anti")
+            rest = scratch.table(waiting.join(follow.select(F.col("ord").alias("a")), "a", "left_anti"), f"rest-{turn}")
+            freed = waiting.select("b").distinct().join(rest.select("b").distinct(), "b", "left_anti").select(F.col("b").alias("ord"), F.col("b").alias("leader"))
+            freed = scratch.table(freed, f"freed-{turn}")
+            done = done.unionByName(follow).unionByName(freed)
+            mark = freed.select(F.col("ord").alias("a"), F.lit(True).alias("_led"))
+            left = scratch.table(rest.join(mark, "a", "left").select("a", "b", (F.col("chief") | F.col("_led").isNotNull()).alias("chief")), f"open-{turn}")
+            scratch.drop(f"rest-{turn}")
+        done = scratch.table(done, f"led-{turn}") if turn % (4 * ROUNDS) == 0 and turn else done  # the plan stays short
+    return done
 
 
 def cluster(rows: DataFrame, across_months: bool = False) -> DataFrame:

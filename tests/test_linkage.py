@@ -7,7 +7,7 @@ from collections import defaultdict
 import pytest
 from pyspark.sql import functions as F
 
-from gatherline.operators import cleanse, editions, linkage
+from gatherline.operators import cleanse, editions, linkage, settle
 from gatherline.plans.scratch import Scratch
 from gatherline.queries.base import events
 
@@ -69,8 +69,14 @@ def greedy(rows, same) -> dict:
     return out
 
 
+@pytest.fixture(params=[settle.WHOLE, 4], ids=["components", "rounds"])
+def way(request, monkeypatch):
+    """Components settled whole in tasks, or, where they may hold four pairs only, worn down by rounds."""
+    monkeypatch.setattr(settle, "WHOLE", request.param)
+
+
 @pytest.mark.parametrize("seed", [1, 2])
-def test_leader_rounds_equal_a_greedy_pass(spark, seed):
+def test_leaders_equal_a_greedy_pass(spark, seed, way):
     rng = random.Random(seed)
     n = 120
     pairs = {(a, b) for _ in range(260) for a, b in [sorted(rng.sample(range(n), 2))]} | {(i, i + 1) for i in range(60, 100)}
@@ -92,7 +98,7 @@ def test_month_blocks_split_and_can_be_joined(spark):
     assert {r.ord: r.cluster for r in linkage.cluster(df, across_months=True).collect()} == {0: 0, 1: 0}
 
 
-def test_clusters_of_derived_events_equal_a_greedy_pass(spark):
+def test_clusters_of_derived_events_equal_a_greedy_pass(spark, way):
     ev = events(spark, "/root/testdata/sf0.001").withColumns({"flags": F.array().cast("array<string>"), "organizer": F.lit("Org"), "state": F.lit("NJ")})
     ev = ev.withColumn("start_date", F.when(F.col("start_date").isNotNull(), F.expr("DATE'2026-05-01' + CAST(customer % 40 AS INT)"))).withColumn("end_date", F.date_add("start_date", (F.col("ord") % 3).cast("int"))).where("ord < 260").cache()
     got = {r.ord: r.cluster for r in linkage.cluster(ev).collect()}
@@ -154,7 +160,7 @@ def test_edition_decisions(spark):
 
 
 @pytest.mark.parametrize("seed", [1, 2, 3])
-def test_assignment_equals_a_greedy_pass(spark, seed):
+def test_assignment_equals_a_greedy_pass(spark, seed, way):
     rng = random.Random(seed)
     pairs = sorted({(rng.randrange(40), rng.randrange(40)) for _ in range(300)})
     rows = [(a, b, float(rng.randrange(6)), i) for i, (a, b) in enumerate(pairs)]
@@ -182,36 +188,75 @@ PAIRS = "a long, b long, score double, n long"
 
 
 def test_assignment_settles_a_block_of_equal_scores_whole(spark):
-    # 1,200 x 1,100 pairs of one score: one mutual pair a round, so over 1,000 rounds without the queues.
+    # 1,200 x 1,100 pairs of one score, more than a task takes: one mutual pair a round, so over 1,000 rounds without the queues.
     one, other = spark.range(1200).withColumnRenamed("id", "a"), spark.range(1100).withColumnRenamed("id", "b")
     rows = one.crossJoin(other).selectExpr("a", "b", "7D AS score", "a * 1000000000 + b AS n")
-    got = {(r.a, r.b) for r in editions.assign(rows, "a", "b", "score", "n", few=0).collect()}
+    got = {(r.a, r.b) for r in editions.assign(rows, "a", "b", "score", "n").collect()}
     assert got == {(i, i) for i in range(1100)}
 
 
 @pytest.mark.parametrize("seed", [1, 2])
-def test_assignment_of_tied_blocks_in_rounds_equals_a_greedy_pass(spark, seed):
-    # Blocks that share sides, three scores; no pair is settled on the driver.
+def test_assignment_of_tied_blocks_equals_a_greedy_pass(spark, seed, way):
+    # Blocks that share sides, three scores.
     rng = random.Random(seed)
     score = {(x, y): float(rng.randrange(3)) for x in range(4) for y in range(4) if rng.random() < 0.8}
     rows = [(a, b, score[a % 4, b % 4], a * 1000 + b) for a in range(60) for b in range(50) if (a % 4, b % 4) in score]
-    got = {(r.a, r.b) for r in editions.assign(spark.createDataFrame(rows, PAIRS), "a", "b", "score", "n", few=0).collect()}
-    assert got == taken_in_order(rows)
-
-
-def test_assignment_of_a_long_chain(spark):
-    # Each pair waits for the one before it: 450 rounds.
-    rows = [(i // 2, (i + 1) // 2, 1.0, i) for i in range(900)]
     got = {(r.a, r.b) for r in editions.assign(spark.createDataFrame(rows, PAIRS), "a", "b", "score", "n").collect()}
-    assert got == taken_in_order(rows) and len(got) == 450
+    assert got == taken_in_order(rows)
 
 
-@pytest.mark.parametrize("n, few", [(1500, 100_000), (40, 0)])
-def test_leaders_of_a_long_chain(spark, n, few):
-    # A path needs a round for every second row; the short one is left to the rounds alone.
+@pytest.mark.parametrize("n, whole", [(200_000, settle.WHOLE), (16, 4)])
+def test_long_chains(spark, monkeypatch, n, whole):
+    """Each pair waits for the one before it: a round for each link, unless the component is settled whole."""
+    monkeypatch.setattr(settle, "WHOLE", whole)
+    chain = spark.range(n).selectExpr("id DIV 2 AS a", "(id + 1) DIV 2 AS b", "1D AS score", "id AS n")
+    got = editions.assign(chain, "a", "b", "score", "n")
+    assert got.count() == n // 2 and got.where("a <> b").count() == 0
     pairs = spark.range(n - 1).selectExpr("id AS a", "id + 1 AS b")
-    got = linkage.leaders(spark.range(n).withColumnRenamed("id", "ord"), pairs, Scratch(spark, "test"), few=few)
-    assert {r.ord: r.leader for r in got.collect()} == {i: i - i % 2 for i in range(n)} and got.count() == n
+    led = linkage.leaders(spark.range(n).withColumnRenamed("id", "ord"), pairs, Scratch(spark, "test"))
+    assert led.count() == n and led.where("leader <> ord - ord % 2").count() == 0
+
+
+def test_followers_of_known_leaders_are_no_component(spark, monkeypatch):
+    """One leader with many followers is as many components as followers: nothing is left to rounds."""
+    monkeypatch.setattr(settle, "WHOLE", 4)
+    left = []
+    monkeypatch.setattr(linkage, "settled", lambda *a: (out := settle.settled(*a), left.append(out[1].count()))[0])
+    pairs = spark.range(1, 5_000).selectExpr("0L AS a", "id AS b")
+    led = linkage.leaders(spark.range(5_000).withColumnRenamed("id", "ord"), pairs, Scratch(spark, "test"))
+    assert led.where("leader <> 0").count() == 0 and led.count() == 5_000 and left == [0]
+
+
+def test_components_are_those_of_a_plain_search(spark):
+    rng = random.Random(2)
+    edges = [(rng.randrange(400), rng.randrange(400)) for _ in range(300)] + [(i, i + 1) for i in range(1_000, 1_300)]
+    up = {i: i for e in edges for i in e}
+
+    def root(i):
+        while up[i] != i:
+            i = up[i]
+        return i
+
+    for a, b in edges:
+        up[root(a)] = root(b)
+    got = {r.node: r.component for r in settle.components(spark.createDataFrame(edges, "a long, b long"), Scratch(spark, "test"), "c").collect()}
+    tied = {i for a, b in edges if a != b for i in (a, b)}
+    assert set(got) == tied
+    assert all((got[i] == got[j]) == (root(i) == root(j)) for i in tied for j in list(tied)[::7])
+
+
+def test_no_pairs_reach_the_driver(spark, monkeypatch):
+    """Whatever the passes collect is small, however many pairs there are."""
+    seen = []
+    for name in ("collect", "toArrow", "toPandas", "toLocalIterator"):
+        kind = type(spark.range(1))
+        real = getattr(kind, name)
+        monkeypatch.setattr(kind, name, lambda self, *a, real=real, **k: (out := real(self, *a, **k), seen.append(len(out) if hasattr(out, "__len__") else 1_001))[0])
+    rng = random.Random(1)
+    pairs = spark.createDataFrame([(rng.randrange(3_000), 3_000 + rng.randrange(3_000), float(rng.randrange(9)), i) for i in range(6_000)], PAIRS)
+    editions.assign(pairs, "a", "b", "score", "n").write.format("noop").mode("overwrite").save()
+    linkage.leaders(spark.range(6_000).withColumnRenamed("id", "ord"), pairs, Scratch(spark, "test")).write.format("noop").mode("overwrite").save()
+    assert all(n <= 1_000 for n in seen)
 
 
 def test_assignment_of_nothing(spark):
@@ -243,7 +288,7 @@ def test_validation_and_keep_best(spark):
     assert [r.ord for r in cleanse.keep_best(df, ["fingerprint"]).collect()] == [4]  # most filled fields, counting the state and the end
 
 
-def test_site_groups_are_assigned_as_by_a_greedy_pass(spark):
+def test_site_groups_are_assigned_as_by_a_greedy_pass(spark, way):
     rng = random.Random(8)
     listings = [(b, f"g{rng.randrange(12)}") for b in range(40)]
     pairs = [(a, b, float(rng.randrange(4, 12)), a * 1000 + b) for a in range(20) for b in range(40) if rng.random() < 0.3]
