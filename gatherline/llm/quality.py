@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from gatherline.llm.blocks import U64, blocks, span_hashes, sums, words
+from gatherline.llm.blocks import SPACE, U64, blocks, span_hashes, words
 from gatherline.llm.training import fold, sample, sigmoid
 
 #: Labelled documents of each class that training sees at most.
@@ -31,43 +31,49 @@ RATE = 40.0
 PRIOR = 40
 
 
-def features(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Hashed words with each document's first, and hashed character n-grams with each document's first."""
+def features(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Buckets of all features of a block, and each one's document: words, n-grams, and one for every word said twice in a row.
+
+    An n-gram lies in a word; its ends may reach the white space before and after it, which counts as a blank.
+    """
+    n = len(offsets) - 1
     starts, ends, firsts = words(data, offsets)
-    hashes = span_hashes(data, starts, ends)
+    hashes, doc = span_hashes(data, starts, ends), np.repeat(np.arange(n), np.diff(firsts))
     word = (hashes % U64(WORD_BUCKETS - 1)).astype(np.int32)
-    # Word bigrams: the pair of a word with itself has one vector of its own, which stands in for the word's.
-    again = np.flatnonzero(hashes[1:] == hashes[:-1]) + 1
-    word[again[~np.isin(again, firsts)]] = WORD_BUCKETS - 1
-    if len(data) < GRAM:
-        return word, firsts, np.zeros(0, np.int32), np.zeros_like(firsts)
-    wide = data.astype(np.uint32)
-    gram = wide[: -GRAM + 1].copy()
-    for k in range(1, GRAM):
-        gram |= wide[k : len(wide) - GRAM + 1 + k] << np.uint32(8 * k)
-    gram = ((gram * np.uint32(2654435761)) >> np.uint32(17)).astype(np.int32) + WORD_BUCKETS
-    # A document's n-grams end with it; one that would run into the next document is left out.
-    inside = np.ones(len(gram), bool)
-    edge = offsets[1:-1]
-    for k in range(1, GRAM):
-        at = edge - k
-        inside[at[(at >= 0) & (at < len(gram))]] = False
-    return word, firsts, gram[inside], np.searchsorted(np.flatnonzero(inside), offsets)
-
-
-def train(texts: list[str], labels: np.ndarray, seed: int = 7) -> np.ndarray:
-    """One number for each bucket (its share of the log-odds) and, last, the bias."""
+    # Word bigrams of a word with itself have a bucket of their own, beside the word's.
+    again = doc[1:][(hashes[1:] == hashes[:-1]) & (doc[1:] == doc[:-1])]
+    found, owner = [word, np.full(len(again), WORD_BUCKETS - 1, np.int32)], [doc, again]
+    if len(data) >= GRAM:
+        blank = SPACE[data]
+        wide = np.where(blank, np.uint32(32), data)
+        m = len(data) - GRAM + 1
+        gram, inside = wide[:m].copy(), np.ones(m, bool)
+        for k in range(1, GRAM):
+            gram |= wide[k : m + k] << np.uint32(8 * k)
+            inside &= ~blank[k : m + k] if k < GRAM - 1 else True
+        of = np.repeat(np.arange(n), np.diff(offsets))
+        inside &= of[:m] == of[GRAM - 1 :]
+        found.append(((gram[inside] * np.uint32(2654435761)) >> np.uint32(17)).astype(np.int32) + WORD_BUCKETS)
+        owner.append(of[:m][inside])
+    return np.concatenate(found), np.concatenate(owner)
+
+
+def shares(data: np.ndarray, offsets: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
+    """For each document of a block its buckets, each once, and how often each was found."""
+    found, owner = features(data, offsets)
+    keys, times = np.unique(owner * (WORD_BUCKETS + GRAM_BUCKETS) + found, return_counts=True)
+    cut = np.searchsorted(keys // (WORD_BUCKETS + GRAM_BUCKETS), np.arange(len(offsets)))
+    return [(keys[a:b] % (WORD_BUCKETS + GRAM_BUCKETS), times[a:b]) for a, b in zip(cut[:-1], cut[1:], strict=True)]
+
+
+def train(documents: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, seed: int = 7) -> np.ndarray:
+    """One number for each bucket (its share of the log-odds) and, last, the bias. documents: as shares() has them."""
     size = WORD_BUCKETS + GRAM_BUCKETS
     table = np.zeros(size + 1, np.float32)
-    if len(texts) == 0 or len(set(labels.tolist())) < 2:
+    if len(documents) == 0 or len(set(labels.tolist())) < 2:
         table[-1] = 0 if len(labels) == 0 else (3.0 if labels[0] else -3.0)
         return table
-    rows = []
-    for _, _, data, offsets in blocks(pa.array(texts)):
-        word, firsts, gram, heads = features(data, offsets)
-        for i in range(len(offsets) - 1):
-            found, times = np.unique(np.concatenate([word[firsts[i] : firsts[i + 1]], gram[heads[i] : heads[i + 1]]]), return_counts=True)
-            rows.append((found, (times / (times.sum() + PRIOR)).astype(np.float32)))
+    rows = [(found.astype(np.int64), (times / (times.sum() + PRIOR)).astype(np.float32)) for found, times in documents]
     rng = np.random.default_rng(seed)
     vectors = rng.normal(0, 0.1 / WIDTH, (size, WIDTH)).astype(np.float32)
     output, bias = rng.normal(0, 0.5, (WIDTH, 2)).astype(np.float32), np.zeros(2, np.float32)
@@ -96,17 +102,27 @@ def train(texts: list[str], labels: np.ndarray, seed: int = 7) -> np.ndarray:
 
 def score_block(table: np.ndarray, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     """Probability of class 1 for each document of a block."""
-    word, firsts, gram, heads = features(data, offsets)
-    n = np.diff(firsts) + np.diff(heads)
-    total = sums(table[word], firsts) + sums(table[gram], heads)
-    return sigmoid(total / (n + PRIOR) + table[-1])
+    found, owner = features(data, offsets)
+    n = len(offsets) - 1
+    return sigmoid(np.bincount(owner, table[found], n) / (np.bincount(owner, minlength=n) + PRIOR) + table[-1])
 
 
 def fit(documents: DataFrame, labels: DataFrame) -> np.ndarray:
-    """Learns from at most SAMPLE_PER_CLASS documents a class outside the held-out fold."""
-    rows = sample(documents, labels, "quality", 3, 1, SAMPLE_PER_CLASS).collect()
-    rows.sort(key=lambda r: (r.y, r.t))
-    return train([r.t for r in rows], np.array([r.y for r in rows], np.int64))
+    """Learns from at most SAMPLE_PER_CLASS documents a class outside the held-out fold.
+
+    Texts stay in the tasks; of each its buckets and their numbers go to the driver, six bytes for each of at most
+    WORD_BUCKETS + GRAM_BUCKETS.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for low, high, data, offsets in blocks(batch.column(0)):
+                found, times = zip(*shares(data, offsets), strict=True)
+                yield pa.record_batch([batch.column(1).slice(low, high - low), pa.array([f.astype("<u2").tobytes() for f in found], pa.binary()), pa.array([t.astype("<u4").tobytes() for t in times], pa.binary())], ["y", "found", "times"])
+
+    rows = sample(documents, labels, "quality", 3, 1, SAMPLE_PER_CLASS).mapInArrow(run, "y int, found binary, times binary").collect()
+    rows = sorted((r.y, bytes(r.found), bytes(r.times)) for r in rows)
+    return train([(np.frombuffer(f, "<u2"), np.frombuffer(t, "<u4")) for _, f, t in rows], np.array([y for y, _, _ in rows], np.int64))
 
 
 def score(documents: DataFrame, table: np.ndarray, column: str = "quality_score") -> DataFrame:

@@ -1,18 +1,19 @@
 """Toxicity: a logistic classifier on word presence, regularised by counterfactuals.
 
-Words and beginnings of words that tell the classes apart in a bounded labelled sample are features (abuse is inflected
-and compounded, so a stem says more than the words seen), and every identity term is one. Training
+Words and beginnings of words that tell the classes apart in a bounded labelled sample, for either class, are features
+(abuse is inflected and compounded, so a stem says more than the words seen), and every identity term is one. Training
 adds to the loss, for each labelled text that names a group, the squared change of the whole score when the term is
-swapped for the next of its set and when it is left out; the changed texts are read as any text is, so the beginnings of
-a term count too. A neutral mention then weighs like any other and does not raise the score.
+swapped for each other of its set and when it is left out; the changed texts are read as any text is, so the beginnings
+of a term count too. A neutral mention then weighs like any other and does not raise the score.
+
+Texts stay in the tasks: words are counted there, and of each labelled text only the numbers of the features it has, and
+of those that its changes add or take, go to the driver, at most two bytes a feature for each text and change.
 """
 
 from __future__ import annotations
 
 import re
-from collections import Counter
 from collections.abc import Iterator
-from itertools import batched
 
 import numpy as np
 import pyarrow as pa
@@ -22,10 +23,12 @@ from pyspark.sql.types import DoubleType, StructField, StructType
 
 from gatherline.llm.blocks import LOWER, blocks, letter_words, span_hashes
 from gatherline.llm.training import adam, fold, sample, sigmoid
+from gatherline.plans.scratch import Scratch
 
 #: Labelled documents of each class that training sees at most.
 SAMPLE_PER_CLASS = 2500
-#: A word is a feature if at least MIN_DOCUMENTS have it and its log-odds reach ODDS_LEAST and Z_LEAST standard errors.
+#: A word is a feature if at least MIN_DOCUMENTS have it and its log-odds, for either class, reach ODDS_LEAST and Z_LEAST
+#: standard errors; of each class at most MOST_FEATURES are.
 MIN_DOCUMENTS, ODDS_LEAST, Z_LEAST, MOST_FEATURES = 5, 2.5, 3.2, 4096
 THRESHOLD = 0.3
 #: Bytes of the beginnings that longer words also count by, and how much more a toxic text weighs in training.
@@ -79,6 +82,14 @@ IDENTITY = [
 ]
 
 
+def lowered(data: np.ndarray) -> np.ndarray:
+    """UTF-8 bytes with the capitals of A-Z and of Latin-1 (À to Þ) made small."""
+    out = LOWER[data]
+    capital = np.flatnonzero((data[:-1] == 0xC3) & (data[1:] >= 0x80) & (data[1:] <= 0x9E) & (data[1:] != 0x97)) + 1
+    out[capital] += 32
+    return out
+
+
 def _hash_words(texts: list[str]) -> np.ndarray:
     joined = "\n".join(texts).encode()
     data = np.frombuffer(joined, np.uint8)
@@ -88,7 +99,7 @@ def _hash_words(texts: list[str]) -> np.ndarray:
 
 def presence(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all words of a block and of their beginnings, lower-cased, and each one's document."""
-    data = LOWER[data]
+    data = lowered(data)
     starts, ends, firsts = letter_words(data, offsets)
     doc = np.repeat(np.arange(len(offsets) - 1), np.diff(firsts))
     hashes, docs = [span_hashes(data, starts, ends) & ~STEM], [doc]
@@ -99,14 +110,13 @@ def presence(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndar
     return np.concatenate(hashes), np.concatenate(docs)
 
 
-def counterfactuals(texts: list[str], identity: list[list[str]]) -> Iterator[tuple[str, str]]:
-    """(text, changed text) for each text and each identity term in it, and for each term alone: swapped, and left out."""
-    after = {a.encode(): b.encode() for g in identity for a, b in zip(g, g[1:] + g[:1], strict=True)}
-    for t in [*texts, *(term for g in identity for term in g)]:
-        parts = re.split(rb"([a-z\x80-\xff]+)", t.encode().translate(LOWER.tobytes()))
-        for term in sorted(after.keys() & set(parts[1::2])):
-            for new in (after[term], b""):
-                yield t, b"".join(new if p == term else p for p in parts).decode()
+def counterfactuals(text: str, identity: list[list[str]]) -> Iterator[str]:
+    """The text with each identity term in it swapped for each other of its set, and left out."""
+    others = {a.encode(): [b.encode() for b in g if b != a] for g in identity for a in g}
+    parts = re.split(rb"([a-z\x80-\xff]+)", lowered(np.frombuffer(text.encode(), np.uint8)).tobytes())
+    for term in sorted(others.keys() & set(parts[1::2])):
+        for new in (*others[term], b""):
+            yield b"".join(new if p == term else p for p in parts).decode(errors="replace")
 
 
 class Model:
@@ -132,81 +142,129 @@ class Model:
         return sigmoid(self.bias + np.bincount(doc, self.weights[feature], len(offsets) - 1))
 
 
-def changes(shape: Model, pairs: Iterator[tuple[str, str]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(pair, feature, 1 or -1) where just the first, or just the second, text of a pair has the feature."""
-    found, low = [], 0
-    for some in batched(pairs, 256):
-        sets = []
-        for k in (0, 1):
-            keys = []
-            for at, _, data, offsets in blocks(pa.array([p[k] for p in some])):
-                doc, feature = shape.found(*presence(data, offsets))
-                keys.append((doc + (low + at)) * len(shape.hashes) + feature)
-            sets.append(np.concatenate(keys))
-        for one, other, s in ((*sets, 1.0), (*sets[::-1], -1.0)):
-            only = np.setdiff1d(one, other, assume_unique=True)
-            found.append((only, np.full(len(only), s)))
-        low += len(some)
-    keys, sign = (np.concatenate([f[k] for f in found]) if found else np.zeros(0, np.int64) for k in (0, 1))
-    order = np.argsort(keys, kind="stable")
-    return keys[order] // len(shape.hashes), keys[order] % len(shape.hashes), sign[order].astype(float)
-
-
-def train(texts: list[str], labels: np.ndarray, identity: list[list[str]] = IDENTITY, penalty: float = 4.0) -> Model:
-    """Learns the weights; labels are 0 or 1. Without both classes the score is that class's for every text."""
-    if len(texts) == 0 or len(set(labels.tolist())) < 2:
-        return Model(np.zeros(0, np.uint64), np.zeros(0), -3.0 if len(labels) == 0 or not labels[0] else 3.0)
-    counts = (Counter(), Counter())
-    for low, _, data, offsets in blocks(pa.array(texts)):
+def tally(texts: pa.Array, labels: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct hashes of the words and beginnings in the texts, and how many texts of label 1 and of label 0 have each."""
+    found = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
+    for low, _, data, offsets in blocks(texts):
         hashes, doc = presence(data, offsets)
         order = np.lexsort((hashes, doc))
         hashes, doc = hashes[order], doc[order]
         new = np.ones(len(hashes), bool)
         new[1:] = (hashes[1:] != hashes[:-1]) | (doc[1:] != doc[:-1])
-        for y in (0, 1):
-            counts[y].update(hashes[new & (labels[low + doc] == y)].tolist())
-    n = [int((labels == y).sum()) for y in (0, 1)]
-    picked = []
-    for h in counts[0].keys() | counts[1].keys():
-        a, b = counts[1][h], counts[0][h]
-        if a + b >= MIN_DOCUMENTS:
-            odds = np.log((a + 0.5) / (n[1] - a + 0.5)) - np.log((b + 0.5) / (n[0] - b + 0.5))
-            error = np.sqrt(1 / (a + 0.5) + 1 / (n[1] - a + 0.5) + 1 / (b + 0.5) + 1 / (n[0] - b + 0.5))
-            if odds >= ODDS_LEAST and odds / error >= Z_LEAST:
-                picked.append((odds / error, h))
-    picked = [h for _, h in sorted(picked, reverse=True)[:MOST_FEATURES]]
-    groups = [_hash_words(g) for g in identity]
-    hashes = np.unique(np.concatenate([np.array(picked, np.uint64), *groups]))
-    shape = Model(hashes, np.zeros(len(hashes)), 0.0)
-    docs, features = [], []
-    for low, _, data, offsets in blocks(pa.array(texts)):
-        doc, feature = shape.found(*presence(data, offsets))
-        docs.append(doc + low)
-        features.append(feature)
-    doc, feature = np.concatenate(docs), np.concatenate(features)
-    # What a change of a term adds to the features of its text, and takes from them.
-    change, changed, sign = changes(shape, counterfactuals(texts, identity))
-    n_changes = int(change[-1]) + 1 if len(change) else 0
+        found[0].append(hashes[new])
+        found[1].append(labels[low + doc[new]])
+    unique, place = np.unique(np.concatenate(found[0]), return_inverse=True)
+    y = np.concatenate(found[1])
+    return unique, np.stack([np.bincount(place, y == k, len(unique)) for k in (1, 0)], axis=1).astype(np.int64)
+
+
+def strength(have: np.ndarray, texts: np.ndarray) -> np.ndarray:
+    """Log-odds in standard errors for each row of (texts of label 1, of label 0) that have a word, 0 where it is no feature."""
+    a, n = have + 0.5, texts - have + 0.5
+    odds = np.log(a[:, 0] / n[:, 0]) - np.log(a[:, 1] / n[:, 1])
+    z = odds / np.sqrt((1 / a + 1 / n).sum(axis=1))
+    return np.where((have.sum(axis=1) >= MIN_DOCUMENTS) & (np.abs(odds) >= ODDS_LEAST) & (np.abs(z) >= Z_LEAST), z, 0.0)
+
+
+def shape(picked: np.ndarray, identity: list[list[str]]) -> Model:
+    """A model without weights: the picked features, and all identity terms."""
+    hashes = np.unique(np.concatenate([np.asarray(picked, np.uint64), *(_hash_words(g) for g in identity)]))
+    return Model(hashes, np.zeros(len(hashes)), 0.0)
+
+
+def read(model: Model, texts: list[str], identity: list[list[str]]) -> list[tuple[bytes, list[bytes], list[bytes]]]:
+    """Of each text the features it has, and for each of its changes those taken and those added (numbers, two bytes each)."""
+    out = []
+    for text in texts:
+        some = [text, *counterfactuals(text, identity)]
+        sets = [np.zeros(0, np.int64)] * len(some)
+        for low, high, data, offsets in blocks(pa.array(some, pa.string())):
+            doc, feature = model.found(*presence(data, offsets))
+            for i, part in enumerate(np.split(feature, np.searchsorted(doc, np.arange(1, high - low)))):
+                sets[low + i] = part
+        pack = lambda x: x.astype("<u2").tobytes()
+        out.append((pack(sets[0]), [pack(np.setdiff1d(sets[0], x)) for x in sets[1:]], [pack(np.setdiff1d(x, sets[0])) for x in sets[1:]]))
+    return out
+
+
+def solve(model: Model, rows: list[tuple[bytes, list[bytes], list[bytes]]], labels: np.ndarray, identity: list[list[str]] = IDENTITY, penalty: float = 4.0) -> Model:
+    """The weights that fit the labels of the texts in ``rows`` and keep their changes, and those of bare terms, small."""
+    numbers = lambda packed: [np.frombuffer(x, "<u2").astype(np.int64) for x in packed]
+    spread = lambda parts: (np.repeat(np.arange(len(parts)), [len(x) for x in parts]), np.concatenate([np.zeros(0, np.int64), *parts]))
+    doc, feature = spread(numbers(r[0] for r in rows))
+    changes = [*rows, *read(model, [term for g in identity for term in g], identity)]
+    taken, added = (spread(numbers(x for r in changes for x in r[k])) for k in (1, 2))
+    change, changed = (np.concatenate([taken[k], added[k]]) for k in (0, 1))
+    sign = np.concatenate([np.ones(len(taken[0])), -np.ones(len(added[0]))])
+    n_changes = sum(len(r[1]) for r in changes)
     balance = np.where(labels == 1, TOXIC_WEIGHT, 1.0)
     balance /= balance.sum()
 
     def gradient(w: np.ndarray) -> np.ndarray:
-        error = (sigmoid(w[-1] + np.bincount(doc, w[feature], len(texts))) - labels) * balance
-        g = np.append(np.bincount(feature, error[doc], len(hashes)), error.sum())
+        error = (sigmoid(w[-1] + np.bincount(doc, w[feature], len(rows))) - labels) * balance
+        g = np.append(np.bincount(feature, error[doc], len(model.hashes)), error.sum())
         g[:-1] += 2e-4 * w[:-1]
         gap = np.bincount(change, sign * w[changed], n_changes)
-        g[:-1] += penalty / len(texts) * np.bincount(changed, sign * gap[change], len(hashes))
+        g[:-1] += penalty / len(rows) * np.bincount(changed, sign * gap[change], len(model.hashes))
         return g
 
-    weights = adam(gradient, np.zeros(len(hashes) + 1), 400, 0.05)
-    return Model(hashes, weights[:-1], float(weights[-1]))
+    weights = adam(gradient, np.zeros(len(model.hashes) + 1), 400, 0.05)
+    return Model(model.hashes, weights[:-1], float(weights[-1]))
+
+
+def constant(labels: np.ndarray) -> Model | None:
+    """The model of a sample that lacks a class: every text has that of the other; None where both are there."""
+    if len(labels) and len(set(labels.tolist())) == 2:
+        return None
+    return Model(np.zeros(0, np.uint64), np.zeros(0), -3.0 if len(labels) == 0 or not labels[0] else 3.0)
+
+
+def train(texts: list[str], labels: np.ndarray, identity: list[list[str]] = IDENTITY, penalty: float = 4.0) -> Model:
+    """Learns from texts at hand; labels are 0 or 1. Without both classes the score is that class's for every text."""
+    if only := constant(labels):
+        return only
+    hashes, have = tally(pa.array(texts), labels)
+    z = strength(have, np.array([(labels == 1).sum(), (labels == 0).sum()]))
+    order = np.lexsort((hashes, -np.abs(z)))
+    picked = np.concatenate([hashes[order][s[order]][:MOST_FEATURES] for s in (z > 0, z < 0)])
+    model = shape(picked, identity)
+    return solve(model, read(model, texts, identity), labels, identity, penalty)
 
 
 def fit(documents: DataFrame, labels: DataFrame) -> Model:
     """Learns from at most SAMPLE_PER_CLASS documents a class outside the held-out fold."""
-    rows = sample(documents, labels, "toxic", 4, 2, SAMPLE_PER_CLASS).collect()
-    rows.sort(key=lambda r: (r.y, r.t))
-    return train([r.t for r in rows], np.array([r.y for r in rows], np.int64))
+    scratch = Scratch(documents.sparkSession, "toxicity")
+    known = scratch.table(sample(documents, labels, "toxic", 4, 2, SAMPLE_PER_CLASS), "sample")
+    sizes = {r.y: r["count"] for r in known.groupBy("y").count().collect()}
+    if only := constant(np.array([*sizes])):
+        return only
+    texts = np.array([sizes[1], sizes[0]])
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            hashes, have = tally(batch.column(0), batch.column(1).to_numpy())
+            yield pa.record_batch([pa.array(hashes.view(np.int64)), pa.array(have[:, 0]), pa.array(have[:, 1])], ["h", "one", "none"])
+
+    def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            z = strength(np.stack([batch.column(1).to_numpy(), batch.column(2).to_numpy()], axis=1), texts)
+            some = pa.array(np.flatnonzero(z))
+            yield pa.record_batch([batch.column(0).take(some), pa.array(z[z != 0])], ["h", "z"])
+
+    def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(len(batch)):
+                ((has, taken, added),) = read(model, [batch.column(0)[i].as_py()], IDENTITY)
+                lists = pa.list_(pa.binary())
+                yield pa.record_batch([batch.column(1).slice(i, 1), pa.array([has], pa.binary()), pa.array([taken], lists), pa.array([added], lists)], ["y", "has", "taken", "added"])
+
+    counted = known.mapInArrow(count, "h long, one long, none long").groupBy("h").agg(F.sum("one").alias("one"), F.sum("none").alias("none"))
+    judged = counted.mapInArrow(judge, "h long, z double")
+    picked = [r.h for side in ("z > 0", "z < 0") for r in judged.where(side).orderBy(F.desc(F.abs("z")), "h").limit(MOST_FEATURES).select("h").collect()]
+    model = shape(np.array(picked, np.int64).view(np.uint64), IDENTITY)
+    rows = known.mapInArrow(features, "y int, has binary, taken array<binary>, added array<binary>").collect()
+    rows = sorted((r.y, bytes(r.has), [*map(bytes, r.taken)], [*map(bytes, r.added)]) for r in rows)
+    return solve(model, [r[1:] for r in rows], np.array([r[0] for r in rows], np.int64))
 
 
 def score(documents: DataFrame, model: Model, column: str = "toxic_score") -> DataFrame:
