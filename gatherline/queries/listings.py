@@ -306,3 +306,63 @@ def fld_12(spark, sf_dir):
     read = events(spark, sf_dir).where("name <> ''").select("ord", "city", page_places.venue_from_page(said).alias("p"))
     merged = page_places.merge_page_place(F.col("city"), F.when(F.col("city") != "", "NJ"), F.col("p"))
     return read.select("ord", F.coalesce("p.venue", F.lit("-")).alias("venue"), F.col("p.city").alias("city"), F.col("p.state").alias("state"), F.coalesce(merged["venue"], F.lit("-")).alias("agreed"))
+
+
+@query("src_24_event_blocks")
+def src_24_blocks(spark, sf_dir):
+    """The smallest named block around every text of a page that holds the mark, by its element tree; tested against a plain walk."""
+    from gatherline.operators import site_pages
+
+    blocks = site_pages.page_blocks(table(spark, sf_dir, "pages"), r"\bthat\b")
+    return blocks.select("page_id", "block", "tag", F.coalesce("title", F.lit("-")).alias("title"), F.md5("said").alias("said_md5"))
+
+
+@query("src_26_site_walk")
+def src_26_walk(spark, sf_dir):
+    """Every landed page's site, walked from the page: what is visited, and the contacts found; tested against a plain loop."""
+    from gatherline.functions.pages import host
+    from gatherline.operators import site_walk
+
+    pages_ = table(spark, sf_dir, "pages")
+    sites = pages_.groupBy(host(F.col("url")).alias("organizer")).agg(F.min_by("url", F.struct(F.length("url"), "url")).alias("home"), (F.max("page_id") % 2 == 0).alias("qualifies"))
+    visits, _, found = site_walk.crawl(sites, pages_.select("url", "html"), "2026-05-01")
+    seen = visits.groupBy("organizer").agg(F.count("*").alias("visited"), F.max("round").alias("rounds"))
+    return seen.join(found, "organizer").select("organizer", "visited", "rounds", "main_email", "main_phone", "vendor_email")
+
+
+@query(
+    "src_12_layouts",
+    EV
+    + """, k AS (SELECT *, ['mlt', 'apex', 'buku', 'pll', 'trilogy', 'victory', 'hogans', 'ml8', 'primetime', 'adrenaline', 'nlf'][1 + ord % 11] AS layout, DATE '2026-06-06' + CAST(ord % 200 AS INT) AS d, 'Harvest Cup ' || chr(CAST(65 + customer % 26 AS INT)) || chr(CAST(65 + ord % 26 AS INT)) || ' Classic' AS cup FROM ev)
+  SELECT ord, layout, cup AS name, CAST(d AS VARCHAR) AS start_date, CAST(CASE WHEN layout IN ('adrenaline', 'ml8') OR day(d + 1) = 1 THEN d ELSE d + 1 END AS VARCHAR) AS end_date, CASE layout WHEN 'trilogy' THEN 'NJ' ELSE 'Elm Falls, NJ' END AS place FROM k""",
+)
+def src_12(spark, sf_dir):
+    """Pages of eleven layouts, one for each listing, read by one plan."""
+    from gatherline.operators import layouts
+
+    day = F.date_add(F.lit("2026-06-06").cast("date"), (F.col("ord") % 200).cast("int"))
+    letter = lambda c: F.char((65 + F.col(c) % 26).cast("int"))
+    rows = events(spark, sf_dir).select("ord", day.alias("d"), F.concat(F.lit("Harvest Cup "), letter("customer"), letter("ord"), F.lit(" Classic")).alias("cup"))
+    two = F.when(F.dayofmonth(F.date_add("d", 1)) == 1, F.date_format("d", "MMMM d, yyyy")).otherwise(F.concat(F.date_format("d", "MMMM d"), F.lit("-"), F.dayofmonth(F.date_add("d", 1)).cast("string"), F.date_format("d", ", yyyy")))
+    rows = rows.withColumn("two", two)
+    cup, date, town = F.col("cup"), F.col("two"), F.lit("Elm Falls, NJ")
+    month, number, year = F.date_format("d", "MMMM"), F.dayofmonth("d").cast("string"), F.date_format("d", "yyyy")
+    say = lambda *x: F.array(*[F.lit(v) if isinstance(v, str) else v for v in x])
+    pages_of = {
+        "mlt": say("Tournament", cup, date, town, "Boys"),
+        "apex": say("Boys Tournaments", cup, date, "2030", "Location", town, "Past Events", "Old Cup", "May 2, 2025"),
+        "buku": say(date, cup, town, "View Event"),
+        "pll": say(cup, F.concat(date, F.lit("  |  "), town), "BOYS 2035-2028", "Find Out More"),
+        "trilogy": say(F.concat(cup, F.lit(" "), date, F.lit(" | NJ | GIRLS"))),
+        "victory": say(date, "Learn More", cup, town, "View Event"),
+        "hogans": say(cup, F.concat(F.lit("Join us on "), date, F.lit(" for games")), town),
+        "ml8": say(cup, month, month, number, "&", year, town),
+        "primetime": say(cup, date, town, "2030-2034"),
+        "adrenaline": say(F.date_format("d", "MMM"), number, cup, "2027 - 2032", town, "Boys Only"),
+        "nlf": say(cup, F.concat(F.lit("Dates: "), date), town),
+    }
+    which = F.element_at(F.array(*map(F.lit, pages_of)), (F.col("ord") % 11 + 1).cast("int"))
+    lines = F.coalesce(*[F.when(F.col("layout") == k, v) for k, v in pages_of.items()])
+    made = rows.withColumn("layout", which).select(F.col("ord").alias("page_id"), "layout", lines.alias("lines"))
+    out = layouts.layout_events(made, "2026-06-01")
+    return out.select(F.col("page_id").alias("ord"), "layout", "name", F.col("start").cast("string").alias("start_date"), F.col("end").cast("string").alias("end_date"), "place")
