@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from gatherline import vocab
 from gatherline.functions.names import squeeze
 from gatherline.functions.pages import spots
-from gatherline.functions.places import STREET, addresses, state_code
+from gatherline.functions.places import STREET, address_key, addresses, state_code, town_states
 from gatherline.functions.values import let, text
 from gatherline.operators.listings import venue_before
 
@@ -110,6 +110,54 @@ def venue_from_page(x: Column) -> Column:
     return F.get(found, F.lit(0))
 
 
+SITE = "struct<venue:string,city:string,state:string,address:string>"
+#: Characters of a section of venues at most.
+SECTION = 900
+
+
+def section_sites(x: Column) -> Column:
+    """array<struct<venue, city, state, address>> of all places in a page's sections of venues, each address once.
+
+    A section runs from its heading to the next section's words; the positions of its addresses cut it, and what stands
+    between one address and the next is the next one's venue, without map links, division notes and the town before.
+    """
+    said = squeeze(F.regexp_replace(text(x), r"\b([A-Z])\.([A-Z])\.", "$1$2"))
+
+    def of_section(section: Column) -> Column:
+        def cut(found: Column) -> Column:
+            def one(a: Column, i: Column) -> Column:
+                low = F.when(i == 0, 0).otherwise(F.get(found, i - 1)["end"])
+                before = F.regexp_replace(F.substring(section, low + 1, a["start"] - low), r"^.*,\s*[A-Z]{2}\b\.?", "")
+                name = _edges(squeeze(F.regexp_replace(before, vocab.VENUE_NOTES, " ")))
+                name = let(name, lambda n: F.when(F.length(n) > 70, _edges(F.element_at(F.split(n, r"[.!?]\s+"), -1))).otherwise(n))
+                address = F.regexp_replace(squeeze(a["value"]), "[.,]+$", "")
+                town = F.try_element_at(town_states(address), F.lit(-1))
+                venue = let(name, lambda n: F.when(F.length(n).between(3, 70) & ~n.rlike(vocab.NO_VENUE), n))
+                return F.struct(venue.alias("venue"), F.regexp_extract(town, r"^(.*), [A-Z]{2}$", 1).alias("city"), F.right(town, F.lit(2)).alias("state"), F.when(town.isNotNull(), address).alias("address")).cast(SITE)
+
+            return F.transform(found, one)
+
+        return let(spots(section, vocab.ADDRESS), cut)
+
+    def section(t: Column, s: Column) -> Column:
+        rest = F.substring(t, s["end"] + 1, F.lit(SECTION))
+        return let(F.try_element_at(F.filter(spots(rest, vocab.SECTION_END), lambda e: e["start"] >= 5), F.lit(1))["start"], lambda end: F.when(end.isNull(), rest).otherwise(F.substring(rest, F.lit(1), end)))
+
+    whole = let(said, lambda t: F.flatten(F.transform(spots(t, vocab.SITE_SECTION), lambda s: let(section(t, s), of_section))))
+    known = let(whole, lambda w: F.filter(w, lambda p: p["address"].isNotNull()))
+    return let(F.transform(known, lambda p: F.struct(address_key(p["address"]).alias("k"), p.alias("p"))), lambda w: F.transform(F.filter(w, lambda r, i: ~F.exists(F.slice(w, 1, i), lambda e: e["k"] == r["k"])), lambda r: r["p"]))
+
+
+def more_sites(x: Column, known: Column, state: Column) -> Column:
+    """The places of a page's sections, in the event's state where that is given, if they are more than the ``known`` ones (array of such places) and more than one; else those."""
+    found = F.filter(section_sites(x), lambda p: (text(state) == "") | (p["state"] == state))
+    return let(found, lambda f: F.when(F.size(f) > F.greatest(F.lit(1), F.size(known)), f).otherwise(known))
+
+
+def _edges(x: Column) -> Column:
+    return F.regexp_replace(x, r"^[ :,.\-–|]+|[ :,.\-–|]+$", "")
+
+
 def merge_page_place(city: Column, state: Column, page: Column) -> Column:
     """The listing's place with what its page says: the listing's town wins, the page's fills in where there is none.
 

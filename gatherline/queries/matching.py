@@ -144,7 +144,8 @@ def edition_pairs(spark, sf_dir):
     e = editions.prepare(listed_parts(spark, sf_dir).withColumns({"sites": F.array("site"), "points": F.array().cast("array<struct<lat:double,lng:double>>")}))
     side = lambda r: e.where(f"ord % 2 = {r}").select("ord", "organizer", "start", F.struct(*e.columns).alias("x"))
     pairs = editions.within_days(side(0), side(1), ["organizer"], "start", "start", editions.MOST_DAYS)
-    return pairs.select(F.col("ord").alias("a"), F.col("ord_r").alias("b"), "x", "x_r", editions.edition_score("x", "x_r").alias("r"))
+    told = editions.with_evidence(pairs.select(F.col("ord").alias("a"), F.col("ord_r").alias("b"), "x", "x_r"), "x", "x_r")
+    return told.select("a", "b", "x", "x_r", editions.edition_score("x", "x_r", "_evidence").alias("r"))
 
 
 @query("sco_01_edition_score", EDITION + " SELECT a, b, CAST(s AS DOUBLE) AS score, decision, dd AS days_apart FROM ed")
