@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from gatherline.functions.pages import SKIP_LINK, page_lines, page_title
+from gatherline import vocab
+from gatherline.functions.pages import FREE_MAIL, SKIP_LINK, page_lines, page_title
 from gatherline.functions.values import text
-from gatherline.queries.base import D_ANCHOR, D_BARE, D_LINES, EV, d_plain_html, events, q, query, table
+from gatherline.queries.base import D_ANCHOR, D_BARE, D_LINES, EV, d_list, d_plain_html, events, q, query, table
 from gatherline.sources import landed, sinks
 from gatherline.streaming import flows
 
@@ -198,3 +199,25 @@ def str_03(spark, sf_dir):
 def src_28(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").where("text IS NOT NULL")
     return docs.select("doc_id", F.size(F.array_distinct(F.regexp_extract_all(F.lower(text("text")), F.lit("([a-z0-9.-]+[.]com)"), F.lit(1)))).alias("domains"))
+
+
+_ADDRESS_SQL = q(vocab.SITE_ADDRESS)
+_HINTED = """SELECT doc_id, CASE doc_id % 6 WHEN 0 THEN coalesce(text, '') WHEN 1 THEN coalesce(text, '') || ' hosted by Otter Club ' || CAST(doc_id % 7 AS VARCHAR(3)) || '. Mail Info@Otter' || CAST(doc_id % 7 AS VARCHAR(3)) || '.org or x@gmail.com' WHEN 2 THEN coalesce(text, '') || ' see https://www.elm' || CAST(doc_id % 5 AS VARCHAR(3)) || '.org/rules and www.tourneymachine.com/x'
+  WHEN 3 THEN coalesce(text, '') || ' presented by the Pine Valley Lacrosse Club' WHEN 4 THEN 'a@b' || CAST(doc_id % 3 AS VARCHAR(3)) || '.net http://b' || CAST(doc_id % 3 AS VARCHAR(3)) || '.net A@b' || CAST(doc_id % 3 AS VARCHAR(3)) || '.net' END AS text FROM $documents"""
+
+
+@query(
+    "src_28_hints",
+    f"""WITH d AS ({_HINTED.replace("$documents", "documents")}), r AS (SELECT doc_id, list_distinct(list_transform(regexp_extract_all(coalesce(text, ''), {q(vocab.EMAIL)}), lambda e: lower(e))) AS mails,
+    list_transform(regexp_extract_all(coalesce(text, ''), {_ADDRESS_SQL}, 1), lambda h: lower(h)) AS hosts, len(regexp_extract_all(coalesce(text, ''), {q(vocab.HOSTED_BY)}, 1)) AS named FROM d),
+  m AS (SELECT doc_id, unnest(list_distinct(list_concat(list_transform(mails, lambda e: regexp_replace(split_part(e, '@', 2), '\\.+$', '')), hosts))) AS domain FROM r),
+  k AS (SELECT m.doc_id, domain, len(list_filter(mails, lambda e: regexp_replace(split_part(e, '@', 2), '\\.+$', '') = domain)) AS emails, len(list_filter(hosts, lambda h: h = domain)) AS addresses FROM m JOIN r USING (doc_id)
+    WHERE NOT list_contains({d_list(FREE_MAIL)}, domain) AND NOT regexp_matches(domain, {q(vocab.PLATFORM_HOST)}) AND NOT ends_with(domain, '.pdf'))
+  SELECT doc_id, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY emails DESC, domain) AS INT) AS rank, domain, CAST(emails AS INT) AS emails, CAST(addresses AS INT) AS addresses, least(3, named)::INT AS named, CASE WHEN emails > 0 THEN 0.6::DOUBLE ELSE 0.45::DOUBLE END AS confidence FROM k JOIN r USING (doc_id)
+  UNION ALL SELECT doc_id, 1::INT, '-', 0::INT, 0::INT, least(3, named)::INT, 0.4::DOUBLE FROM r WHERE named > 0 AND doc_id NOT IN (SELECT doc_id FROM k)""",
+)
+def src_28_hints(spark, sf_dir):
+    """Emails, site addresses and hosts in the documents' texts; to most of them some are added, as the table has few."""
+    made = spark.sql(_HINTED.replace("$documents", "{documents}"), documents=table(spark, sf_dir, "documents"))
+    out = landed.document_hints(made)
+    return out.select("doc_id", "rank", F.coalesce("domain", F.lit("-")).alias("domain"), F.size("emails").alias("emails"), "addresses", F.size("hosted_by").alias("named"), "confidence")
