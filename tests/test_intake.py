@@ -155,7 +155,7 @@ def test_ranked_links_of_a_long_page(spark):
 
 def test_document_hints(spark):
     rows = [
-        (1, "hosted by the Otter Club Inc. Mail Info@Otter.org, info@otter.org or x@gmail.com; http://www.otter.org/rules www.elm.org"),
+        (1, "hosted by the Otter Club Inc. mail Info@Otter.org, info@otter.org or x@gmail.com; http://www.otter.org/rules www.elm.org"),
         (2, "presented by Pine Valley Lacrosse"), (3, None), (4, ""), (5, "register at https://www.tourneymachine.com/x or www.events.leagueapps.com"), (6, "see www.b.org and www.a.org"), (7, "hosted by nobody in particular"),
     ]
     got = {(r.doc_id, r.rank): (r.domain, r.emails, r.addresses, r.hosted_by, r.confidence) for r in landed.document_hints(spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "'x' AS rank", "'y' AS domain")).collect()}
