@@ -81,28 +81,30 @@ def matching_pairs(classes: DataFrame, across_months: bool = False) -> DataFrame
 
     Rows meet on sport, organiser and start within the month block (or, across_months, over its border too), and on a
     shared word of their venues, or, where one has none, through a key of those without. A day's events of one organiser
-    at one venue word are few; the hot key of all rows of an organiser is never paired as a whole.
+    at one venue word are few; the hot key of all rows of an organiser is never paired as a whole. Each pair is judged
+    once, where it is met first, so nothing is grouped afterwards.
     """
     span = F.coalesce(F.datediff("end_date", "start_date"), F.lit(0))
     span = span if across_months else F.least(span, F.lit(31))  # a block is one month, further days meet nothing
-    days = F.sequence(F.date_sub("start_date", 1), F.date_add("start_date", F.greatest(span, F.lit(0)) + 1))
-    words = F.col("_words")
-    own = F.when(F.size(words) > 0, F.transform(words, lambda w: F.concat(F.lit("v:"), w))).otherwise(F.array(F.lit("none")))
-    rows = classes.where("start_date IS NOT NULL").select("ord", F.struct(*READ).alias("r"), days.alias("days"), own.alias("keys"), (F.size(words) == 0).alias("bare"))
-    if not across_months:
-        rows = rows.withColumn("block", F.date_format("r.start_date", "yyyy-MM"))
-    else:
-        rows = rows.withColumn("block", F.lit(""))
-    left = rows.select("block", F.col("r._sport").alias("sp"), F.col("r._org").alias("org"), F.explode("days").alias("day"), "keys", "bare", F.col("r").alias("x"))
-    right = rows.select("block", F.col("r._sport").alias("sp"), F.col("r._org").alias("org"), F.col("r.start_date").alias("day"), "keys", "bare", F.col("r").alias("y"))
-    on = ["block", "sp", "org", "day", "key"]
-    # Rows of equal words meet on the word; a row without a venue meets every row of its organiser and day.
-    worded = left.where("NOT bare").withColumn("key", F.explode("keys")).drop("bare", "keys").join(right.where("NOT bare").withColumn("key", F.explode("keys")).drop("bare", "keys"), on)
-    lone = left.where("bare").drop("bare", "keys").join(right.drop("bare", "keys"), on[:-1])
-    other = left.where("NOT bare").drop("bare", "keys").join(right.where("bare").drop("bare", "keys"), on[:-1])
-    pairs = worded.select("x", "y").unionByName(lone.select("x", "y")).unionByName(other.select("x", "y")).where("x.ord <> y.ord")
+    block = F.lit("") if across_months else F.date_format("start_date", "yyyy-MM")
+    rows = classes.where("start_date IS NOT NULL").select(
+        block.alias("block"), F.col("_sport").alias("sp"), F.col("_org").alias("org"), F.struct(*READ).alias("r"), (F.size("_words") == 0).alias("bare"),
+        F.date_sub("start_date", 1).alias("low"), F.date_add("start_date", F.greatest(span, F.lit(0)) + 1).alias("high"),
+    )
+    on = ["block", "sp", "org", "day"]
+    left = rows.withColumn("day", F.explode(F.sequence("low", "high"))).select(*on, "bare", F.col("r").alias("x"))
+    right = rows.select("block", "sp", "org", F.col("r.start_date").alias("day"), "bare", "low", "high", F.col("r").alias("y"))
+    word = lambda side, r: side.where("NOT bare").withColumn("key", F.explode(f"{r}._words")).drop("bare")
+    # A pair whose starts lie in one another's days is met from both sides: it counts from the smaller id's.
+    once = (F.col("x.ord") < F.col("y.ord")) | ((F.col("x.ord") > F.col("y.ord")) & ~F.col("x.start_date").between(F.col("low"), F.col("high")))
+    # It meets on every word in common: it counts on the first of them.
+    worded = word(left, "x").join(word(right, "y").hint("merge"), [*on, "key"]).where(once).where(F.col("key") == F.array_min(F.array_intersect("x._words", "y._words")))
+    # A row without a venue meets every row of its organiser and day.
+    lone = left.where("bare").drop("bare").join(right.drop("bare").hint("merge"), on).where(once)
+    other = left.where("NOT bare").drop("bare").join(right.where("bare").drop("bare").hint("merge"), on).where(once)
+    pairs = worded.select("x", "y").unionByName(lone.select("x", "y")).unionByName(other.select("x", "y"))
     judged = pairs.withColumn("reason", verdict("x", "y")).where(is_match(F.col("reason")))
-    return judged.groupBy(F.least("x.ord", "y.ord").alias("a"), F.greatest("x.ord", "y.ord").alias("b")).agg(F.min("reason").alias("reason"))
+    return judged.select(F.least("x.ord", "y.ord").alias("a"), F.greatest("x.ord", "y.ord").alias("b"), "reason")
 
 
 def _follow(rows: pd.DataFrame) -> pd.DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from gatherline.functions.names import link_venue
 from gatherline.functions.values import text
 from gatherline.operators import editions, linkage, rollups
+from gatherline.plans.scratch import Scratch
 from gatherline.queries.base import AS_OF, EV, PA, d_edition_core, d_edition_words, d_identity, d_levels, d_link_org, d_link_tokens, d_link_venue, events, listed_parts, query, table
 
 # --- same event-site?
@@ -50,7 +51,8 @@ def sco_03(spark, sf_dir):
 @query("joi_01_matching_pairs", PREP + f", cl AS (SELECT * FROM pw QUALIFY ord = min(ord) OVER (PARTITION BY sport, organizer, start_date, end_date, state, gender, venue, city, name, event_type)) SELECT a.ord AS a, b.ord AS b, {VERDICT} AS reason FROM cl a JOIN cl b ON a.og = b.og AND date_trunc('month', a.start_date) = date_trunc('month', b.start_date) AND a.ord < b.ord WHERE {VERDICT} IN {YES}")
 def joi_01(spark, sf_dir):
     equal = events(spark, sf_dir).groupBy(*linkage.FIELDS).agg(F.min("ord").alias("ord"))
-    return linkage.matching_pairs(linkage.prepare(equal))
+    # Five branches of the join read the prepared rows: they are written once.
+    return linkage.matching_pairs(Scratch(spark, "matching").table(linkage.prepare(equal), "prepared"))
 
 
 def _cluster(spark, sf_dir):
