@@ -8,7 +8,7 @@ from gatherline import vocab
 from gatherline.functions.pages import FREE_MAIL, SKIP_LINK, page_lines, page_title
 from gatherline.functions.values import text
 from gatherline.queries.base import D_ANCHOR, D_BARE, D_LINES, EV, d_list, d_plain_html, events, q, query, table
-from gatherline.sources import landed, sinks
+from gatherline.sources import exports, landed, sinks
 from gatherline.streaming import flows
 
 
@@ -56,6 +56,34 @@ def src_20(spark, sf_dir):
     return landed.export_complete(export, expected)
 
 
+#: Pages of five exports of the orders, by ranges of 200 keys; all but the first export are broken in one place each.
+EXPORT_SQL = """
+SELECT 'export-' || CAST(t AS VARCHAR(9)) AS "table", CASE WHEN n > 0 THEN n * 200 - 1 END AS after,
+  CASE WHEN t = 2 AND n = 4 THEN 199 WHEN t = 4 AND n = 2 AND extra = 1 THEN 999 WHEN n < (last_key - last_key % 200) / 200 THEN n * 200 + 199 END AS next_after,
+  CASE WHEN t = 3 AND n = 2 THEN low - 200 ELSE low END AS low, high, rows
+FROM (SELECT t, n, min(k) AS low, max(k) AS high, count(*) AS rows FROM (SELECT o_orderkey % 5 AS t, (o_orderkey - o_orderkey % 200) / 200 AS n, o_orderkey AS k FROM $orders) AS x GROUP BY t, n) AS pages
+CROSS JOIN (SELECT max(o_orderkey) AS last_key FROM $orders) AS whole CROSS JOIN (SELECT 0 AS extra UNION ALL SELECT 1) AS again
+WHERE (extra = 0 OR (t = 4 AND n = 2)) AND NOT (t = 1 AND n = 3)"""
+
+
+@query(
+    "src_20_export_chain",
+    "WITH RECURSIVE pg AS (" + EXPORT_SQL.replace("$orders", "orders").replace("/ 200", "// 200")
+    + """), st AS (SELECT "table" AS t, after, min(next_after) AS nxt, count(DISTINCT coalesce(next_after, -1)) AS ways FROM pg GROUP BY 1, 2),
+  walk AS (SELECT t, CAST(NULL AS BIGINT) AS cur, 1 AS page FROM st WHERE after IS NULL UNION ALL SELECT w.t, s.nxt, w.page + 1 FROM walk w JOIN st s ON s.t = w.t AND s.after IS NOT DISTINCT FROM w.cur WHERE s.nxt IS NOT NULL AND w.page < (SELECT count(*) FROM st)),
+  pos AS (SELECT t, cur, min(page) AS page FROM walk GROUP BY t, cur)
+  SELECT "table", coalesce(p.after, -1) AS after, coalesce(p.next_after, -1) AS next_after, CAST(rows AS BIGINT) AS rows, coalesce(CAST(a.page AS BIGINT), -1) AS page,
+    concat_ws(',', CASE WHEN a.page IS NULL THEN 'unreached' END, CASE WHEN s.ways > 1 THEN 'fork' END, CASE WHEN p.next_after IS NOT NULL AND n.t IS NULL THEN 'stops' END, CASE WHEN p.next_after IS NOT NULL AND b.page <= a.page THEN 'loop' END, CASE WHEN low <= p.after OR high > p.next_after THEN 'order' END) AS fault
+  FROM pg p JOIN st s ON s.t = p."table" AND s.after IS NOT DISTINCT FROM p.after LEFT JOIN pos a ON a.t = p."table" AND a.cur IS NOT DISTINCT FROM p.after LEFT JOIN pos b ON b.t = p."table" AND b.cur = p.next_after LEFT JOIN st n ON n.t = p."table" AND n.after = p.next_after""",
+)
+def src_20_chain(spark, sf_dir):
+    """Pages of keyset exports in the order of their cursors, and where a chain is broken."""
+    made = spark.sql(EXPORT_SQL.replace("$orders", "{orders}").replace('"table"', "`table`").replace("/ 200", "DIV 200"), orders=table(spark, sf_dir, "orders"))
+    out = exports.export_chain(made)
+    unset = lambda c: F.coalesce(F.col(c).cast("long"), F.lit(-1)).alias(c)
+    return out.select("table", unset("after"), unset("next_after"), "rows", unset("page"), "fault")
+
+
 @query("src_21_since", "SELECT o_orderkey FROM orders WHERE o_orderdate >= TIMESTAMP '1999-06-01'")
 def src_21(spark, sf_dir):
     # The plain comparison reaches the scan as a pushed filter.
