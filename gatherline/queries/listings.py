@@ -8,7 +8,7 @@ from gatherline.functions.values import members
 from gatherline.operators import listings, report
 from gatherline.plans.scratch import Scratch
 from gatherline import vocab
-from gatherline.queries.base import D_BARE, EV, d_list, d_plain_html, d_sub, events, q, query, table
+from gatherline.queries.base import D_BARE, EV, d_list, d_plain_html, d_sub, d_without, events, q, query, table
 from gatherline.queries.matching import EDITION, edition_pairs
 from gatherline.sources import landed, sinks
 
@@ -219,12 +219,27 @@ def ded_06(spark, sf_dir):
     return report.same_page_merge(rows, ["venue", "city"]).select("id", "name", "copies", "venue", "city")
 
 
+_crawl = lambda x: f"list_filter({d_without(f'list_distinct(regexp_extract_all(lower(coalesce({x}, {chr(39) * 2})), {q('([a-z0-9]+)')}))', vocab.CRAWL_GENERIC)}, lambda w: NOT regexp_matches(w, '^(19|20)[0-9][0-9]$'))"
+CROSS = EV + f""", cw AS (SELECT ord, collector, start_date, upper(coalesce(state, '')) AS st, ord % 5 AS filled, {d_without(f"list_filter({_crawl('name')}, lambda v: NOT list_contains({_crawl('organizer')}, v))", vocab.CRAWL_SEASON)} AS ws FROM ev WHERE start_date IS NOT NULL)
+  SELECT a.ord AS a, b.ord AS b, array_to_string(list_sort(list_intersect(a.ws, b.ws)), ' ') AS shared, CASE WHEN a.filled <= b.filled THEN a.ord ELSE b.ord END AS loser
+  FROM cw a JOIN cw b ON a.start_date = b.start_date AND a.ord < b.ord AND a.collector <> b.collector AND (a.st = '' OR b.st = '' OR a.st = b.st) AND len(list_intersect(a.ws, b.ws)) > 0"""
+
+
+def _crossed(spark, sf_dir):
+    ev = events(spark, sf_dir).where("start_date IS NOT NULL")
+    return ev.select(F.col("ord").alias("id"), F.col("collector").alias("source"), "organizer", "name", F.col("start_date").alias("start"), F.col("start_date").alias("end"), F.upper("state").alias("state"), (F.col("ord") % 5).alias("filled"))
+
+
+@query("joi_14_cross_pairs", CROSS)
+def joi_14_pairs(spark, sf_dir):
+    """Pairs of rows of two collectors that list one event."""
+    return report.cross_organizer_pairs(_crossed(spark, sf_dir)).select("a", "b", F.array_join("shared", " ").alias("shared"), "loser")
+
+
 @query("ded_09_cross_organizer")
 def ded_09(spark, sf_dir):
     """Events that another organiser lists with more details; tests hold it against a plain loop."""
-    ev = events(spark, sf_dir).where("start_date IS NOT NULL")
-    rows = ev.select(F.col("ord").alias("id"), F.col("collector").alias("source"), "organizer", "name", F.col("start_date").alias("start"), F.col("start_date").alias("end"), F.upper("state").alias("state"), (F.col("ord") % 5).alias("filled"))
-    return report.cross_organizer_duplicates(rows)
+    return report.cross_organizer_duplicates(_crossed(spark, sf_dir))
 
 
 @query(
