@@ -165,6 +165,25 @@ def sco_02(spark, sf_dir):
     return out.select("a", "b", "z.score", "z.decision")
 
 
+@query(
+    "sco_02_level_adjust",
+    EDITION
+    + """, lv AS (SELECT *, decision = 'no_match' AND s <= 0 AS fixed, a % 3 < 2 AND b % 4 <> 2 AND NOT (a % 3 = 0 AND b % 4 IN (0, 1)) AND NOT (a % 3 = 1 AND b % 4 IN (0, 3)) AS clash, so::INT + ss::INT + na::INT AS n FROM ed),
+  l1 AS (SELECT *, s - CASE WHEN clash THEN 3 ELSE 0 END AS s1, CASE WHEN NOT clash THEN decision WHEN s - 3 >= 6 AND n >= 2 AND (so OR na) THEN 'confirmed' WHEN s - 3 >= 3.5 AND (so OR na) THEN 'review' ELSE 'no_match' END AS d1 FROM lv),
+  l2 AS (SELECT *, NOT fixed AND NOT (clash AND d1 = 'no_match') AS going, CASE WHEN ss THEN NULL WHEN (a + b) % 5 = 0 THEN 'venue' WHEN (a + b) % 3 = 0 THEN 'town' END AS kind FROM l1)
+  SELECT a, b, CAST(CASE WHEN fixed THEN s WHEN going THEN s1 + CASE kind WHEN 'venue' THEN 2 WHEN 'town' THEN 1.5 ELSE 0 END ELSE s1 END AS DOUBLE) AS score,
+    CASE WHEN fixed THEN decision WHEN going AND kind IS NOT NULL AND s1 + CASE kind WHEN 'venue' THEN 2 ELSE 1.5 END >= 6 AND n + 1 >= 2 AND (so OR na) THEN 'confirmed' ELSE d1 END AS decision,
+    concat_ws(',', CASE WHEN na THEN 'name' END, CASE WHEN so THEN 'organizer' END, CASE WHEN going AND kind = 'town' THEN 'town' END, CASE WHEN ss OR (going AND kind = 'venue') THEN 'venue' END) AS anchors FROM l2""",
+)
+def sco_02_level(spark, sf_dir):
+    """Scores of edition pairs with level sets that may clash, venue names and towns, and the anchors that remain."""
+    pairs = edition_pairs(spark, sf_dir).withColumn("n", F.col("a") + F.col("b"))
+    of = lambda n, sets: F.element_at(F.array(*[F.array(*map(F.lit, x)).cast("array<string>") for x in sets]), (n + 1).cast("int"))
+    past, now = of(F.col("a") % 3, [["hs"], ["youth"], []]), of(F.col("b") % 4, [["hs", "youth"], ["hs"], [], ["youth"]])
+    out = pairs.withColumn("z", editions.adjust("r", past, now, F.col("n") % 5 == 0, F.col("n") % 3 == 0))
+    return out.select("a", "b", "z.score", "z.decision", F.array_join("z.anchors", ",").alias("anchors"))
+
+
 @query("ded_10_assign")
 def ded_10(spark, sf_dir):
     """One-to-one assignment of past editions to site groups of current ones; tests hold it against a greedy pass."""
