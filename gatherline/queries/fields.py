@@ -144,15 +144,16 @@ def fld_10(spark, sf_dir):
 @query(
     "fld_13_grad_years",
     EV
-    + """ SELECT ord, CASE WHEN age_range IN ('U14', '14U') THEN CAST(2026 + 19 - 14 AS VARCHAR) ELSE '-' END AS label,
-  CASE WHEN age_range IN ('U14', '14U') THEN 2031 ELSE -1 END AS grad_min, CASE WHEN regexp_matches(coalesce(name, ''), '(?i)\\b(boys?|men)\\b') THEN
+    + """, hs AS (SELECT *, CASE WHEN age_range IN ('U14', '14U') THEN 'age' WHEN regexp_matches(coalesce(name, ''), '(?i)\\b(HS|high school|varsity|JV)\\b') THEN 'school' END AS told FROM ev)
+SELECT ord, CASE told WHEN 'age' THEN CAST(2026 + 19 - 14 AS VARCHAR) WHEN 'school' THEN '2027–2030' ELSE '-' END AS label,
+  CASE told WHEN 'age' THEN 2031 WHEN 'school' THEN 2027 ELSE -1 END AS grad_min, CASE told WHEN 'age' THEN 2031 WHEN 'school' THEN 2030 ELSE -1 END AS grad_max, CASE WHEN regexp_matches(coalesce(name, ''), '(?i)\\b(boys?|men)\\b') THEN
   CASE WHEN regexp_matches(name, '(?i)\\b(girls?|women)\\b') THEN 'coed' ELSE 'boys' END WHEN regexp_matches(coalesce(name, ''), '(?i)\\b(girls?|women)\\b') THEN 'girls' ELSE '-' END AS gender
-FROM ev WHERE NOT regexp_matches(coalesce(name, ''), '(?i)\\b(HS|high school|varsity|JV)\\b')""",
+FROM hs""",
 )
 def fld_13(spark, sf_dir):
-    ev = events(spark, sf_dir).where(r"NOT coalesce(name, '') RLIKE '(?i)\\b(HS|high school|varsity|JV)\\b'")
+    ev = events(spark, sf_dir)
     got = dates.grad_years(F.concat_ws(" ", "age_range", F.regexp_replace(text("name"), r"^20\d\d ", "")), F.lit(2026))
-    return ev.select("ord", F.coalesce(got["label"], F.lit("-")).alias("label"), F.coalesce(got["grad_min"], F.lit(-1)).alias("grad_min"), F.coalesce(got["gender"], F.lit("-")).alias("gender"))
+    return ev.select("ord", F.coalesce(got["label"], F.lit("-")).alias("label"), F.coalesce(got["grad_min"], F.lit(-1)).alias("grad_min"), F.coalesce(got["grad_max"], F.lit(-1)).alias("grad_max"), F.coalesce(got["gender"], F.lit("-")).alias("gender"))
 
 
 @query("fld_14_gender", EV + f" SELECT ord, {d_first('lower(coalesce(name, chr(32)))', vocab.GENDER_PATTERNS, q('unknown'))} AS gender FROM ev")
