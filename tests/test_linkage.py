@@ -304,3 +304,20 @@ def test_site_groups_are_assigned_as_by_a_greedy_pass(spark, way):
             want.add((a, g, b, score))
     got = editions.assign_site_groups(spark.createDataFrame(pairs, "a long, b long, score double, first long"), spark.createDataFrame(listings, "b long, group_key string"))
     assert {tuple(r) for r in got.collect()} == want
+
+
+@pytest.mark.parametrize("across", [False, True])
+def test_matching_pairs_are_all_pairs_that_fit_each_once(spark, across):
+    """Random rows near a month's end against the verdict over all pairs of them."""
+    rng, rows = random.Random(8), []
+    for i in range(90):
+        start = rng.choice([None, D(2026, 10, 29) + dt.timedelta(days=rng.randrange(6))])
+        rows.append((i, "lacrosse", rng.choice(["Pin", "Elm"]), start, start and start + dt.timedelta(days=rng.randrange(3)), rng.choice(["NJ", "PA", ""]), "boys", rng.choice(["Oak Hill Park", "Oak Hill", "Elm Hill Oak", "", None]), "Oakville", rng.choice(["Otter Cup", "Otter Bash"]), "tournament"))
+    schema = "ord long, sport string, organizer string, start_date date, end_date date, state string, gender string, venue string, city string, name string, event_type string"
+    rows = linkage.prepare(spark.createDataFrame(rows, schema))
+    x = rows.where("start_date IS NOT NULL").select("ord", "start_date", F.struct(*linkage.READ).alias("r"))
+    month = lambda s: F.date_trunc("month", f"{s}.start_date")
+    both = x.alias("a").join(x.alias("b"), (F.col("a.ord") < F.col("b.ord")) & (F.lit(across) | (month("a") == month("b"))))
+    want = both.select(F.col("a.ord").alias("a"), F.col("b.ord").alias("b"), linkage.verdict("a.r", "b.r").alias("reason")).where(linkage.is_match(F.col("reason")))
+    got = linkage.matching_pairs(rows, across_months=across)
+    assert sorted(map(tuple, got.select("a", "b", "reason").collect())) == sorted(map(tuple, want.collect())) != []
