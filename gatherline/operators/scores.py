@@ -176,9 +176,12 @@ def schedule_quality(days: DataFrame, by: list[str]) -> DataFrame:
 
 
 def weather_days(weather: DataFrame, events: DataFrame, by: list[str]) -> DataFrame:
-    """Per event: what the weather was on its days. weather: place, day and measures; events: ``by``, place, start, end."""
+    """Per event: what the weather was on its days. weather: place, day and measures; events: ``by``, place, start, end.
+
+    Both sides are shuffled: the planner does not know how many days an event has, and would broadcast them all.
+    """
     day = F.explode(F.sequence("start", F.coalesce("end", "start"))).alias("day")
-    joined = events.select(*by, "place", day).join(weather, ["place", "day"])
+    joined = events.select(*by, "place", day).join(weather.hint("merge"), ["place", "day"])
     wet = F.coalesce("rain_mm", F.lit(0.0))
     return joined.groupBy(*by).agg(
         F.count("*").alias("days"),
@@ -194,20 +197,27 @@ def weather_days(weather: DataFrame, events: DataFrame, by: list[str]) -> DataFr
 def climatology(weather: DataFrame, events: DataFrame, by: list[str], first_year: int, last_year: int, window: int = 7) -> DataFrame:
     """Per event: base rates of the same time of year, the window's days either side, over the years given.
 
-    The day-by-year table is made from the event's dates and joined on place and day, so work grows with events times
-    years, never with pairs of events. Feb 29 has no window in years without one.
+    The day-by-year table is made once for each place, day of the year and length that events have, and joined on place
+    and day; events take its sums. So it grows with the dates there are, work with the events, and nothing with pairs of
+    events. No side is broadcast: the planner does not know what the days and years make of a row. Feb 29 has no window
+    in years without one.
     """
     span = F.datediff(F.coalesce("end", "start"), "start") + 1
-    years = events.select(*by, "place", "start", span.alias("span"), F.explode(F.sequence(F.lit(first_year), F.lit(last_year))).alias("year"))
-    at = F.try_to_date(F.concat_ws("-", F.col("year").cast("string"), F.date_format("start", "MM-dd")), "yyyy-MM-dd")
+    dated = events.select(*by, "place", F.date_format("start", "MM-dd").alias("_date"), span.alias("span"))
+    spell = ["place", "_date", "span"]
+    years = dated.select(*spell).distinct().withColumn("year", F.explode(F.sequence(F.lit(first_year), F.lit(last_year))))
+    at = F.try_to_date(F.concat_ws("-", F.col("year").cast("string"), "_date"), "yyyy-MM-dd")
     days = years.withColumn("_at", at).where("_at IS NOT NULL").withColumn("day", F.explode(F.sequence(F.date_sub("_at", window), F.date_add("_at", F.col("span") + window - 1))))
-    joined = days.join(weather, ["place", "day"])
-    sums = joined.groupBy(*by, "span").agg(
+    measures = {"_high": F.col("high_f"), "_sun": F.col("sun_seconds") / 3600, "_rad": F.col("radiation_mj")}
+    told = days.join(weather.hint("merge"), ["place", "day"]).groupBy(*spell).agg(
         F.count("*").alias("sample_days"),
         F.count_if(F.coalesce("rain_mm", F.lit(0.0)) > vocab.RAIN_MM).alias("_wet"),
-        F.avg("high_f").alias("_high"),
-        F.avg(F.col("sun_seconds") / 3600).alias("_sun"),
-        F.avg("radiation_mj").alias("_rad"),
+        *[f(x).alias(c + n) for c, x in measures.items() for f, n in ((F.sum, ""), (F.count, "_n"))],
+    )
+    sums = dated.join(told.hint("merge"), spell).groupBy(*by, "span").agg(
+        F.sum("sample_days").alias("sample_days"),
+        F.sum("_wet").alias("_wet"),
+        *[(F.sum(c) / F.nullif(F.sum(c + "_n"), F.lit(0))).alias(c) for c in measures],
     )
     p = F.col("_wet") / F.col("sample_days")
     uv = round_even(F.col("_rad") * vocab.UV_PER_MJ, 1)

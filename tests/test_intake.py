@@ -163,3 +163,19 @@ def test_document_hints(spark):
         (1, 1): ("otter.org", ["info@otter.org"], 1, ["Otter Club Inc"], 0.6), (1, 2): ("elm.org", [], 1, ["Otter Club Inc"], 0.45),
         (2, 1): (None, [], 0, ["Pine Valley Lacrosse"], 0.4), (6, 1): ("a.org", [], 1, [], 0.45), (6, 2): ("b.org", [], 1, [], 0.45),
     }
+
+
+def test_climatology_makes_days_once_and_broadcasts_none(spark):
+    day = lambda n: dt.date(2024, 3, 1) + dt.timedelta(days=n)
+    weather = spark.createDataFrame([(1, day(n), float(n % 4), 60.0 + n, 3600.0 * (n % 9), None) for n in range(60)], "place long, day date, rain_mm double, high_f double, sun_seconds double, radiation_mj double")
+    events = spark.createDataFrame([("a", 1, day(10), day(11)), ("a", 1, day(30), day(31)), ("b", 1, day(10), None), ("c", 2, day(10), None)], "id string, place long, start date, end date")
+    out = scores.climatology(weather, events, ["id"], 2024, 2024, 2)
+    windows = {"a": (2, [*range(8, 14), *range(28, 34)]), "b": (1, [*range(8, 13)])}
+    got = {r.id: r for r in out.collect()}
+    assert set(got) == set(windows)
+    for k, (span, days) in windows.items():
+        p = sum(n % 4 > 2.5 for n in days) / len(days)
+        assert got[k].sample_days == len(days) and got[k].p_rain_day == round(p, 2) and got[k].p_rain_event == round(1 - (1 - p) ** span, 2)
+        assert got[k].expected_high_f == round(sum(60 + n for n in days) / len(days)) and got[k].uv_index_est is None
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "Broadcast" not in plan and plan.count("HashAggregate") > 2
