@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from gatherline import vocab
 from gatherline.functions.pages import FREE_MAIL, SKIP_LINK, page_lines, page_title
 from gatherline.functions.values import text
-from gatherline.queries.base import D_ANCHOR, D_BARE, D_LINES, EV, d_list, d_plain_html, events, q, query, table
+from gatherline.queries.base import D_ANCHOR, D_BARE, D_LINES, EV, d_list, d_plain_html, d_squeeze, events, q, query, table
 from gatherline.sources import exports, landed, sinks
 from gatherline.streaming import flows
 
@@ -122,7 +122,10 @@ def src_24(spark, sf_dir):
     return landed.page_blocks(table(spark, sf_dir, "pages"), r"\d").select("page_id", "line_no", F.md5("line").alias("line_md5"), F.size("block").alias("block_lines"))
 
 
-@query("src_25_titles", """SELECT page_id, trim(regexp_replace(replace(replace(replace(regexp_extract(html, '(?is)<title[^>]*>(.*?)</title>', 1), '&lt;', '<'), '&gt;', '>'), '&amp;', '&'), '\\s+', ' ', 'g')) AS title FROM pages WHERE regexp_matches(html, '(?is)<title[^>]*>.+?</title>')""")
+_TITLE = d_squeeze(d_plain_html("regexp_extract(html, '(?is)<title[^>]*>(.*?)</title>', 1)"))
+
+
+@query("src_25_titles", f"SELECT * FROM (SELECT page_id, {_TITLE} AS title FROM pages) WHERE title <> ''")
 def src_25(spark, sf_dir):
     return table(spark, sf_dir, "pages").select("page_id", page_title(F.col("html")).alias("title")).where("title IS NOT NULL")
 

@@ -40,6 +40,16 @@ def test_oracle(spark, duck, name):
     assert got
 
 
+def test_titles_with_entities_and_without_text(spark, tmp_path):
+    con = duckdb.connect()
+    titles = ["a &quot;b&quot;", "it&#39;s&nbsp;on", "x &ndash; y &mdash; z", "&amp;lt;", " ", "&nbsp;", "", "plain"]
+    con.execute("CREATE TABLE pages AS SELECT i AS page_id, '<html><TITLE x>' || t || '</title>' AS html FROM (SELECT unnest(range(8)) AS i, unnest($1) AS t)", [titles])
+    con.execute(f"COPY pages TO '{tmp_path}/pages.parquet'")
+    want = con.execute(ORACLES["src_25_titles"]).fetchall()
+    assert sorted(want) == sorted(tuple(r) for r in QUERIES["src_25_titles"](spark, str(tmp_path)).collect())
+    assert sorted(t for _, t in want) == sorted(['a "b"', "it's on", "x – y — z", "&lt;", "plain"])
+
+
 @pytest.mark.parametrize("name", sorted(QUERIES.keys() - ORACLES.keys()))
 def test_rows(spark, name):
     df = QUERIES[name](spark, SF)
