@@ -21,7 +21,7 @@ def copies(tmp_path_factory):
 
 
 @pytest.mark.parametrize("run", [editions.RUN, 3], ids=["whole", "runs"])
-@pytest.mark.parametrize("name", ["sco_01_edition_score", "sco_02_pair_adjust"])
+@pytest.mark.parametrize("name", ["sco_01_edition_score", "sco_02_pair_adjust", "sco_02_level_adjust"])
 def test_copies_are_scored_once(spark, copies, monkeypatch, name, run):
     monkeypatch.setattr(editions, "RUN", run, raising=False)
     scored, plain = [], matching._scored
