@@ -50,23 +50,24 @@ def components(edges: DataFrame, scratch: Scratch, name: str) -> DataFrame:
     return scratch.table(found, f"{name}-found")
 
 
-def settled(pairs: DataFrame, one: Column, other: Column, plain: Callable[[pd.DataFrame], pd.DataFrame], schema: str, scratch: Scratch, name: str, linked: Column | None = None) -> tuple[DataFrame, DataFrame]:
-    """What ``plain`` makes of the pairs in components of at most WHOLE pairs, and the pairs of all others.
+def settled(pairs: DataFrame, one: Column, other: Column, plain: Callable[[pd.DataFrame], pd.DataFrame], schema: str, scratch: Scratch, name: str, linked: Column | None = None, times: int = 1) -> tuple[DataFrame, DataFrame]:
+    """What ``plain`` makes of the pairs in components of at most WHOLE pairs (``times`` as many, where they are few numbers each), and the pairs of all others.
 
     one, other: the pair's ends as longs that stand for them (an accidental equal only joins components). linked: whether
     the pair ties its ends together; where not, it belongs to the component of ``other`` alone. ``plain`` gets the pairs
     of many whole components at once, in no order.
     """
     tied = F.lit(True) if linked is None else linked
+    limit = WHOLE * times
     keyed = pairs.withColumns({"_one": one, "_other": other})
     label = components(keyed.where(tied).select(F.col("_one").alias("a"), F.col("_other").alias("b")), scratch, name)
     tagged = keyed.join(label.withColumnRenamed("node", "_other"), "_other", "left").withColumn("_component", F.coalesce("component", "_other"))
     tagged = scratch.table(tagged.select(*pairs.columns, "_component"), f"{name}-tagged")
     sizes = scratch.table(tagged.groupBy("_component").agg(F.count("*").alias("_n")), f"{name}-sizes")
-    total = sizes.where(F.col("_n") <= WHOLE).agg(F.sum("_n")).first()[0] or 0
+    total = sizes.where(F.col("_n") <= limit).agg(F.sum("_n")).first()[0] or 0
     tasks = -(-total // WHOLE) + pairs.sparkSession.sparkContext.defaultParallelism
     sized = tagged.join(sizes, "_component")
-    small = sized.where(F.col("_n") <= WHOLE).withColumn("_task", F.pmod(F.xxhash64("_component"), F.lit(tasks)))
+    small = sized.where(F.col("_n") <= limit).withColumn("_task", F.pmod(F.xxhash64("_component"), F.lit(tasks)))
     done = scratch.table(small.select(*pairs.columns, "_task").groupBy("_task").applyInPandas(lambda rows: plain(rows.drop(columns="_task")), schema), f"{name}-done")
-    rest = scratch.table(sized.where(F.col("_n") > WHOLE).select(*pairs.columns), f"{name}-rest")
+    rest = scratch.table(sized.where(F.col("_n") > limit).select(*pairs.columns), f"{name}-rest")
     return done, rest

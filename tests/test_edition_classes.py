@@ -6,8 +6,9 @@ import duckdb
 import pytest
 from pyspark.sql import functions as F
 
-from gatherline.operators import editions, report
+from gatherline.operators import editions, report, settle
 from gatherline.queries import ORACLES, QUERIES, matching
+from gatherline.queries.base import listed_parts
 
 PART = "/root/testdata/sf0.001/part.parquet"
 COPIES = 4
@@ -48,3 +49,13 @@ def test_groups_of_copies(spark, copies, monkeypatch):
     assert 1 < len(want)
     monkeypatch.setattr(matching, "edition_pairs", None)  # pairs of rows are not made
     assert sorted(QUERIES["ded_11_assign_groups"](spark, copies).collect()) == sorted(want)
+
+
+@pytest.mark.parametrize("whole", [settle.WHOLE, 4], ids=["components", "rounds"])
+def test_assignment_of_copies(spark, copies, monkeypatch, whole):
+    groups = editions.site_groups(listed_parts(spark, copies).where("ord % 2 = 1")).select(F.col("ord").alias("b"), "group_key")
+    want = editions.assign_site_groups(_numbered(spark, copies).select("a", "b", "r.score", "first"), groups).select("a", "b", "score").collect()
+    assert 1 < len(want)
+    monkeypatch.setattr(settle, "WHOLE", whole)
+    monkeypatch.setattr(matching, "edition_pairs", None)  # pairs of rows are not made
+    assert sorted(QUERIES["ded_10_assign"](spark, copies).collect()) == sorted(want)
