@@ -188,10 +188,10 @@ def _components(documents: DataFrame, width: int, percent: int, id_col: str, tex
     usable = seen.where("digest IS NOT NULL")
     classes = usable.groupBy("digest").agg(F.min("row").alias("rep"), F.min("doc_id").alias("name"), F.min_by("doc_id", "row").alias("of"), F.first("bands").alias("bands"), F.first("n_shingles").alias("size"))
     classes = scratch.table(classes, "classes")
-    keys = scratch.table(classes.select("rep", F.explode("bands").alias("key")), "keys")
+    keys = scratch.table(classes.select("rep", "size", F.explode("bands").alias("key")), "keys")
     leaders = keys.groupBy("key").agg(F.min("rep").alias("leader"), F.count("*").alias("n")).where("n > 1")
     leaders = scratch.table(leaders, "leaders")
-    member = scratch.table(keys.join(leaders, "key").select("key", "n", "leader", "rep"), "members")
+    member = scratch.table(keys.join(leaders, "key").select("key", "n", "leader", "rep", "size"), "members")
     scratch.drop("keys")
     pairs = scratch.table(member.where("leader <> rep").select("leader", "rep").distinct(), "pairs")
     wanted = scratch.table(member.select("rep").distinct().join(classes.select("rep", "digest", "of"), "rep"), "wanted")
@@ -213,7 +213,7 @@ def _components(documents: DataFrame, width: int, percent: int, id_col: str, tex
         held = scratch.table(held.select("doc_id", "rep"), "held")
         star = star.unionByName(held.join(held.groupBy("doc_id").agg(F.min("rep").alias("a")), "doc_id").select("a", F.col("rep").alias("b")))
     first = components(star, scratch, "first")
-    rest = _settle(member, first, classes.select("rep", "size"), sets, scratch, percent)
+    rest = _settle(member, first, sets, scratch, percent)
     # What was settled joins whole components: only their names are linked.
     last = components(rest, scratch, "last").select(F.col("node").alias("component"), F.col("component").alias("further"))
     named = classes.select("digest", "rep", "name").join(first.withColumnRenamed("node", "rep"), "rep", "left")
@@ -239,12 +239,12 @@ def group(documents: DataFrame, width: int = 5, percent: int = PERCENT, id_col:
     return out.withColumn("kept", F.coalesce(F.col("component_id") == F.col("doc_id"), F.lit(False)))
 
 
-def _settle(member: DataFrame, first: DataFrame, sizes: DataFrame, sets: DataFrame, scratch: Scratch, percent: int) -> DataFrame:
+def _settle(member: DataFrame, first: DataFrame, sets: DataFrame, scratch: Scratch, percent: int) -> DataFrame:
     """Components linked by pairs that the leaders missed: exact comparison among the members of keys that are not yet one component."""
-    grouped = member.where("n > 2").join(first.withColumnRenamed("node", "rep"), "rep", "left").select("key", "n", "leader", "rep", F.coalesce("component", "rep").alias("component"))
+    grouped = member.where("n > 2").join(first.withColumnRenamed("node", "rep"), "rep", "left").select("key", "n", "leader", "rep", "size", F.coalesce("component", "rep").alias("component"))
     grouped = scratch.table(grouped, "grouped")
     split = scratch.table(grouped.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("key"), "split")
-    mixed = scratch.table(grouped.join(split, "key").join(sizes, "rep"), "mixed")
+    mixed = scratch.table(grouped.join(split, "key", "left_semi"), "mixed")
     bounded = lambda n, items: (n <= BLOCK) & (items <= BLOCK_SHINGLES)
     tile = ["kind", "name", "low", "high"]
     whole = lambda df, kind, name: df.select(F.lit(kind).alias("kind"), F.col(name).alias("name"), F.lit(None).cast(_BLOCK).alias("low"), F.lit(None).cast(_BLOCK).alias("high"), F.lit(3).alias("side"), "rep", "component")
@@ -267,7 +267,9 @@ def _settle(member: DataFrame, first: DataFrame, sizes: DataFrame, sets: DataFra
     by_blocks = near.groupBy("lump").agg(F.sum(F.col("n") * F.col("parts_2")).alias("moved"))
     # The same lump key by key, keys with the same members once.
     members = F.struct(F.count("*"), F.sum(F.xxhash64("rep").cast("decimal(20,0)")), F.min("rep"))
-    keys = mixed.join(lumps.join(by_blocks, "lump"), "rep").groupBy("key").agg(F.first("lump").alias("lump"), F.count("*").alias("n"), F.sum("size").alias("items"), members.alias("members"))
+    keys = mixed.groupBy("key").agg(F.min("leader").alias("leader"), F.count("*").alias("n"), F.sum("size").alias("items"), members.alias("members"))
+    # All of a key lies in the lump of its leader.
+    keys = keys.join(lumps.join(by_blocks, "lump").withColumnRenamed("rep", "leader"), "leader")
     keys = scratch.table(keys.groupBy("members").agg(F.min("key").alias("key"), F.first("lump").alias("lump"), F.first("n").alias("n"), F.first("items").alias("items")).drop("members"), "key-sizes")
     by_keys = keys.groupBy("lump").agg(F.sum("n").alias("keyed"), F.min(bounded(F.col("n"), F.col("items"))).alias("all_fit"))
     way = scratch.table(by_blocks.join(by_keys, "lump").select("lump", (F.col("all_fit") & (F.col("keyed") < F.col("moved"))).alias("by_key")), "way")

@@ -7,6 +7,7 @@ import numpy as np
 
 from gatherline.llm import minhash
 from gatherline.llm.blocks import U64
+from gatherline.plans.scratch import Scratch
 
 SMALL = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
@@ -128,3 +129,20 @@ def test_result_does_not_depend_on_partitions(spark, documents):
     one = minhash.group(documents.repartition(1)).select("doc_id", "component_id").collect()
     many = minhash.group(documents.repartition(13)).select("doc_id", "component_id").collect()
     assert sorted(one) == sorted(many)
+
+
+def test_members_of_keys_are_not_joined_row_by_row(spark, monkeypatch):
+    """A large group of near copies shares most keys: sizes come with the members, lumps by the keys' leaders."""
+    rng = random.Random(4)
+    page = [f"p{i}" for i in range(60)]
+    rows = []
+    for k in range(60):
+        words = list(page)
+        for _ in range(1 + k % 3):
+            words[rng.randrange(60)] = f"x{rng.randrange(1000)}"
+        rows.append((k, " ".join(words)))
+    plans, plain = {}, Scratch.table
+    monkeypatch.setattr(Scratch, "table", lambda self, df, name, *more: plans.setdefault(name, df._jdf.queryExecution().optimizedPlan().toString()) and plain(self, df, name, *more))
+    check(spark, rows)
+    assert "Join LeftSemi" in plans["mixed"] and "Join Inner" not in plans["mixed"]
+    assert "Join Inner, (leader#" in plans["key-sizes"] and "Join Inner, (rep#" not in plans["key-sizes"]
