@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import cache
+
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -10,7 +13,7 @@ from gatherline import vocab
 from gatherline.functions.dates import overlaps
 from gatherline.functions.names import blocking_key, event_group_key, identity_tokens, is_compound_venue, level_tokens, link_organizer, link_tokens, link_venue
 from gatherline.functions.values import jaccard, overlap, subset, text, truthy, word_set
-from gatherline.operators.settle import ROUNDS, settled
+from gatherline.operators.settle import ROUNDS, settled, settled_blocks
 from gatherline.plans.scratch import Scratch
 
 #: What decides whether two rows are one event-site; rows equal in all of it fall into one class before any pairing.
@@ -76,6 +79,10 @@ def is_match(reason: Column) -> Column:
     return reason.isin("venue_match", "city_match_venue_unknown", "name_match_no_location")
 
 
+def _block(across_months: bool) -> Column:
+    return F.lit("") if across_months else F.date_format("start_date", "yyyy-MM")
+
+
 def matching_pairs(classes: DataFrame, across_months: bool = False) -> DataFrame:
     """(a, b, reason) of all pairs of prepared classes (column ord, distinct) that are one event-site, a before b.
 
@@ -86,9 +93,8 @@ def matching_pairs(classes: DataFrame, across_months: bool = False) -> DataFrame
     """
     span = F.coalesce(F.datediff("end_date", "start_date"), F.lit(0))
     span = span if across_months else F.least(span, F.lit(31))  # a block is one month, further days meet nothing
-    block = F.lit("") if across_months else F.date_format("start_date", "yyyy-MM")
     rows = classes.where("start_date IS NOT NULL").select(
-        block.alias("block"), F.col("_sport").alias("sp"), F.col("_org").alias("org"), F.struct(*READ).alias("r"), (F.size("_words") == 0).alias("bare"),
+        _block(across_months).alias("block"), F.col("_sport").alias("sp"), F.col("_org").alias("org"), F.struct(*READ).alias("r"), (F.size("_words") == 0).alias("bare"),
         F.date_sub("start_date", 1).alias("low"), F.date_add("start_date", F.greatest(span, F.lit(0)) + 1).alias("high"),
     )
     on = ["block", "sp", "org", "day"]
@@ -152,17 +158,101 @@ def leaders(nodes: DataFrame, pairs: DataFrame, scratch: Scratch) -> DataFrame:
     return done
 
 
+def _alike(classes: DataFrame, across_months: bool) -> DataFrame:
+    """What the verdict reads of prepared classes with a start, as few plain columns: texts of words are joined by blanks."""
+    day = lambda c: F.datediff(c, F.lit("1970-01-01").cast("date"))
+    joined = lambda *c: F.concat_ws("|", *[F.array_join(x, " ") for x in c])
+    return classes.where("start_date IS NOT NULL").select(
+        _block(across_months).alias("block"), F.col("_sport").alias("sp"), text("_org").alias("org"), F.col("ord").cast("long").alias("ord"),
+        day("start_date").alias("start"), day(F.coalesce("end_date", "start_date")).alias("end"), F.upper(text("state")).alias("state"),
+        F.when(text("gender").isin("unknown", "coed"), "").otherwise(text("gender")).alias("sex"), text("event_type").alias("kind"),
+        F.col("_venue").alias("venue"), F.col("_compound").alias("compound"), F.col("_city").alias("city"), joined("_tokens", "_identity", "_levels").alias("name"),
+    )
+
+
+@cache
+def _sets(name: str) -> list[frozenset]:
+    return [frozenset(x.split()) for x in name.split("|")]
+
+
+def _places(venue: str, compound: bool, city: str, venue2: str, compound2: bool, city2: str) -> bool | None:
+    """Whether two places are one, as in verdict(); None where neither venue nor city tells."""
+    if compound != compound2:
+        return False
+    if venue and venue2:
+        a, b = set(venue.split()), set(venue2.split())
+        return venue == venue2 or a <= b or b <= a or len(a & b) / len(a | b) >= 0.6
+    return (city in city2 or city2 in city) if city and city2 else None
+
+
+def _names(name: str, name2: str) -> tuple[bool, bool]:
+    """Whether two names do not part events of one place, and whether they make one event of rows without places, as in verdict()."""
+    (tokens, identity, levels), (tokens2, identity2, levels2) = _sets(name), _sets(name2)
+    clash = bool(levels or levels2) and not levels & levels2 or bool(identity and identity2) and not identity & identity2
+    alike = bool(tokens and tokens2) and len(tokens & tokens2) / len(tokens | tokens2) >= 0.85
+    return not clash, not clash and (bool(identity & identity2) or alike)
+
+
+def _lead(rows: pd.DataFrame) -> pd.DataFrame:
+    """(ord, leader) of one block of _alike() rows, by the plain pass: a row is compared with leaders, never with followers."""
+    rows = rows.sort_values("ord")
+    # Numbers for texts; 0 is the blank one, which fits all.
+    number = lambda c: pd.Categorical(rows[c], categories=["", *sorted(set(rows[c]) - {""})]).codes.astype(np.int32)
+    place, places = pd.factorize(pd.MultiIndex.from_frame(rows[["venue", "compound", "city"]]))
+    name, names = pd.factorize(rows["name"])
+    same_place = cache(lambda p, q: _places(*places[p], *places[q]))
+    same_name = cache(lambda m, n: _names(names[m], names[n]))
+    leads = np.empty((7, 64), dtype=np.int32)  # a column a leader, in order of arrival
+    orders, found, known = [], [], {}
+    told = zip(rows["ord"].tolist(), *(x.tolist() for x in (rows["start"], rows["end"], number("state"), number("sex"), number("kind"), place, name)), strict=True)
+    for ord_, *row in told:
+        start, end, state, sex, kind, p, m = row
+        leader = known.get(key := tuple(row))
+        if leader is None:
+            now = leads[:, : len(orders)]
+            fits = (now[0] <= end + 1) & (now[1] >= start - 1)
+            for code, at in ((state, 2), (sex, 3), (kind, 4)):
+                if code:
+                    fits &= (now[at] == code) | (now[at] == 0)
+            for i in np.flatnonzero(fits).tolist():
+                one = same_place(int(now[5, i]), p)
+                if one is not False and same_name(int(now[6, i]), m)[one is None]:
+                    leader = orders[i]
+                    break
+            else:
+                leader = ord_
+                if len(orders) == leads.shape[1]:
+                    leads = np.concatenate([leads, np.empty_like(leads)], axis=1)
+                leads[:, len(orders)] = row
+                orders.append(ord_)
+            # A row alike follows the same leader, unless that is one that does not fit itself.
+            if leader != ord_ or (end >= start - 1 and same_name(m, m)[same_place(p, p) is None]):
+                known[key] = leader
+        found.append(leader)
+    return pd.DataFrame({"ord": rows["ord"].to_numpy(), "leader": found}, dtype="int64")
+
+
+def _class_leaders(classes: DataFrame, across_months: bool, scratch: Scratch) -> DataFrame:
+    """(ord, leader) of prepared classes: blocks are settled whole in tasks without pairs, only those too large for one by pairs."""
+    led, rest = settled_blocks(_alike(classes, across_months), ["block", "sp", "org"], _lead, "ord long, leader long", scratch, "blocks")
+    alone = classes.where("start_date IS NULL").select(F.col("ord").cast("long").alias("ord"), F.col("ord").cast("long").alias("leader"))
+    led = led.unionByName(alone)
+    if rest.isEmpty():
+        return led
+    large = scratch.table(classes.join(rest.select("ord"), "ord", "left_semi"), "large")
+    return led.unionByName(leaders(large, matching_pairs(large, across_months), scratch))
+
+
 def cluster(rows: DataFrame, across_months: bool = False) -> DataFrame:
     """``rows`` with cluster: the ord of the first row of each row's event-site.
 
     Rows need the columns in FIELDS and ord, the arrival order. Rows without a start stand alone. Rows equal in FIELDS
-    are one class: they would meet the same leader, so only classes are paired.
+    are one class: they would meet the same leader, so only classes are compared, and only with leaders.
     """
     scratch = Scratch(rows.sparkSession, "linkage")
     equal = rows.groupBy(*FIELDS).agg(F.min("ord").alias("ord"))
     classes = scratch.table(prepare(equal), "classes")
-    pairs = matching_pairs(classes, across_months)
-    led = leaders(classes, pairs, scratch)
+    led = _class_leaders(classes, across_months, scratch)
     # A class that does not match itself (no date, or neither place nor name) leaves its rows alone.
     selfless = F.col("start_date").isNull() | ((F.col("_venue") == "") & (F.col("_city") == "") & (F.size("_tokens") == 0))
     named = classes.select(*FIELDS, "ord", selfless.alias("_selfless")).join(led, "ord").select(*FIELDS, "leader", "_selfless")
