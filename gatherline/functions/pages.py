@@ -94,35 +94,52 @@ def phones(x: Column) -> Column:
 def spots(x: Column, pattern: str) -> Column:
     """array<struct<start, end, value>> of all matches: 0-based code points, end exclusive.
 
-    A match is located by the text between it and the match before, so repeated values keep their own places.
+    A match is located by the text between it and the match before, so repeated values keep their own places. The text is
+    worked out once; ``pattern`` never matches nothing and names no group of its own.
     """
-    whole = rf"\G((?s:.*?))({pattern})"
-    gap, hit = (F.regexp_extract_all(text(x), F.lit(whole), F.lit(g)) for g in (1, 2))
-    rows = F.arrays_zip(gap.alias("gap"), hit.alias("hit"))
     empty = F.array().cast("array<struct<start:int,end:int,value:string>>")
-    out = F.aggregate(
-        rows,
-        F.struct(F.lit(0).alias("at"), empty.alias("out")),
-        lambda s, r: F.struct(
-            (s["at"] + F.length(r["gap"]) + F.length(r["hit"])).alias("at"),
-            F.concat(s["out"], F.array(F.struct((s["at"] + F.length(r["gap"])).alias("start"), (s["at"] + F.length(r["gap"]) + F.length(r["hit"])).alias("end"), r["hit"].alias("value")))).alias("out"),
-        ),
-    )
-    return out["out"]
+
+    def walk(hits: Column, gaps: Column) -> Column:
+        return F.aggregate(
+            F.arrays_zip(F.slice(gaps, 1, F.size(hits)).alias("gap"), hits.alias("hit")),
+            F.struct(F.lit(0).alias("at"), empty.alias("out")),
+            lambda s, r: let(
+                F.struct((s["at"] + F.length(r["gap"])).alias("start"), F.length(r["hit"]).alias("n")),
+                lambda m: F.struct((m["start"] + m["n"]).alias("at"), F.concat(s["out"], F.array(F.struct(m["start"].alias("start"), (m["start"] + m["n"]).alias("end"), r["hit"].alias("value")))).alias("out")),
+            ),
+        )["out"]
+
+    def read(said: Column) -> Column:
+        hits = F.regexp_extract_all(said, F.lit(f"({pattern})"), F.lit(1))
+        return let(hits, lambda h: F.when(F.size(h) == 0, empty).otherwise(walk(h, F.split(said, pattern, -1))))
+
+    return let(text(x), read)
+
+
+#: vocab.EMAIL, tried only where a run of its characters begins or the last match ended: from within a run it finds no more.
+_EMAIL = vocab.EMAIL.replace("[A-Za-z0-9._%+\\-]+@", r"(?:\G|(?<![A-Za-z0-9._%+\-]))[A-Za-z0-9._%+\-]++@")
 
 
 def vendor_email(x: Column) -> Column:
     """The address nearest to vendor or sponsor wording, at most 400 characters away; the first of equals."""
+    return let(text(x), _vendor_email)
+
+
+def _vendor_email(x: Column) -> Column:
     words = F.transform(spots(x, vocab.VENDOR_WORDS.replace("(?i)", "(?i:") + ")"), lambda s: s["start"])
-    found = let(words, lambda at: F.transform(spots(x, vocab.EMAIL), lambda s: F.struct(F.array_min(F.transform(at, lambda w: F.abs(w - s["start"]))).alias("far"), s["start"].alias("start"), F.lower(s["value"]).alias("value"))))
+    found = let(words, lambda at: F.transform(spots(x, _EMAIL), lambda s: F.struct(F.array_min(F.transform(at, lambda w: F.abs(w - s["start"]))).alias("far"), s["start"].alias("start"), F.lower(s["value"]).alias("value"))))
     return F.try_element_at(F.array_sort(F.filter(found, lambda s: s["far"] <= 400)), F.lit(1))["value"]
 
 
 def contact_roles(x: Column) -> Column:
     """array<struct<email, role>>: one per address, vendor before director before organizer by the words left of it."""
+    return let(text(x), _contact_roles)
+
+
+def _contact_roles(x: Column) -> Column:
     left = lambda s, n: F.lower(F.substring(text(x), F.greatest(s["start"] - n + 1, F.lit(1)), F.least(s["start"], F.lit(n))))
     made = F.transform(
-        spots(x, vocab.EMAIL),
+        spots(x, _EMAIL),
         lambda s, i: F.struct(
             F.when(left(s, 140).rlike(r"vendor|sponsor|exhibitor"), 0).when(left(s, 110).rlike(r"director|commissioner|founder"), 1).otherwise(2).alias("rank"),
             i.alias("i"),
