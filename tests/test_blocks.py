@@ -32,7 +32,14 @@ def test_clusters_without_pairs(spark, crowd, monkeypatch):
 @pytest.mark.parametrize("across", [False, True])
 def test_blocks_equal_pairs(spark, crowd, monkeypatch, across):
     whole = {r.ord: r.cluster for r in linkage.cluster(crowd, across).collect()}
-    monkeypatch.setattr(settle, "WHOLE", 3)  # larger blocks go by pairs
+    plain = linkage.settled_blocks
+
+    def few(*args):
+        with monkeypatch.context() as m:
+            m.setattr(settle, "WHOLE", 3)  # larger blocks go by pairs
+            return plain(*args)
+
+    monkeypatch.setattr(linkage, "settled_blocks", few)
     assert {r.ord: r.cluster for r in linkage.cluster(crowd, across).collect()} == whole
 
 
