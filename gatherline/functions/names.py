@@ -51,12 +51,22 @@ def link_tokens(name: Column) -> Column:
 
 def identity_tokens(name: Column) -> Column:
     """The words that say which event it is."""
-    return F.array_except(link_tokens(name), members(vocab.LEVEL_WORDS + vocab.GENERIC_WORDS))
+    return identity_of(link_tokens(name))
+
+
+def identity_of(tokens: Column) -> Column:
+    """As identity_tokens, from the name's link_tokens."""
+    return F.array_except(tokens, members(vocab.LEVEL_WORDS + vocab.GENERIC_WORDS))
 
 
 def level_tokens(name: Column) -> Column:
     """Levels of play named, 'high' as hs and 'ms' as middle."""
-    named = F.array_intersect(link_tokens(name), members(vocab.LEVEL_WORDS))
+    return levels_of(link_tokens(name))
+
+
+def levels_of(tokens: Column) -> Column:
+    """As level_tokens, from the name's link_tokens."""
+    named = F.array_intersect(tokens, members(vocab.LEVEL_WORDS))
     return F.array_distinct(F.filter(F.transform(named, lambda t: F.coalesce(lookup(t, vocab.LEVEL_ALIASES), t)), lambda t: t != ""))
 
 
