@@ -73,21 +73,22 @@ def settled(pairs: DataFrame, one: Column, other: Column, plain: Callable[[pd.Da
     return done, rest
 
 
-def settled_blocks(rows: DataFrame, by: list[str], plain: Callable[[pd.DataFrame], pd.DataFrame], schema: str, scratch: Scratch, name: str) -> tuple[DataFrame, DataFrame]:
-    """What ``plain`` makes of the blocks (rows equal in the columns ``by``, none null) of at most WHOLE rows, and the rows of all larger ones.
+def settled_blocks(rows: DataFrame, by: list[str], plain: Callable[[pd.DataFrame], pd.DataFrame], schema: str, scratch: Scratch, name: str, times: int = 1) -> tuple[DataFrame, DataFrame]:
+    """What ``plain`` makes of the blocks (rows equal in the columns ``by``, none null) of at most WHOLE rows (``times`` as many, where they are few numbers each), and the rows of all larger ones.
 
     For passes whose pairs never cross blocks: a block is settled row by row in one task, many blocks to a task, and none
     of its pairs is made. ``plain`` gets one block at a time, in no order.
     """
     rows = scratch.table(rows, f"{name}-rows")
+    limit = WHOLE * times
     sizes = scratch.table(rows.groupBy(*by).agg(F.count("*").alias("_n")), f"{name}-sizes")
-    total = sizes.where(F.col("_n") <= WHOLE).agg(F.sum("_n")).first()[0] or 0
+    total = sizes.where(F.col("_n") <= limit).agg(F.sum("_n")).first()[0] or 0
     tasks = -(-4 * total // WHOLE) + 3 * rows.sparkSession.sparkContext.defaultParallelism
     sized = rows.join(sizes, by)
-    small = sized.where(F.col("_n") <= WHOLE).withColumn("_task", F.pmod(F.xxhash64(*by), F.lit(tasks))).drop("_n")
+    small = sized.where(F.col("_n") <= limit).withColumn("_task", F.pmod(F.xxhash64(*by), F.lit(tasks))).drop("_n")
 
     def each(held: pd.DataFrame) -> pd.DataFrame:
         return pd.concat([plain(block) for _, block in held.groupby(by, sort=False)], ignore_index=True)
 
     done = scratch.table(small.groupBy("_task").applyInPandas(each, schema), f"{name}-done")
-    return done, scratch.table(sized.where(F.col("_n") > WHOLE).drop("_n"), f"{name}-rest")
+    return done, scratch.table(sized.where(F.col("_n") > limit).drop("_n"), f"{name}-rest")
