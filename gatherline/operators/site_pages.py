@@ -19,6 +19,7 @@ from gatherline.plans.scratch import Scratch
 CLIMB, WIDEN = 6, 3
 #: Characters that a widened block, and any block, holds at most.
 CARD, LONGEST = 800, 1500
+_BOLD, _LINK = ["strong", "b"], ["a"]
 _TREE = "tag text, up, text, heads, dates, linked"
 
 
@@ -72,15 +73,39 @@ def trees(pages: DataFrame, mark: str, without: str) -> DataFrame:
     return whole.withColumn("_linked", linked).withColumn("tree", F.transform("_els", made)).drop("_tags", "_els", "_linked")
 
 
+def _upto(t: Column, date: Column) -> Column:
+    return F.when(t.contains(date), F.substring(t, F.lit(1), F.position(date, t) - 1)).otherwise(t)
+
+
+def _cut(t: Column, date: Column) -> Column:
+    return F.regexp_replace(_upto(t, date), r"^[\s\-–—|:,]+|[\s\-–—|:,]+$", "")
+
+
+def _good(t: Column) -> Column:
+    return (F.length(t) >= 5) & ~t.rlike(vocab.MORE_LINK) & ~t.rlike(rf"^(?:{vocab.DATE_TEXT})$") & ~t.rlike(vocab.EMAIL)
+
+
+def _before(e: Column, date: Column) -> Column:
+    """What stands before the date in an element's text, if it may be a name."""
+    words = F.regexp_replace(F.regexp_replace(_upto(e["text"], date), vocab.WEEKDAY, " "), r"^[\s\-–—|:,]+|[\s\-–—|:,]+$", "")
+    return let(words, lambda t: F.when((F.length(t) >= 5) & ~t.rlike(vocab.MORE_LINK) & ~t.rlike(vocab.NAME_FAULTS[0][1]), t))
+
+
+def _within(x: Column, e: Column) -> Column:
+    return (x["from"] > e["from"]) & (x["to"] <= e["to"])
+
+
 def _title(tree: Column, e: Column, date: Column) -> Column:
     """The name that an element gives a date: its headings, bold texts or links, else what stands before the date; or null."""
-    upto = lambda t: F.when(t.contains(date), F.substring(t, F.lit(1), F.position(date, t) - 1)).otherwise(t)
-    cut = lambda t: F.regexp_replace(upto(t), r"^[\s\-–—|:,]+|[\s\-–—|:,]+$", "")
-    good = lambda t: (F.length(t) >= 5) & ~t.rlike(vocab.MORE_LINK) & ~t.rlike(rf"^(?:{vocab.DATE_TEXT})$") & ~t.rlike(vocab.EMAIL)
-    own = F.filter(tree, lambda x: (x["from"] > e["from"]) & (x["to"] <= e["to"]))
-    first = lambda inner, tags: F.try_element_at(F.filter(F.transform(F.filter(inner, lambda x: x["tag"].isin(tags)), lambda x: cut(x["text"])), good), F.lit(1))
-    before = let(F.regexp_replace(F.regexp_replace(upto(e["text"]), vocab.WEEKDAY, " "), r"^[\s\-–—|:,]+|[\s\-–—|:,]+$", ""), lambda t: F.when((F.length(t) >= 5) & ~t.rlike(vocab.MORE_LINK) & ~t.rlike(vocab.NAME_FAULTS[0][1]), t))
-    return F.substring(let(own, lambda inner: F.coalesce(first(inner, HEADINGS), first(inner, ["strong", "b"]), first(inner, ["a"]), before)), 1, 140)
+    own = F.filter(tree, lambda x: _within(x, e))
+    first = lambda inner, tags: F.try_element_at(F.filter(F.transform(F.filter(inner, lambda x: x["tag"].isin(tags)), lambda x: _cut(x["text"], date)), _good), F.lit(1))
+    return F.substring(let(own, lambda inner: F.coalesce(first(inner, HEADINGS), first(inner, _BOLD), first(inner, _LINK), _before(e, date))), 1, 140)
+
+
+def _titled(tree: Column, e: Column, date: Column) -> Column:
+    """Whether _title() is there: the first text that may be a name will do."""
+    named = F.exists(tree, lambda x: _within(x, e) & x["tag"].isin(HEADINGS + _BOLD + _LINK) & F.exists(F.array(_cut(x["text"], date)), _good))
+    return F.coalesce(named, F.lit(False)) | _before(e, date).isNotNull()
 
 
 def page_blocks(pages: DataFrame, mark: str = vocab.DATE_TEXT, without: str = "script|style|noscript|svg|header|footer|nav") -> DataFrame:
@@ -91,7 +116,8 @@ def page_blocks(pages: DataFrame, mark: str = vocab.DATE_TEXT, without: str = "s
     Blocks within a larger one go. Returns page_id, block (place of its element), tag, mark, title, said, tokens (its
     tags and texts). A page is one row, and nothing is grouped; null and empty pages have no blocks.
     """
-    plain = trees(pages.select("page_id", "html"), mark, without)
+    # The table keeps the tree from being made again in every expression that names it.
+    plain = Scratch(pages.sparkSession, "trees").table(trees(pages.select("page_id", "html"), mark, without).drop("html"), "trees")
     tree = F.col("tree")
     bare = lambda e: e["tag"].isin("body", "html", "head")
     at = lambda i: F.get(tree, i)
@@ -100,7 +126,8 @@ def page_blocks(pages: DataFrame, mark: str = vocab.DATE_TEXT, without: str = "s
         def step(s: Column, _: Column) -> Column:
             def seen(el: Column) -> Column:
                 def above(up: Column) -> Column:
-                    ends = el["tag"].isin("article", "li", "tr") | _title(tree, el, date).isNotNull() | (el["up"] < 0) | bare(up) | ((el["heads"] > 0) & (up["heads"] > el["heads"])) | (el["linked"] & (up["dates"] > el["dates"]))
+                    # Reading texts for a name is dear and comes last.
+                    ends = el["tag"].isin("article", "li", "tr") | (el["up"] < 0) | bare(up) | ((el["heads"] > 0) & (up["heads"] > el["heads"])) | (el["linked"] & (up["dates"] > el["dates"])) | _titled(tree, el, date)
                     return F.when(F.coalesce(ends, F.lit(True)), F.struct(s["e"].alias("e"), F.lit(True).alias("done"))).otherwise(F.struct(el["up"].alias("e"), F.lit(False).alias("done")))
 
                 return let(at(F.greatest(el["up"], F.lit(0))), above)
@@ -125,11 +152,12 @@ def page_blocks(pages: DataFrame, mark: str = vocab.DATE_TEXT, without: str = "s
     places = F.filter(F.transform("said", lambda x, i: F.when(x.rlike(mark), i)), lambda i: i.isNotNull())
     innermost = lambda i: F.array_max(F.transform(tree, lambda x, k: F.when((x["from"] < i) & (x["to"] > i), k)))
     starts = F.filter(F.transform(places, lambda i: F.struct(innermost(i).alias("e"), F.regexp_extract(F.get("said", i), mark, 0).alias("date"))), lambda s: s["e"].isNotNull() & ~bare(F.get(tree, s["e"])))
-    chosen = plain.withColumn("_starts", starts).withColumn("_blocks", F.array_distinct(F.transform("_starts", lambda s: widened(climbed(s["e"], s["date"])))))
+    # Texts of one element with one mark climb alike.
+    chosen = plain.withColumn("_starts", F.array_distinct(starts)).withColumn("_blocks", F.array_distinct(F.transform("_starts", lambda s: widened(climbed(s["e"], s["date"])))))
     short = F.filter("_blocks", lambda b: F.length(at(b)["text"]) <= LONGEST)
     chosen = chosen.withColumn("_blocks", short)
     outer = F.filter("_blocks", lambda b: ~F.exists("_blocks", lambda o: (at(o)["from"] < at(b)["from"]) & (at(o)["to"] >= at(b)["to"])))
-    rows = chosen.select("page_id", "tree", "toks", F.explode(F.array_sort(outer)).alias("block")).withColumn("_e", at(F.col("block")))
+    rows = chosen.select("page_id", "tree", "toks", F.explode_outer(F.array_sort(outer)).alias("block")).where("block IS NOT NULL").withColumn("_e", at(F.col("block")))
     rows = rows.withColumn("mark", F.regexp_extract(F.col("_e.text"), mark, 0)).where("mark <> ''")
     title = _title(tree, F.col("_e"), F.col("mark"))
     return rows.select("page_id", "block", F.col("_e.tag").alias("tag"), "mark", title.alias("title"), F.col("_e.text").alias("said"), F.slice("toks", F.col("_e.from") + 1, F.col("_e.to") - F.col("_e.from")).alias("tokens"))

@@ -208,3 +208,11 @@ def test_names_are_cleaned(spark):
 def test_links_become_whole(spark):
     whole = lambda h: spark.range(1).select(site_pages.absolute(F.lit(h), F.lit("https://a.test/x/y?q=1#z")).alias("x")).first().x
     assert [whole(h) for h in ("http://b.test/#c", "//c.test/d", "/e", "f", "./g", "?h=1", "")] == ["http://b.test/", "https://c.test/d", "https://a.test/e", "https://a.test/x/f", "https://a.test/x/g", "https://a.test/x/y?h=1", "https://a.test/x/"]
+
+
+def test_trees_are_made_once(spark):
+    pages = spark.createDataFrame([(1, "<body><div><h2>Harvest Cup</h2><p>June 6, 2026</p></div></body>")], "page_id long, html string")
+    blocks = site_pages.page_blocks(pages)
+    # What picks blocks reads finished trees: nothing of it goes back to the page.
+    assert "html#" not in blocks._jdf.queryExecution().optimizedPlan().toString()
+    assert [r.title for r in blocks.collect()] == ["Harvest Cup"]
